@@ -48,7 +48,12 @@ def _wu():
 
 
 def _wa():
-    return _ws().rowsBetween(1, Window.unboundedFollowing)
+    """Rows after the current one, seen from the end: ``last(x, ignorenulls)`` over this
+    frame is the first non-null value after the row. A reversed running frame is
+    evaluated incrementally; a ``1 FOLLOWING .. UNBOUNDED FOLLOWING`` frame would be
+    recomputed per row (quadratic in the sentence length)."""
+    return Window.partitionBy("qid", "sent_i").orderBy(F.col("tok_i").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
 
 
 BARRIER = ["ADP", "VERB", "AUX", "SCONJ", "CCONJ", "PUNCT", "PART"]
@@ -110,8 +115,8 @@ def verb_lemma(low: Column) -> Column:
 
 def tag(toks: DataFrame) -> DataFrame:
     """``pos`` and ``lemma`` (+ ``tkind`` for A06)."""
-    t = toks.withColumn("tkind", time_kind(F.col("text"))) \
-        .withColumn("_ncap", F.lead(F.col("text").rlike(r"^\p{Lu}")).over(_ws()))
+    t = toks.withColumns({"tkind": time_kind(F.col("text")),
+                          "_ncap": F.lead(F.col("text").rlike(r"^\p{Lu}")).over(_ws())})
     t = t.withColumn("pos1", lexical_pos(F.col("text"), F.col("sent_pos"), F.col("_ncap"), F.col("tkind")))
     prev1, next1 = F.lag("pos1").over(_ws()), F.lead("pos1").over(_ws())
     low = F.lower("text")
@@ -119,92 +124,92 @@ def tag(toks: DataFrame) -> DataFrame:
         prev1.isin("PRON", "AUX", "PART")
         | (prev1.isin("NOUN", "PROPN") & low.rlike("s$") & next1.isin("DET", "ADP", "PRON", "NUM", "PROPN")))
     t = t.withColumn("pos", F.when(to_verb, F.lit("VERB")).otherwise(F.col("pos1")))
-    return t.withColumn("lemma", F.when(F.col("pos") == "VERB", verb_lemma(low)).otherwise(low)) \
-        .drop("_ncap", "pos1")
+    keep = [c for c in t.columns if c not in ("_ncap", "pos1")]
+    return t.select(*keep, F.when(F.col("pos") == "VERB", verb_lemma(low)).otherwise(low).alias("lemma"))
 
 
-def _runs(t: DataFrame, flag: str, start: str) -> DataFrame:
-    """Gaps and islands: ``start`` = first ``tok_i`` of the run of consecutive rows
-    where ``flag`` holds (NULL off the run)."""
-    brk = F.col(flag) & ~F.coalesce(F.lag(flag).over(_ws()), F.lit(False))
-    t = t.withColumn("_brk", brk)
-    return t.withColumn(start, F.when(F.col(flag), F.last(F.when(F.col("_brk"), F.col("tok_i")), True).over(_wu()))) \
-        .drop("_brk")
+def _run_break(flag: str) -> Column:
+    return F.col(flag) & ~F.coalesce(F.lag(flag).over(_ws()), F.lit(False))
+
+
+def _run_start(flag: str, brk: str) -> Column:
+    """Gaps and islands: first ``tok_i`` of the run of consecutive rows where ``flag``
+    holds (NULL off the run)."""
+    return F.when(F.col(flag), F.last(F.when(F.col(brk), F.col("tok_i")), True).over(_wu()))
+
+
+def _whole(part: str):
+    return Window.partitionBy("qid", "sent_i", part).orderBy("tok_i") \
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def entities(t: DataFrame, gpe=L.GPE_NAMES, org_words=L.ORG_WORDS) -> DataFrame:
     """A05 + A06: token-level ``ent_id`` (span start) and ``ent_label``."""
-    t = t.withColumn("_p", F.col("pos") == "PROPN").withColumn("_t", F.col("tkind").isNotNull())
-    t = _runs(_runs(t, "_p", "_prun"), "_t", "_trun")
-    wp = Window.partitionBy("qid", "sent_i", "_prun").orderBy("tok_i") \
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    wt = Window.partitionBy("qid", "sent_i", "_trun").orderBy("tok_i") \
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    t = t.withColumns({"_p": F.col("pos") == "PROPN", "_t": F.col("tkind").isNotNull()})
+    t = t.withColumns({"_pb": _run_break("_p"), "_tb": _run_break("_t")})
+    t = t.withColumns({"_prun": _run_start("_p", "_pb"), "_trun": _run_start("_t", "_tb")})
+    wp, wt = _whole("_prun"), _whole("_trun")
     ptext = F.lower(F.array_join(F.collect_list("text").over(wp), " "))
     plen = F.count(F.lit(1)).over(wp)
     plast = F.lower(F.last("text").over(wp))
     plabel = (F.when(_in(plast, org_words), F.lit("ORG"))
               .when(_in(ptext, gpe), F.lit("GPE"))
               .when(plen >= 2, F.lit("PERSON")))
-    tlabel = F.first("tkind").over(wt)
-    t = t.withColumn("ent_label", F.when(F.col("_t"), tlabel).when(F.col("_p"), plabel))
-    t = t.withColumn("ent_id", F.when(F.col("_t"), F.col("_trun"))
-                     .when(F.col("_p") & F.col("ent_label").isNotNull(), F.col("_prun")))
-    return t.withColumn("ent_type", F.col("ent_label")).drop("_p", "_t", "_prun", "_trun")
+    t = t.withColumn("ent_label", F.when(F.col("_t"), F.first("tkind").over(wt)).when(F.col("_p"), plabel))
+    ent_id = F.when(F.col("_t"), F.col("_trun")).when(F.col("_p") & F.col("ent_label").isNotNull(), F.col("_prun"))
+    keep = [c for c in t.columns if not c.startswith("_")]
+    return t.select(*keep, ent_id.alias("ent_id"), F.col("ent_label").alias("ent_type"))
 
 
 def chunks(t: DataFrame) -> DataFrame:
     """``chunk_id`` (first token) for members, ``is_chunk_root`` for the root."""
     t = t.withColumn("_c", F.col("pos").isin(CHUNKABLE))
-    brk = F.col("_c") & (~F.coalesce(F.lag("_c").over(_ws()), F.lit(False)) | (F.col("pos") == "DET"))
-    t = t.withColumn("_b", brk)
-    t = t.withColumn("_isl", F.when(F.col("_c"), F.last(F.when(F.col("_b"), F.col("tok_i")), True).over(_wu())))
-    wi = Window.partitionBy("qid", "sent_i", "_isl").orderBy("tok_i") \
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    t = t.withColumn("_root", F.max(F.when(F.col("pos").isin("NOUN", "PROPN"), F.col("tok_i"))).over(wi))
+    t = t.withColumn("_b", F.col("_c") & (~F.coalesce(F.lag("_c").over(_ws()), F.lit(False)) | (F.col("pos") == "DET")))
+    t = t.withColumn("_isl", _run_start("_c", "_b"))
+    t = t.withColumn("_root", F.max(F.when(F.col("pos").isin("NOUN", "PROPN"), F.col("tok_i"))).over(_whole("_isl")))
     member = F.col("_c") & F.col("_root").isNotNull() & (F.col("tok_i") <= F.col("_root"))
-    t = t.withColumn("chunk_id", F.when(member, F.col("_isl"))) \
-        .withColumn("chunk_root_i", F.when(member, F.col("_root"))) \
-        .withColumn("is_chunk_root", F.coalesce(member & (F.col("tok_i") == F.col("_root")), F.lit(False)))
-    return t.drop("_c", "_b", "_isl", "_root")
+    keep = [c for c in t.columns if not c.startswith("_")]
+    return t.select(*keep, F.when(member, F.col("_isl")).alias("chunk_id"),
+                    F.when(member, F.col("_root")).alias("chunk_root_i"),
+                    F.coalesce(member & (F.col("tok_i") == F.col("_root")), F.lit(False)).alias("is_chunk_root"))
 
 
 def dependencies(t: DataFrame) -> DataFrame:
     """``dep`` and ``head_i``."""
-    pos = F.col("pos")
-    t = t.withColumn("_prevpos", F.lag("pos").over(_ws()))
-    # nominal heads: chunk roots and pronouns; where their phrase starts
-    t = t.withColumn("_cand", F.col("is_chunk_root") | (pos == "PRON")) \
-        .withColumn("_nstart", F.when(F.col("is_chunk_root"), F.col("chunk_id")).when(pos == "PRON", F.col("tok_i")))
-    # part of speech right before the phrase start (look it up on the start row)
+    pos, tok = F.col("pos"), F.col("tok_i")
+    # nominal heads: chunk roots and pronouns, and where their phrase starts
+    t = t.withColumns({"_prevpos": F.lag("pos").over(_ws()),
+                       "_cand": F.col("is_chunk_root") | (pos == "PRON"),
+                       "_nstart": F.when(F.col("is_chunk_root"), F.col("chunk_id")).when(pos == "PRON", tok)})
+    # part of speech right before the phrase start (read on the start row)
     wst = Window.partitionBy("qid", "sent_i", "chunk_id").orderBy("tok_i")
-    t = t.withColumn("_pre", F.when(pos == "PRON", F.col("_prevpos"))
-                     .when(F.col("is_chunk_root"), F.first("_prevpos").over(wst)))
-    t = t.withColumn("_pobj", F.col("_cand") & F.coalesce(F.col("_pre") == "ADP", F.lit(False)))
-    last_verb = F.last(F.when(pos == "VERB", F.col("tok_i")), True).over(_wb())
-    next_verb = F.first(F.when(pos == "VERB", F.col("tok_i")), True).over(_wa())
-    t = t.withColumn("_lverb", last_verb).withColumn("_nverb", next_verb) \
-        .withColumn("_lbar", F.last(F.when(pos.isin(BARRIER), F.col("tok_i")), True).over(_wb())) \
-        .withColumn("_lcand", F.last(F.when(F.col("_cand"), F.col("tok_i")), True).over(_wb()))
+    pre = F.when(pos == "PRON", F.col("_prevpos")).when(F.col("is_chunk_root"), F.first("_prevpos").over(wst))
+    t = t.withColumns({
+        "_pobj": F.col("_cand") & F.coalesce(pre == "ADP", F.lit(False)),
+        "_lverb": F.last(F.when(pos == "VERB", tok), True).over(_wb()),
+        "_nverb": F.last(F.when(pos == "VERB", tok), True).over(_wa()),
+        "_lbar": F.last(F.when(pos.isin(BARRIER), tok), True).over(_wb()),
+        "_lcand": F.last(F.when(F.col("_cand"), tok), True).over(_wb())})
     is_obj = (F.col("_cand") & ~F.col("_pobj") & F.col("_lverb").isNotNull()
               & (F.col("_lbar") == F.col("_lverb"))
               & (F.col("_lcand").isNull() | (F.col("_lcand") < F.col("_lverb"))))
     t = t.withColumn("_obj", F.coalesce(is_obj, F.lit(False)))
     t = t.withColumn("_scand", F.col("_cand") & ~F.col("_pobj") & ~F.col("_obj"))
-    t = t.withColumn("_nscand", F.first(F.when(F.col("_scand"), F.col("tok_i")), True).over(_wa()))
-    is_subj = (F.col("_scand") & F.col("_nverb").isNotNull()
-               & (F.col("_nscand").isNull() | (F.col("_nscand") > F.col("_nverb"))))
-    t = t.withColumn("_subj", F.coalesce(is_subj, F.lit(False)))
+    t = t.withColumn("_nscand", F.last(F.when(F.col("_scand"), tok), True).over(_wa()))
+    is_subj = F.coalesce(F.col("_scand") & F.col("_nverb").isNotNull()
+                         & (F.col("_nscand").isNull() | (F.col("_nscand") > F.col("_nverb"))), F.lit(False))
     low = F.lower("text")
     member_dep = F.when(pos == "DET", "det").when(pos == "ADJ", "amod").when(pos == "NUM", "nummod") \
         .otherwise("compound")
-    loose_head = F.coalesce(F.col("_nverb"), F.col("_lverb"), F.col("tok_i"))
+    loose_head = F.coalesce(F.col("_nverb"), F.col("_lverb"), tok)
+    member = F.col("chunk_id").isNotNull() & ~F.col("is_chunk_root")
+    is_neg = _in(low, L.NEGATIONS) & F.col("_nverb").isNotNull()
     dep = (F.when(F.col("_pobj"), F.lit("pobj"))
            .when(F.col("_obj"), F.lit("dobj"))
-           .when(F.col("_subj"), F.lit("nsubj"))
-           .when(F.col("chunk_id").isNotNull() & ~F.col("is_chunk_root"), member_dep)
+           .when(is_subj, F.lit("nsubj"))
+           .when(member, member_dep)
            .when((pos == "ADP") & (F.col("_lverb").isNotNull() | F.col("_lcand").isNotNull()), F.lit("prep"))
-           .when(_in(low, L.NEGATIONS) & F.col("_nverb").isNotNull(), F.lit("neg"))
+           .when(is_neg, F.lit("neg"))
            .when((pos == "VERB") & F.col("_lverb").isNull(), F.lit("ROOT"))
            .when(pos == "VERB", F.lit("conj"))
            .when(pos == "AUX", F.lit("aux")).when(pos == "CCONJ", F.lit("cc"))
@@ -213,14 +218,14 @@ def dependencies(t: DataFrame) -> DataFrame:
            .otherwise(F.lit("dep")))
     head = (F.when(F.col("_pobj"), F.col("_nstart") - 1)
             .when(F.col("_obj"), F.col("_lverb"))
-            .when(F.col("_subj"), F.col("_nverb"))
-            .when(F.col("chunk_id").isNotNull() & ~F.col("is_chunk_root"), F.col("chunk_root_i"))
-            .when(pos == "ADP", F.coalesce(F.col("_lverb"), F.col("_lcand"), F.col("tok_i")))
-            .when(_in(low, L.NEGATIONS) & F.col("_nverb").isNotNull(), F.col("_nverb"))
-            .when(pos == "VERB", F.coalesce(F.col("_lverb"), F.col("tok_i")))
+            .when(is_subj, F.col("_nverb"))
+            .when(member, F.col("chunk_root_i"))
+            .when(pos == "ADP", F.coalesce(F.col("_lverb"), F.col("_lcand"), tok))
+            .when(is_neg, F.col("_nverb"))
+            .when(pos == "VERB", F.coalesce(F.col("_lverb"), tok))
             .otherwise(loose_head))
-    t = t.withColumn("dep", dep).withColumn("head_i", head.cast("int"))
-    return t.drop(*[c for c in t.columns if c.startswith("_")])
+    keep = [c for c in t.columns if not c.startswith("_")]
+    return t.select(*keep, dep.alias("dep"), head.cast("int").alias("head_i"))
 
 
 COLUMNS = ["qid", "sent_i", "tok_i", "text", "lemma", "pos", "dep", "head_i", "ent_type", "ent_id",

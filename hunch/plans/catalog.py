@@ -1,3 +1,4 @@
 """Imports every query module so that all named queries are registered."""
 
 from . import q_index  # noqa: F401
+from . import q_rules  # noqa: F401
