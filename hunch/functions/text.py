@@ -80,8 +80,8 @@ def snippet_anchor(contents, term_arr) -> Column:
 
     def offset(t):
         pat = F.concat(F.lit(r"(?isu)^(.*?)\b"), regex_escape(t), F.lit(r"\b"))
-        return F.when(contents.rlike(F.concat(F.lit(r"(?iu)\b"), regex_escape(t), F.lit(r"\b"))),
-                      F.length(F.regexp_extract(contents, pat, 1)))
+        return F.when(F.regexp_like(contents, F.concat(F.lit(r"(?iu)\b"), regex_escape(t), F.lit(r"\b"))),
+                      F.length(F.call_function("regexp_extract", contents, pat, F.lit(1))))
 
     return F.get(F.filter(F.transform(_col(term_arr), offset), lambda x: x.isNotNull()), 0)
 
@@ -119,8 +119,9 @@ def title_of(contents) -> Column:
 
 
 def score_text(score, places: int = 4) -> Column:
-    """Fixed-point score text."""
-    return F.format_string(f"%.{places}f", _col(score))
+    """Fixed-point score text. Python's formatting rounds an exact tie (0.03125)
+    to even; Java's ``%f`` would round it up, so round half-even first."""
+    return F.format_string(f"%.{places}f", F.bround(_col(score), places))
 
 
 # --- T12 - T15: decomposition helpers -------------------------------------------------

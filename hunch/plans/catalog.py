@@ -2,3 +2,4 @@
 
 from . import q_index  # noqa: F401
 from . import q_rules  # noqa: F401
+from . import q_search  # noqa: F401

@@ -27,13 +27,37 @@ def conversation_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("query"))
 
 
-def passage_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def passage_judgements(spark: SparkSession, sf_dir: str, postings: DataFrame | None = None) -> DataFrame:
     """Judgements ``(qid, docid, rel)``: a document is relevant to a passage topic when
-    it contains the passage verbatim. The join condition is a containment test, so it
-    is driven from the small topic side (broadcast) against a scan of the corpus."""
+    it contains the passage verbatim.
+
+    Containment is not an equi-join. When the passage table is small enough (counted)
+    it is broadcast against one scan of the corpus. Beyond that, every passage is
+    probed through the postings by its longest interior non-stop term — a document
+    holding the passage verbatim holds each interior word as a whole token, so the
+    probe loses no match — and candidates are verified with ``contains``. Passages with
+    no such term (fewer than three words) are few; they take the broadcast route, which
+    is again size-checked."""
+    from ..functions import text as T
+    from ..operators import joins as J
+
     b = read_table(spark, sf_dir, "benchmark").select(
         F.col("item_id").cast("string").alias("qid"), F.col("text").alias("passage"))
     d = read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("docid"), F.col("text"))
-    return d.join(F.broadcast(b), F.col("text").contains(F.col("passage"))) \
-        .select("qid", "docid", F.lit(1).alias("rel"))
+
+    def by_scan(p: DataFrame) -> DataFrame:
+        if not J.fits_broadcast(p):
+            raise ValueError("too many short passages to broadcast against the corpus")
+        return d.join(F.broadcast(p), F.col("text").contains(F.col("passage"))).select("qid", "docid")
+
+    if postings is None or J.fits_broadcast(b):
+        return by_scan(b).select("qid", "docid", F.lit(1).alias("rel"))
+    toks = T.index_terms("passage")
+    interior = F.slice(toks, 2, F.greatest(F.size(toks) - 2, F.lit(0)))
+    probe = F.get(F.array_sort(F.transform(interior, lambda t: F.struct((-F.length(t)).alias("l"), t.alias("t")))), 0)["t"]
+    bp = b.withColumn("probe", F.when(F.size(toks) >= 3, probe))
+    cand = postings.select(F.col("term").alias("probe"), "docid").join(bp.filter(F.col("probe").isNotNull()), "probe")
+    long_hits = cand.join(d, "docid").filter(F.col("text").contains(F.col("passage"))).select("qid", "docid")
+    short_hits = by_scan(bp.filter(F.col("probe").isNull()).select("qid", "passage"))
+    return long_hits.unionByName(short_hits).select("qid", "docid", F.lit(1).alias("rel"))
