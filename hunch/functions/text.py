@@ -75,15 +75,21 @@ def regex_escape(t) -> Column:
 
 def snippet_anchor(contents, term_arr) -> Column:
     """0-based character offset of the first whole-word, case-insensitive hit of
-    the first term (in query order) that occurs anywhere; NULL when none does."""
+    the first term (in query order) that occurs anywhere; NULL when none does.
+
+    ``aggregate`` with ``coalesce`` stops testing terms once one has matched, and each
+    test is a single ``regexp_instr``. That position counts UTF-16 units, so it is
+    turned into characters by decoding the UTF-16 prefix once per row."""
     contents = _col(contents)
 
-    def offset(t):
-        pat = F.concat(F.lit(r"(?isu)^(.*?)\b"), regex_escape(t), F.lit(r"\b"))
-        return F.when(F.regexp_like(contents, F.concat(F.lit(r"(?iu)\b"), regex_escape(t), F.lit(r"\b"))),
-                      F.length(F.call_function("regexp_extract", contents, pat, F.lit(1))))
+    def pos16(t):
+        p = F.regexp_instr(contents, F.concat(F.lit(r"(?isu)\b"), regex_escape(t), F.lit(r"\b")))
+        return F.when(p > 0, p)
 
-    return F.get(F.filter(F.transform(_col(term_arr), offset), lambda x: x.isNotNull()), 0)
+    first = F.aggregate(_col(term_arr), F.lit(None).cast("int"), lambda acc, t: F.coalesce(acc, pos16(t)))
+    utf16 = F.encode(contents, "UTF-16LE")
+    prefix = F.decode(F.substring(utf16, F.lit(1), (first - 1) * 2), "UTF-16LE")
+    return F.when(first.isNotNull(), F.length(prefix))
 
 
 def snippet_window(contents, anchor, before: int = C.SNIPPET_BEFORE, window: int = C.SNIPPET_WINDOW,

@@ -95,8 +95,11 @@ def search(topics: DataFrame, idx: Index, fl: Flavour = MAIN, decomp: DataFrame
     if decomp is None:
         decomp = rule_decomposition(topics, fl.trim_mode)
     decomp = with_norm(decomp, fl.escape_mode)
-    lists = list_table(decomp, fl)
-    hits = ranked_lists(lists, idx, fl)
-    fused = U.rrf(hits.select("qid", "sub_ord", "docid", "rank"), fl.rrf_c, fl.fused_depth)
+    # Each stage below is read more than once (a size check, then the join; several
+    # consumers of the hits and of the fused lists), so it is written once to the
+    # shared folder instead of being recomputed from the decomposition each time.
+    lists = cut_lineage(list_table(decomp, fl), "lists")
+    hits = cut_lineage(ranked_lists(lists, idx, fl), "hits")
+    fused = cut_lineage(U.rrf(hits.select("qid", "sub_ord", "docid", "rank"), fl.rrf_c, fl.fused_depth), "fused")
     results = P.render(fused, idx.corpus, topics)
     return {"decomposition": decomp, "lists": lists, "hits": hits, "fused": fused, "results": results}
