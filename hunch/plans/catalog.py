@@ -4,3 +4,4 @@ from . import q_index  # noqa: F401
 from . import q_rules  # noqa: F401
 from . import q_search  # noqa: F401
 from . import q_corpus  # noqa: F401
+from . import q_files  # noqa: F401
