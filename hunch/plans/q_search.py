@@ -182,3 +182,42 @@ def eval_accuracy(spark, sf_dir):
     judgement files) and overall (file_pos NULL)."""
     f = _found(spark, sf_dir).withColumn("file_pos", (F.col("qid").cast("bigint") % 3))
     return E.accuracy(f)
+
+
+# --- I08 phrase reading / I13 ---------------------------------------------------------------------------
+
+_K1, _B = C.BM25_K1, C.BM25_B
+_TFN = f"({{tf}} / ({{tf}} + {_K1}::DOUBLE * ({1.0 - _B}::DOUBLE + {_B}::DOUBLE * {{dl}} / cstats.avg_dl)))"
+_IDF = "ln(1.0::DOUBLE + (cstats.n_docs - vocab.df + 0.5::DOUBLE) / (vocab.df + 0.5::DOUBLE))"
+_PHRASE_SQL = _sql(f""",
+bqt AS (SELECT qid, term, count(*)::DOUBLE AS qtf FROM (SELECT qid, unnest({P.index_terms('norm_query')}) AS term FROM dn)
+        GROUP BY qid, term),
+bsc AS (SELECT bqt.qid, post.docid, sum(bqt.qtf * {_IDF} * {_TFN.format(tf='post.tf', dl='post.dl')}) AS score
+        FROM bqt JOIN vocab USING (term) JOIN post USING (term) CROSS JOIN cstats GROUP BY bqt.qid, post.docid),
+ph0 AS (SELECT qid, l, unnest(range(len(l))) AS pid
+        FROM (SELECT qid, list_concat(list_transform(entities, lambda e: {{'text': e, 'boost': {float(C.ENTITY_BOOST)}::DOUBLE}}),
+                                      list_transform(time, lambda t: {{'text': t, 'boost': {float(C.TIME_BOOST)}::DOUBLE}})) AS l FROM dn)),
+ph1 AS (SELECT qid, pid, l[pid + 1].boost AS boost, {P.index_terms('l[pid + 1].text')} AS terms FROM ph0),
+pt AS (SELECT qid, pid, boost, len(terms) AS plen, unnest(terms) AS term, unnest(range(len(terms))) AS off FROM ph1 WHERE len(terms) > 0),
+pidf AS (SELECT pt.qid, pt.pid, pt.boost, pt.plen, sum({_IDF}) AS pidf FROM pt JOIN vocab USING (term) CROSS JOIN cstats
+         GROUP BY pt.qid, pt.pid, pt.boost, pt.plen HAVING count(*) = pt.plen),
+posn AS (SELECT docid, len(toks) AS dl, unnest(toks) AS term, unnest(range(len(toks))) AS pos FROM docs),
+starts AS (SELECT pt.qid, pt.pid, posn.docid, posn.dl, posn.pos - pt.off AS start, pt.plen, count(DISTINCT pt.off) AS n
+           FROM posn JOIN pt USING (term) GROUP BY pt.qid, pt.pid, posn.docid, posn.dl, posn.pos - pt.off, pt.plen),
+ptf AS (SELECT qid, pid, docid, dl, count(*) AS ptf FROM starts WHERE n = plen GROUP BY qid, pid, docid, dl),
+psc AS (SELECT ptf.qid, ptf.docid, pidf.boost * pidf.pidf * {_TFN.format(tf='ptf.ptf', dl='ptf.dl')} AS score
+        FROM ptf JOIN pidf USING (qid, pid) CROSS JOIN cstats),
+ptot AS (SELECT qid, docid, round(sum(score), 6) AS score FROM (SELECT qid, docid, score FROM bsc UNION ALL SELECT qid, docid, score FROM psc)
+         GROUP BY qid, docid),
+prk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docid)::BIGINT AS rank FROM ptot)
+SELECT qid, docid, score, rank FROM prk WHERE rank <= {C.WEIGHTED_DEPTH}""")
+
+
+@register("bm25_boosted_phrase", _PHRASE_SQL)
+def bm25_boosted_phrase(spark, sf_dir):
+    """I08 (phrase reading) + I13: the boosted query with entity / time spans scored as
+    exact phrases over positional postings, top 100 per passage."""
+    from . import phrase
+    decomp = main_flow(spark, sf_dir)["decomposition"]
+    idx = X.load_index(spark, sf_dir)
+    return phrase.boosted_phrase_hits(decomp, idx, phrase.positions(spark, sf_dir))
