@@ -26,10 +26,15 @@ def query_normalize(spark, sf_dir):
     return conversation_topics(spark, sf_dir).select("qid", T.normalize_query("query").alias("norm_query"))
 
 
-@register("query_latin1_mode")
+_LATIN1 = ("array_to_string(list_transform(range(octet_length(encode(text))), lambda i: "
+           "chr(('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::INTEGER)), '')")
+_LATIN1_SQL = f"SELECT CAST(item_id AS VARCHAR) AS qid, {P.norm(_LATIN1)} AS norm_query FROM benchmark"
+
+
+@register("query_latin1_mode", _LATIN1_SQL)
 def query_latin1_mode(spark, sf_dir):
-    """The ``latin1`` escape mode over ``benchmark`` (rows-only check: DuckDB has no
-    charset re-decode)."""
+    """The ``latin1`` escape mode over ``benchmark``: UTF-8 bytes re-read as
+    ISO-8859-1 before normalising (the oracle spells the re-decode byte by byte)."""
     return benchmark_topics(spark, sf_dir).select(
         "qid", T.normalize_query("query", escape_mode="latin1").alias("norm_query"))
 
