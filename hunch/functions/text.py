@@ -113,12 +113,24 @@ def highlight(snippet, term_arr) -> Column:
 
 
 def snippet(contents, raw_query, stop=C.QUERY_STOP_WORDS) -> Column:
-    """T04-T08 composed: the displayed snippet of one (document, raw query) pair."""
+    """T04-T08 composed as one expression (for small inputs; see ``with_snippet``)."""
     ts = snippet_terms(raw_query, stop)
     anchor = snippet_anchor(contents, ts)
     return highlight(snippet_window(contents, anchor), ts)
 
 
+def with_snippet(df, contents: str = "contents", raw_query: str = "query", out: str = "snippet",
+                 stop=C.QUERY_STOP_WORDS):
+    """T04-T08 as three projections: terms, then anchor, then window + highlight. The
+    anchor is an interpreted higher-order expression that the window and the
+    highlight each read several times; as its own column it is computed once per row
+    (the optimizer does not inline an expensive column into several references)."""
+    t = df.withColumn("_st", snippet_terms(raw_query, stop))
+    t = t.withColumn("_sa", snippet_anchor(contents, "_st"))
+    t = t.withColumn(out, highlight(snippet_window(contents, "_sa"), "_st"))
+    return t.drop("_st", "_sa")
+
+
 def title_of(contents) -> Column:
     """Text before the first newline."""
     return F.substring_index(_col(contents), "\n", 1)

@@ -24,5 +24,6 @@ def render(fused: DataFrame, corpus: DataFrame, topics: DataFrame) -> DataFrame:
     fused rank, fixed before documents missing from the store are skipped (V17)."""
     j = attach_contents(fused, corpus).join(topics.select("qid", "query"), "qid")
     j = j.filter(F.col("contents").isNotNull())
+    j = T.with_snippet(j, "contents", "query")
     return j.select("qid", "rank", "docid", "score", T.score_text("score").alias("score_text"),
-                    T.title_of("contents").alias("title"), T.snippet("contents", "query").alias("snippet"))
+                    T.title_of("contents").alias("title"), "snippet")

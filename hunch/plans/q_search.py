@@ -106,7 +106,7 @@ def snippets(spark, sf_dir):
     from .q_index import passage_subqueries
     hits = R.bm25_search(passage_subqueries(spark, sf_dir), idx, k=C.SUBQUERY_DEPTH)
     j = hits.join(idx.corpus, "docid").join(benchmark_topics(spark, sf_dir), "qid")
-    return j.select("qid", "docid", T.snippet("contents", "query").alias("snippet"))
+    return T.with_snippet(j, "contents", "query").select("qid", "docid", "snippet")
 
 
 _RES_SQL = _sql(f""",
