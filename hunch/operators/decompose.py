@@ -223,6 +223,29 @@ def clean_entities_v2(entities: Column, propn_tokens: Column, trim_mode: str = "
     return F.array_distinct(F.transform(kept, T.python_title))
 
 
+def with_clean_entities_v1(df: DataFrame, col: str, trim_mode: str = "compat", out: str | None = None) -> DataFrame:
+    """N14 over a DataFrame: the stripped list and its comparison list become columns
+    first, so each entity's substring test reads them instead of recomputing them
+    (which would be quadratic in the number of entities of a question)."""
+    t = df.withColumn("_ents", F.transform(F.coalesce(F.col(col), _empty()), _strip))
+    t = t.withColumn("_others", F.col("_ents") if trim_mode == "compat" else F.transform("_ents", _trim_suffix))
+    kept = F.filter(F.transform(F.filter("_ents", lambda e: T.word_count(e) != 1), _trim_suffix),
+                    lambda e: _not_substring_of_other(e, F.col("_others")))
+    return t.withColumn(out or col, sorted_set(F.transform(kept, T.python_title))).drop("_ents", "_others")
+
+
+def with_clean_entities_v2(df: DataFrame, col: str, propn_col: str, trim_mode: str = "fixed",
+                           out: str | None = None) -> DataFrame:
+    """N15 over a DataFrame (see ``with_clean_entities_v1``)."""
+    t = df.withColumn("_ents", F.filter(F.transform(F.coalesce(F.col(col), _empty()), _strip), lambda e: e != ""))
+    t = t.withColumn("_trim", F.transform("_ents", _trim_suffix))
+    others = F.col("_ents") if trim_mode == "compat" else F.col("_trim")
+    propn = F.coalesce(F.col(propn_col), _empty())
+    kept = F.filter("_trim", lambda e: F.when(T.word_count(e) == 1, F.array_contains(propn, e))
+                    .otherwise(_not_substring_of_other(e, others)))
+    return t.withColumn(out or col, sorted_set(F.transform(kept, T.python_title))).drop("_ents", "_trim")
+
+
 def clean_descriptions(arr: Column, lo: int, hi: int) -> Column:
     """Distinct, ``lo..hi`` words, sorted."""
     return sorted_set(F.filter(arr, lambda d: (T.word_count(d) >= lo) & (T.word_count(d) <= hi)))
@@ -251,12 +274,13 @@ def decompose(topics: DataFrame, ann: DataFrame, sents: DataFrame, trim_mode: st
     j = topics.join(routed, "qid", "left").join(propn, "qid", "left").join(chunks, "qid", "left") \
         .join(rel, "qid", "left").join(evp, "qid", "left").join(evl, "qid", "left").join(media, "qid", "left")
     e = _empty()
+    j = with_clean_entities_v2(j, "entities", "propn", trim_mode)
     desc = F.concat(F.coalesce("chunk_desc", e), F.coalesce("rel_desc", e), F.coalesce("event_desc", e))
     lo, hi = C.DESC_WORDS_V2
     return j.select(
         "qid", "query",
         F.coalesce("media_type", e).alias("media_type"),
-        sorted_set(clean_entities_v2(F.coalesce("entities", e), F.coalesce("propn", e), trim_mode)).alias("entities"),
+        "entities",
         sorted_set(F.coalesce("time", e)).alias("time"),
         clean_descriptions(desc, lo, hi).alias("descriptions"),
         F.coalesce("events", F.array().cast(f"array<{_EVENT_T}>")).alias("events"))
@@ -272,10 +296,11 @@ def decompose_v1(topics: DataFrame, ann: DataFrame, trim_mode: str = "compat") -
     j = topics.join(routed, "qid", "left").join(chunks, "qid", "left").join(svo, "qid", "left") \
         .join(media, "qid", "left")
     e = _empty()
+    j = with_clean_entities_v1(j, "entities", trim_mode)
     lo, hi = C.DESC_WORDS_V1
     return j.select(
         "qid", "query", F.coalesce("media_type", e).alias("media_type"),
-        sorted_set(clean_entities_v1(F.coalesce("entities", e), trim_mode)).alias("entities"),
+        "entities",
         sorted_set(F.coalesce("time", e)).alias("time"),
         clean_descriptions(F.concat(F.coalesce("chunk_desc", e), F.coalesce("svo_desc", e)), lo, hi).alias("descriptions"))
 

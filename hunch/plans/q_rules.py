@@ -206,18 +206,22 @@ def decomp_desc_clean(spark, sf_dir):
     return D.decompose(topics, ann, sents).select("qid", _sj("descriptions").alias("descriptions"))
 
 
-@register("entity_clean_v1", _with_docs(f"SELECT qid, {_j('entities')} AS entities FROM decomp1"))
+@register("entity_clean_v1", _with_docs(f"SELECT qid, {_j('entities')} AS entities FROM ents1"))
 def entity_clean_v1(spark, sf_dir):
     """N14 (compat trimming, as the first decomposer behaves)."""
     topics, ann, _ = _base(spark, sf_dir, "documents")
-    return D.decompose_v1(topics, ann, "compat").select("qid", _sj("entities").alias("entities"))
+    r = topics.select("qid").join(D.route_labels(D.entity_spans(ann)), "qid", "left")
+    return D.with_clean_entities_v1(r, "entities", "compat").select("qid", _sj("entities").alias("entities"))
 
 
-@register("entity_clean_v2", _with_docs(f"SELECT qid, {_j('entities')} AS entities FROM decomp"))
+@register("entity_clean_v2", _with_docs(f"SELECT qid, {_j('entities')} AS entities FROM ents2"))
 def entity_clean_v2(spark, sf_dir):
     """N15 (fixed trimming)."""
-    topics, ann, sents = _base(spark, sf_dir, "documents")
-    return D.decompose(topics, ann, sents).select("qid", _sj("entities").alias("entities"))
+    topics, ann, _ = _base(spark, sf_dir, "documents")
+    r = D.with_fallback_names(topics, D.route_labels(D.entity_spans(ann)))
+    propn = ann.filter(F.col("pos") == "PROPN").groupBy("qid").agg(F.collect_set("text").alias("propn"))
+    r = r.join(propn, "qid", "left")
+    return D.with_clean_entities_v2(r, "entities", "propn", "fixed").select("qid", _sj("entities").alias("entities"))
 
 
 _DC_SQL = _with(f"""SELECT qid, {_j('media_type')} AS media_type, {_j('entities')} AS entities, {_j('time')} AS time,

@@ -87,6 +87,27 @@ def sorted_set(x: str) -> str:
     return f"list_sort(list_distinct({x}))"
 
 
+def entity_ctes(trim_mode_v2: str = "fixed", trim_mode_v1: str = "compat") -> str:
+    """N14 / N15 as steps: the stripped list and its trimmed form are columns computed
+    once per question, then every entity is tested against them."""
+    title = f"lambda e: {py_title('e')}"
+    others2 = "ents" if trim_mode_v2 == "compat" else "trimmed"
+    others1 = "ents" if trim_mode_v1 == "compat" else "trimmed"
+    keep2 = (f"CASE WHEN {wc('e')} = 1 THEN list_contains(propn, e) "
+             f"ELSE coalesce({not_sub('e', others2)}, true) END")
+    return f"""
+ents2a AS (SELECT t.qid, list_filter(list_transform(coalesce(fb.entities, []::VARCHAR[]), lambda e: {strip_ws('e')}), lambda e: e <> '') AS ents,
+                  coalesce(pp.propn, []::VARCHAR[]) AS propn
+           FROM topics t JOIN fallback fb USING (qid) LEFT JOIN propn pp USING (qid)),
+ents2b AS (SELECT *, list_transform(ents, lambda e: {trim_suffix('e')}) AS trimmed FROM ents2a),
+ents2 AS (SELECT qid, {sorted_set(f"list_transform(list_filter(trimmed, lambda e: {keep2}), {title})")} AS entities FROM ents2b),
+ents1a AS (SELECT t.qid, list_transform(coalesce(r.entities, []::VARCHAR[]), lambda e: {strip_ws('e')}) AS ents
+           FROM topics t LEFT JOIN routed r USING (qid)),
+ents1b AS (SELECT *, list_transform(ents, lambda e: {trim_suffix('e')}) AS trimmed FROM ents1a),
+ents1 AS (SELECT qid, {sorted_set(f"list_transform(list_filter(list_transform(list_filter(ents, lambda e: {wc('e')} <> 1), lambda e: {trim_suffix('e')}), lambda e: coalesce({not_sub('e', others1)}, true)), {title})")} AS entities
+          FROM ents1b)"""
+
+
 def rule_ctes(topics_sql: str, trim_mode: str = "fixed") -> str:
     low = "lower(text)"
     tkind = (f"CASE WHEN {_in(low, L.DATE_WORDS)} OR regexp_matches({low}, {q(L.YEAR_RE)}) "
@@ -245,7 +266,7 @@ tags AS (SELECT qid, array_to_string(list(CASE WHEN lower(text) = 'where' THEN '
 rel AS (SELECT a.qid, a.tok_i, s.sent AS clause FROM ann a JOIN tags t USING (qid)
         JOIN sents s ON s.qid = a.qid AND s.sent_i = a.sent_i
         WHERE lower(a.text) IN ('where', 'who') AND regexp_matches(substring(t.tags, a.tok_i + 1), '^(WD?N+V+|HV+)')),
-propn AS (SELECT qid, list(DISTINCT text) AS propn FROM ann WHERE pos = 'PROPN' GROUP BY qid),
+propn AS (SELECT qid, list(DISTINCT text) AS propn FROM ann WHERE pos = 'PROPN' GROUP BY qid),{entity_ctes(trim_mode)},
 descs AS (SELECT t.qid,
              list_concat(list_concat(
                coalesce((SELECT list(description ORDER BY chunk_id) FROM cdesc2 c WHERE c.qid = t.qid), []::VARCHAR[]),
@@ -253,13 +274,13 @@ descs AS (SELECT t.qid,
                coalesce((SELECT list(phrase ORDER BY tok_i) FROM evphr e WHERE e.qid = t.qid), []::VARCHAR[])) AS d
           FROM topics t),
 decomp AS (SELECT t.qid, t.query, coalesce(m.media_type, []::VARCHAR[]) AS media_type,
-             {sorted_set(clean_v2('coalesce(fb.entities, []::VARCHAR[])', 'coalesce(pp.propn, []::VARCHAR[])', trim_mode))} AS entities,
+             e2.entities,
              {sorted_set('fb.time')} AS time,
              {sorted_set(f"list_filter(ds.d, lambda x: {wc('x')} BETWEEN {lo2} AND {hi2})")} AS descriptions
-           FROM topics t JOIN fallback fb USING (qid) LEFT JOIN media m USING (qid) LEFT JOIN propn pp USING (qid)
+           FROM topics t JOIN fallback fb USING (qid) LEFT JOIN media m USING (qid) JOIN ents2 e2 USING (qid)
            JOIN descs ds USING (qid)),
 decomp1 AS (SELECT t.qid, coalesce(m.media_type, []::VARCHAR[]) AS media_type,
-             {sorted_set(clean_v1('coalesce(r.entities, []::VARCHAR[])', 'compat'))} AS entities,
+             e1.entities,
              {sorted_set('coalesce(r.time, []::VARCHAR[])')} AS time,
              {sorted_set(f"list_filter(list_concat(coalesce((SELECT list(description ORDER BY chunk_id) FROM cdesc1 c WHERE c.qid = t.qid), []::VARCHAR[]), coalesce((SELECT list(phrase ORDER BY tok_i) FROM svo WHERE svo.qid = t.qid), []::VARCHAR[])), lambda x: {wc('x')} BETWEEN {lo1} AND {hi1})")} AS descriptions
-           FROM topics t LEFT JOIN routed r USING (qid) LEFT JOIN media m USING (qid))"""
+           FROM topics t LEFT JOIN routed r USING (qid) LEFT JOIN media m USING (qid) JOIN ents1 e1 USING (qid))"""
