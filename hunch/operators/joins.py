@@ -19,8 +19,9 @@ SALTS = 32
 HOT_KEYS_MAX = 100_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (counted, not estimated)."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 

@@ -57,7 +57,11 @@ def passage_judgements(spark: SparkSession, sf_dir: str, postings: DataFrame | N
     interior = F.slice(toks, 2, F.greatest(F.size(toks) - 2, F.lit(0)))
     probe = F.get(F.array_sort(F.transform(interior, lambda t: F.struct((-F.length(t)).alias("l"), t.alias("t")))), 0)["t"]
     bp = b.withColumn("probe", F.when(F.size(toks) >= 3, probe))
-    cand = postings.select(F.col("term").alias("probe"), "docid").join(bp.filter(F.col("probe").isNotNull()), "probe")
+    # A common probe term would put its whole posting list in one task: salt it.
+    post = postings.select(F.col("term").alias("probe"), "docid")
+    n_post = post.count()
+    hot = post.groupBy("probe").count().filter(F.col("count") > J.hot_threshold(n_post)).select("probe")
+    cand = J.salted_join(bp.filter(F.col("probe").isNotNull()), post, "probe", hot)
     long_hits = cand.join(d, "docid").filter(F.col("text").contains(F.col("passage"))).select("qid", "docid")
     short_hits = by_scan(bp.filter(F.col("probe").isNull()).select("qid", "passage"))
     return long_hits.unionByName(short_hits).select("qid", "docid", F.lit(1).alias("rel"))
