@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..operators import joins as J
 from ..session import cut_lineage, fresh_path
 from . import sinks
 
@@ -97,20 +98,47 @@ def prefix_sums(lines: DataFrame, order_col: str = "line_no", size_col: str = "n
     return j.withColumn("en", en).withColumn("st", F.col("en") - F.col(size_col)).drop("_pid", "_off")
 
 
+def next_start(pos: DataFrame, limit: int, total: int) -> DataFrame:
+    """``(s, t)``: if a chunk starts at line start ``s``, the next one starts at ``t``.
+
+    The chunk from ``s`` holds the lines ending at or before ``s + limit``, so ``t`` is the
+    start of the line covering byte ``s + limit`` — unless that line is the one starting
+    at ``s`` (a line longer than the limit gets a chunk of its own: ``t`` is its end). The
+    covering line is found by an equi-join on width-``limit`` byte buckets (a line is
+    listed under every bucket it overlaps), not by a range scan."""
+    cov = pos.select(F.col("st").alias("c_st"), F.col("en").alias("c_en"),
+                     F.explode(F.sequence(F.floor(F.col("st") / limit), F.floor((F.col("en") - 1) / limit))).alias("b"))
+    probe = pos.select(F.col("st").alias("s"), F.col("en").alias("s_en"), (F.col("st") + limit).alias("v")) \
+        .withColumn("b", F.floor(F.col("v") / limit))
+    inside = probe.filter(F.col("v") < total).join(cov, "b") \
+        .filter((F.col("c_st") <= F.col("v")) & (F.col("v") < F.col("c_en")))
+    t = F.when(F.col("c_st") == F.col("s"), F.col("s_en")).otherwise(F.col("c_st"))
+    tail = probe.filter(F.col("v") >= total).select("s", F.lit(total).cast("bigint").alias("t"))
+    return inside.select("s", t.cast("bigint").alias("t")).unionByName(tail)
+
+
 def chunk_bounds(pos: DataFrame, limit: int) -> list[int]:
-    """Start offsets of the next-fit chunks. From a chunk start ``s`` the chunk holds the
-    lines with ``st >= s`` and ``en <= s + limit`` (they are contiguous), or the single
-    line starting at ``s`` when that line alone exceeds the limit. One pruned aggregate
-    per chunk; chunks are few (total bytes / limit)."""
+    """Start offsets of the next-fit chunks: the nodes reachable from offset 0 along
+    ``next_start``. Pointer doubling — ``A <- A + J(A)``, ``J <- J o J`` — reaches the end
+    after about log2(#chunks) rounds; each round is a join of the line table with itself
+    (written to the shared folder) and a join of the few reached starts against it."""
+    spark = pos.sparkSession
     total = pos.agg(F.max("en")).first()[0] or 0
-    bounds, s = [], 0
-    while s < total:
-        bounds.append(s)
-        r = pos.filter((F.col("st") >= s) & (F.col("en") <= s + limit)).agg(F.max("en")).first()[0]
-        if r is None:
-            r = pos.filter(F.col("st") == s).agg(F.max("en")).first()[0]
-        s = r
-    return bounds
+    if total == 0:
+        return []
+    jump = cut_lineage(next_start(pos, limit, total).unionByName(
+        spark.createDataFrame([(total, total)], "s long, t long")), "jump")
+    reached = spark.createDataFrame([(0,)], "s long")
+    while True:
+        small = reached if not J.fits_broadcast(reached) else F.broadcast(reached)
+        step = jump.join(small, "s").select(F.col("t").alias("s"))
+        reached = cut_lineage(reached.unionByName(step).distinct(), "reached")
+        if reached.filter(F.col("s") == total).limit(1).count() > 0:
+            break
+        nxt = jump.alias("a").join(jump.alias("b"), F.col("a.t") == F.col("b.s")) \
+            .select(F.col("a.s").alias("s"), F.col("b.t").alias("t"))
+        jump = cut_lineage(nxt, "jump")
+    return sorted(r["s"] for r in reached.filter(F.col("s") < total).collect())
 
 
 def next_fit_chunks(lines: DataFrame, limit: int = C.CHUNK_LIMIT_BYTES, order_col: str = "line_no") -> DataFrame:
@@ -118,7 +146,7 @@ def next_fit_chunks(lines: DataFrame, limit: int = C.CHUNK_LIMIT_BYTES, order_co
     close the chunk before a line when it would exceed ``limit`` and is not empty."""
     spark = lines.sparkSession
     pos = cut_lineage(prefix_sums(line_bytes(lines), order_col), "offsets")
-    bounds = chunk_bounds(pos.select("st", "en"), limit)
+    bounds = chunk_bounds(pos.select("st", "en"), limit)   # few: about total bytes / limit
     total = pos.agg(F.max("en")).first()[0] or 0
     rows = [(i + 1, b, (bounds[i + 1] if i + 1 < len(bounds) else total)) for i, b in enumerate(bounds)]
     # A chunk covers the width-`limit` buckets its byte range touches; each line is then
