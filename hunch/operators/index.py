@@ -116,7 +116,7 @@ def build_index(spark: SparkSession, corpus: DataFrame, path: str, stop=C.INDEX_
 
 def load_index(spark: SparkSession, sf_dir: str, stop=C.INDEX_STOP_WORDS, stemmer: str = "none") -> Index:
     """The index of ``documents`` under ``sf_dir``, built at most once per application."""
-    from ..sources.tables import read_table
+    from ..sources.tables import read_table, spread
 
     key = _key(sf_dir, list(stop), stemmer)
     app = spark.sparkContext.applicationId
@@ -124,7 +124,7 @@ def load_index(spark: SparkSession, sf_dir: str, stop=C.INDEX_STOP_WORDS, stemme
         hit = _MEMO.get(app + key)
         if hit is not None:
             return hit
-        corpus = corpus_from_documents(read_table(spark, sf_dir, "documents"))
+        corpus = corpus_from_documents(spread(read_table(spark, sf_dir, "documents")))
         idx = build_index(spark, corpus, app_scratch(spark, "index", key), list(stop), stemmer)
         _MEMO[app + key] = idx
         return idx

@@ -13,6 +13,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Round-robin ``df`` over the cores when it comes from fewer files than there are
+    cores (a small table in one file would otherwise be read, and its per-row work done,
+    by a single task). A large input already arrives in many splits and is left alone."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n_files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 - not a file scan
+        return df
+    return df.repartition(par * factor) if n_files < par else df
+
+
 def benchmark_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics ``(qid, query)`` from ``benchmark``: one long passage per question."""
     return read_table(spark, sf_dir, "benchmark").select(
