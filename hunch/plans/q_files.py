@@ -23,7 +23,7 @@ def _write_topics(spark, sf_dir, by_file: bool):
     draft = b.filter(F.col("item_id") % 5 == 0).select("item_id", F.lit(0).alias("v"),
                                                        F.concat(F.lit("draft: "), "text").alias("query"))
     lines = final.unionByName(draft).withColumn("file", F.concat(F.lit("q_"), (F.col("item_id") % 3).cast("string")))
-    out = lines.repartitionByRange("item_id").sortWithinPartitions("item_id", "v").select(
+    out = lines.repartitionByRange("item_id").sortWithinPartitions("file", "item_id", "v").select(
         "file", F.to_json(F.struct(F.col("item_id").cast("string").alias("query_id"), "query")).alias("value"))
     path = fresh_path(spark, "topics")
     if by_file:
@@ -46,7 +46,9 @@ def _write_qrels(spark, sf_dir):
     lines = good.unionByName(bad).withColumn("file", F.concat(F.lit("r_"), (F.col("qid").cast("bigint") % 3).cast("string")))
     lines = lines.filter(F.col("file") != "r_2")
     path = fresh_path(spark, "qrels")
-    lines.repartitionByRange("qid").sortWithinPartitions("qid", "docid").select("file", "value") \
+    # The writer needs rows ordered by the partition column; leading the sort with it
+    # keeps the line order inside each file exactly as written (no re-sort by the writer).
+    lines.repartitionByRange("qid").sortWithinPartitions("file", "qid", "docid").select("file", "value") \
         .write.partitionBy("file").text(path)
     return path
 

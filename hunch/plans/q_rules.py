@@ -11,7 +11,7 @@ from ..functions import text as T
 from ..operators import annotate as A
 from ..operators import decompose as D
 from ..session import cut_lineage
-from ..sources.tables import conversation_topics, read_table
+from ..sources.tables import conversation_topics, read_table, spread
 from . import sql_rules as S
 from .registry import register
 
@@ -41,7 +41,7 @@ def _sj(c):
 
 def doc_topics(spark, sf_dir):
     """Every document as a question: the only table with capitalised name runs."""
-    return read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("qid"),
+    return spread(read_table(spark, sf_dir, "documents")).select(F.col("doc_id").cast("string").alias("qid"),
                                                          F.col("text").alias("query"))
 
 

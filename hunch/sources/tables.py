@@ -55,7 +55,7 @@ def passage_judgements(spark: SparkSession, sf_dir: str, postings: DataFrame | N
 
     b = read_table(spark, sf_dir, "benchmark").select(
         F.col("item_id").cast("string").alias("qid"), F.col("text").alias("passage"))
-    d = read_table(spark, sf_dir, "documents").select(
+    d = spread(read_table(spark, sf_dir, "documents")).select(
         F.col("doc_id").cast("string").alias("docid"), F.col("text"))
 
     def by_scan(p: DataFrame) -> DataFrame:
