@@ -81,13 +81,22 @@ def line_bytes(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return lines.withColumn("nbytes", (F.octet_length(value_col) + 1).cast("bigint"))
 
 
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
 def prefix_sums(lines: DataFrame, order_col: str = "line_no", size_col: str = "nbytes",
                 partitions: int | None = None) -> DataFrame:
     """Running byte offsets ``st`` (before the line) and ``en`` (after it), two-phase:
     range-partition by line order, total each partition, turn the (few) totals into
-    offsets, add each partition's running sum. Written to the shared folder so a
-    re-run after executor loss sees the same partition ids."""
-    n = partitions or lines.sparkSession.sparkContext.defaultParallelism
+    offsets, add each partition's running sum. Partitions are sized by bytes (about
+    128 MB each, at least one per core), so each running-sum window stays small at any
+    corpus size. Written to the shared folder so a re-run after executor loss sees the
+    same partition ids."""
+    par = lines.sparkSession.sparkContext.defaultParallelism
+    if partitions is None:
+        total = lines.agg(F.sum(size_col)).first()[0] or 0
+        partitions = max(par, -(-int(total) // PARTITION_BYTES))
+    n = partitions
     r = cut_lineage(lines.repartitionByRange(n, order_col).withColumn("_pid", F.spark_partition_id()), "ranged")
     totals = r.groupBy("_pid").agg(F.sum(size_col).alias("_tot"))          # one row per partition
     offs = totals.select("_pid", F.coalesce(F.sum("_tot").over(
