@@ -46,6 +46,13 @@ def build_session(master: str | None = None, app_name: str = "hunch", shuffle_pa
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not (master or "").startswith("local") and not shuffle_partitions:
+        # On a cluster, start every shuffle with several partitions per core and let AQE
+        # coalesce them to its advisory size: the postings shuffle grows with the corpus,
+        # a fixed small count would make each reducer hold gigabytes.
+        n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     shared_dir(spark)
     return spark
 
