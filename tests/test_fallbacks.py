@@ -29,3 +29,15 @@ def test_judgements_probe_route_equals_scan(spark, monkeypatch):
     monkeypatch.setattr(J, "BROADCAST_MAX_ROWS", 5)
     b = _rows(passage_judgements(spark, SF_CHECK, idx.postings))
     assert a == b and len(a) > 0
+
+
+def test_attach_contents_routes_agree(spark, monkeypatch):
+    from hunch.operators import present as P
+    idx = X.load_index(spark, SF_CHECK)
+    fused = R.bm25_search(passage_subqueries(spark, SF_CHECK), idx, k=50).select("qid", "docid", "score", "rank")
+    a = _rows(P.attach_contents(fused, idx.corpus).select("qid", "docid", "contents"))
+    monkeypatch.setattr(J, "BROADCAST_MAX_ROWS", 1500)   # fused (2000 rows) no longer fits, its ids do
+    b = _rows(P.attach_contents(fused, idx.corpus).select("qid", "docid", "contents"))
+    monkeypatch.setattr(J, "BROADCAST_MAX_ROWS", 0)
+    c = _rows(P.attach_contents(fused, idx.corpus).select("qid", "docid", "contents"))
+    assert a == b == c and len(a) == 2000
