@@ -139,7 +139,11 @@ def _run_start(flag: str, brk: str) -> Column:
 
 
 def _whole(part: str):
-    return Window.partitionBy("qid", "sent_i", part).orderBy("tok_i") \
+    """All rows of one run. Rows outside any run (``part`` NULL) get a partition each,
+    so a whole-run aggregate such as ``collect_list`` is not copied into every other
+    token of the sentence (which would be quadratic in the sentence length)."""
+    key = F.coalesce(F.col(part), -1 - F.col("tok_i"))
+    return Window.partitionBy("qid", "sent_i", key).orderBy("tok_i") \
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
