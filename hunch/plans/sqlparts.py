@@ -153,7 +153,7 @@ def fusion_ctes(lists_cte: str, c: int, k: int = C.FUSED_DEPTH) -> str:
     """CTEs ``rrfs`` (all fused scores) and ``fused`` (top k) over ``lists_cte(qid, sub_ord, docid, rank)``."""
     return f"""
 rrfs AS (SELECT qid, docid, sum(1.0::DOUBLE / ({float(c)}::DOUBLE + rank)) AS score,
-                min(sub_ord * 1000 + rank) // 1000 AS first_sub_ord, min(sub_ord * 1000 + rank) % 1000 AS first_rank
+                (min(sub_ord * 1000 + rank) // 1000)::INTEGER AS first_sub_ord, min(sub_ord * 1000 + rank) % 1000 AS first_rank
          FROM {lists_cte} GROUP BY qid, docid),
 fused_all AS (SELECT qid, docid, round(score, 9) AS score, first_sub_ord, first_rank,
                      row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, first_sub_ord, first_rank)::BIGINT AS rank
