@@ -41,3 +41,25 @@ reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, t.b FROM reach r JO
 SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)) AS component_id
 FROM n LEFT JOIN reach r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
 """
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .linededup import line_dedup
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op5_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents WHERE doc_id IS NOT NULL),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM d),
+k AS (SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+o AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key),
+m AS (SELECT k.doc_id, k.pos, k.line, o.owner IS NOT NULL AND o.owner <> k.doc_id AS gone FROM k LEFT JOIN o ON k.key = o.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
