@@ -97,3 +97,12 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .shards import lpt_shards
+    return lpt_shards(table(spark, sf_dir, "documents"), n_shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
