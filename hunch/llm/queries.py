@@ -106,3 +106,9 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .shards import lpt_shards
     return lpt_shards(table(spark, sf_dir, "documents"), n_shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import language_id
+    return language_id(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
