@@ -112,3 +112,9 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import language_id
     return language_id(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import scan_secrets
+    return scan_secrets(table(spark, sf_dir, "documents"))
