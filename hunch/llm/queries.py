@@ -118,3 +118,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan_secrets
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .ann import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
