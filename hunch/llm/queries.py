@@ -126,3 +126,9 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .ann import nearest
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ordering import order_documents
+    return order_documents(spark, table(spark, sf_dir, "documents"))
