@@ -132,3 +132,9 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ordering import order_documents
     return order_documents(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import format_chats
+    return format_chats(table(spark, sf_dir, "conversations"))
