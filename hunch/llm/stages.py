@@ -1,4 +1,8 @@
-"""The stages of the corpus pipeline: each applies one operator to ``documents`` rows."""
+"""The stages of the corpus pipeline: each applies one operator to ``documents`` rows.
+
+All but the last return the columns they got. A row without an id cannot be judged by any
+operator and does not survive the first stage.
+"""
 
 from __future__ import annotations
 
@@ -8,18 +12,55 @@ from pyspark.sql import functions as F
 from . import common as C
 
 
+def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without any letter (no language); the others get their predicted language."""
+    from .langid import language_id
+    C.ship(spark)
+    found = language_id(docs).filter("lang_pred <> 'und'").groupBy("doc_id").agg(F.min("lang_pred").alias("__lang"))
+    return docs.join(found, "doc_id").withColumn("lang", F.col("__lang")).select(docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds are cut out; a document that loses all its text goes."""
+    from .linededup import line_dedup
+    C.ship(spark)
+    kept = line_dedup(docs).filter("n_dropped < n_lines").dropDuplicates(["doc_id"]).select("doc_id", F.col("text").alias("__text"))
+    out = docs.join(kept, "doc_id").withColumn("text", F.col("__text")).withColumn("n_chars", F.length("__text").cast("long"))
+    return out.filter(F.length(F.btrim("text", F.lit(" \t\n\x0b\f\r"))) > 0).select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8: the smallest id of each group stays."""
     from .jaccard import jaccard_components
-    j = jaccard_components(docs, k=5, num=80, den=100)
-    keep = C.cut(j.filter("doc_id = component_id").select("doc_id"), "kept")
-    return docs.join(keep, "doc_id", "left_semi").select(docs.columns)
+    C.ship(spark)
+    return _keep(docs, jaccard_components(docs, k=5, num=80, den=100).filter("doc_id = component_id"))
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a ten-word window of a benchmark item go."""
+    from .decontam import decontaminate
+    C.ship(spark)
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return _keep(docs, decontaminate(docs, items).filter("n_hit = 0"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of what is left, packed into sequences of 1024 tokens."""
+    from .packing import pack_documents
+    C.ship(spark)
+    return pack_documents(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates),
+          ("benchmark_leaks", benchmark_leaks), ("packing", packing)]
 
 
 def run(spark: SparkSession, sf_dir: str, stages) -> DataFrame:
+    """Each stage over all rows that its predecessor kept, written to the shared folder between stages."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in stages:
         docs = C.cut(stage(spark, docs, sf_dir), f"stage-{name}")
