@@ -170,3 +170,24 @@ def capitalised_names(q) -> Column:
 def strip_code_fence(reply) -> Column:
     """Drop a leading triple-backtick json line opener and trailing fences."""
     return F.regexp_replace(F.trim(_col(reply)), C.CODE_FENCE_RE, "")
+
+
+LINE_END = "__end_of_line__"
+
+
+def parse_json_strict(e: Column, fields: str) -> Column:
+    """``e`` as STRUCT<fields>, or null unless the whole string is exactly one JSON object.
+
+    Spark's parser stops after the first value and takes single quotes. Here quotes must be
+    double, and the string is parsed inside an outer object whose last field is only reached
+    if nothing but white space follows the inner value."""
+    outer = F.concat(F.lit('{"v":'), e, F.lit(f',"{LINE_END}":1}}'))
+    j = F.from_json(outer, f"v STRUCT<{fields}>, {LINE_END} INT, _corrupt STRING",
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"})
+    whole = j["_corrupt"].isNull() & (j[LINE_END] == 1) & ~F.contains(e, F.lit(LINE_END))
+    return F.when(whole, j["v"])
+
+
+def strip(e: Column) -> Column:
+    """Python ``str.strip()``: all white space at both ends, not only blanks."""
+    return F.regexp_replace(e, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")

@@ -15,8 +15,8 @@ from .. import constants as C
 from ..functions import text as T
 from . import decompose as D
 
-REPLY_SCHEMA = ("media_type ARRAY<STRING>, entities ARRAY<STRING>, attributes ARRAY<STRING>, "
-                "time ARRAY<STRING>, descriptions ARRAY<STRING>")
+REPLY_FIELDS = ("media_type: ARRAY<STRING>, entities: ARRAY<STRING>, attributes: ARRAY<STRING>, "
+                "time: ARRAY<STRING>, descriptions: ARRAY<STRING>")
 FIELDS = ["media_type", "entities", "attributes", "time", "descriptions"]
 
 
@@ -28,7 +28,7 @@ def prompt_table(topics: DataFrame) -> DataFrame:
 
 def parse_replies(replies: DataFrame) -> DataFrame:
     """T16 + T17: ``(qid, media_type, entities, attributes, time, descriptions)``."""
-    j = F.from_json(T.strip_code_fence("reply"), REPLY_SCHEMA)
+    j = T.parse_json_strict(T.strip_code_fence("reply"), REPLY_FIELDS)
     p = replies.select("qid", j.alias("j"))
     e = F.array().cast("array<string>")
     return p.select("qid", *[F.coalesce(F.col(f"j.{f}"), e).alias(f) for f in FIELDS])
@@ -39,18 +39,3 @@ def filter_components(parsed: DataFrame) -> DataFrame:
     return parsed.withColumns({"entities": D.filter_entities(F.col("entities")),
                                "attributes": D.normalize_attributes(F.col("attributes")),
                                "descriptions": D.filter_descriptions(F.col("descriptions"))})
-
-
-def replies_from_decomposition(decomp: DataFrame, ann: DataFrame) -> DataFrame:
-    """A stand-in reply table derived from the data: each question's rule decomposition
-    (plus its noun-chunk roots as attributes) rendered as a fenced JSON reply. Every
-    fourth reply is free text and every ninth a JSON array, as failing replies look."""
-    roots = D.chunk_texts(ann).groupBy("qid").agg(
-        D.sorted_set(F.collect_list(F.lower("root_text"))).alias("attributes"))
-    d = decomp.join(roots, "qid", "left").withColumn(
-        "attributes", F.coalesce("attributes", F.array().cast("array<string>")))
-    body = F.to_json(F.struct(*[F.col(f) for f in FIELDS]))
-    n = F.col("qid").cast("bigint")
-    reply = (F.when(n % 4 == 3, F.lit("sorry, no")).when(n % 9 == 0, F.lit("[1]"))
-             .otherwise(F.concat(F.lit("```json\n"), body, F.lit("\n```"))))
-    return d.select("qid", reply.alias("reply"))

@@ -30,9 +30,7 @@ def sorted_set(arr) -> Column:
     return F.array_sort(F.array_distinct(arr))
 
 
-def _strip(e: Column) -> Column:
-    """Python ``str.strip()`` (all whitespace, not only blanks)."""
-    return F.regexp_replace(e, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+_strip = T.strip
 
 
 def _empty() -> Column:
@@ -115,21 +113,40 @@ def svo_v1(ann: DataFrame) -> DataFrame:
 
 
 def subtree_phrases(ann: DataFrame) -> DataFrame:
-    """``(qid, prep_i, head_i, phrase)`` — every token below each ``prep``, in order,
-    found by a recursive walk down ``head_i`` (depth-bounded)."""
-    spark = ann.sparkSession
-    return spark.sql("""
-        WITH RECURSIVE sub(qid, prep_i, tok_i, depth) AS (
-            SELECT qid, tok_i AS prep_i, tok_i, 0 FROM {ann} WHERE dep = 'prep'
-            UNION ALL
-            SELECT a.qid, s.prep_i, a.tok_i, s.depth + 1
-            FROM sub s JOIN {ann} a ON a.qid = s.qid AND a.head_i = s.tok_i AND a.tok_i <> a.head_i
-            WHERE s.depth < 40)
-        SELECT s.qid, s.prep_i,
-               array_join(transform(array_sort(collect_list(struct(a.tok_i, a.text))), x -> x.text), ' ') AS phrase
-        FROM sub s JOIN {ann} a ON a.qid = s.qid AND a.tok_i = s.tok_i
-        GROUP BY s.qid, s.prep_i""", ann=ann.select("qid", "tok_i", "head_i", "dep", "text")) \
-        .join(ann.select("qid", F.col("tok_i").alias("prep_i"), "head_i"), ["qid", "prep_i"])
+    """``(qid, prep_i, head_i, phrase)`` — every token below each ``prep``, in order.
+
+    A question's head pointers form one small array. Pointer doubling over it gathers, for
+    every token, the ``prep`` tokens among its ancestors: after round k a token knows those on
+    the 2**k steps above it. The rounds follow from the question's length, so any depth is
+    covered (a cycle of heads, which no tree has, just ends). One group by question; grouping
+    by (question, prep) afterwards needs no further exchange."""
+    tok = F.array_sort(F.collect_list(F.struct("tok_i", "head_i", (F.col("dep") == "prep").alias("prep"), "text")))
+    q = ann.groupBy("qid").agg(tok.alias("t")).withColumn("ids", F.col("t.tok_i"))
+
+    def place(x):
+        """Index (from 1) of the head of ``x`` in the array; 0 for a root or a head outside it."""
+        guess = x["head_i"] - F.get("ids", F.lit(0)) + 1  # token numbers are usually consecutive
+        near = F.get(F.col("ids"), (guess - 1).cast("int")) == x["head_i"]
+        at = F.when(F.coalesce(near, F.lit(False)), guess).otherwise(F.array_position("ids", x["head_i"]))
+        return F.when((x["head_i"] == x["tok_i"]) | x["head_i"].isNull(), 0).otherwise(at).cast("int")
+    none = F.array().cast("array<int>")
+    start = F.struct(
+        F.transform("t", place).alias("up"),
+        F.transform("t", lambda x, i: F.when(x["prep"], F.array((i + 1).cast("int"))).otherwise(none)).alias("preps"))
+
+    def double(acc, _):
+        up, preps = acc["up"], acc["preps"]
+        return F.struct(
+            F.transform(up, lambda u: F.coalesce(F.get(up, u - 1), F.lit(0)).cast("int")).alias("up"),
+            F.transform(preps, lambda own, i: F.array_union(own, F.coalesce(F.get(preps, F.get(up, i) - 1), none))).alias("preps"))
+    rounds = F.sequence(F.lit(1), (F.ceil(F.log2(F.size("t"))) + 1).cast("int"))
+    found = q.select("qid", "t", F.aggregate(rounds, start, double)["preps"].alias("preps"))
+    pairs = found.select("qid", "t", F.posexplode("preps").alias("i", "above")) \
+        .select("qid", F.get("t", F.col("i"))["tok_i"].alias("tok_i"), F.get("t", F.col("i"))["text"].alias("text"),
+                F.explode("above").alias("p"), "t") \
+        .select("qid", "tok_i", "text", F.get("t", F.col("p") - 1)["tok_i"].alias("prep_i"), F.get("t", F.col("p") - 1)["head_i"].alias("head_i"))
+    return pairs.groupBy("qid", "prep_i").agg(F.first("head_i").alias("head_i"), _ordered_join().alias("phrase")) \
+        .select("qid", "prep_i", "head_i", "phrase")
 
 
 def antecedents(ann: DataFrame) -> DataFrame:

@@ -9,42 +9,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side above this many rows is shuffled instead. Rows here are narrow
-# (a few ids, one term, two numbers); 1M rows stay well under 100 MB.
-BROADCAST_MAX_ROWS = 1_000_000
-# Salt fan-out for hot join keys in the shuffle fallback.
-SALTS = 32
-# The hot-key list is bounded by construction: at most total / threshold keys can
-# each hold more than ``threshold`` rows.
-HOT_KEYS_MAX = 100_000
+# A broadcast side above this many rows or bytes is shuffled instead.
+BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES = 1_000_000, 64 << 20
+# A join key with more rows than this is spread over as many tasks as it has multiples of it.
+HOT_ROWS = 1_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counted, not estimated)."""
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame):
+    """Estimated bytes of a row: string lengths, a flat 16 for everything else (and its overhead)."""
+    parts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 16 if f.dataType.simpleString() == "string"
+             else F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(16))
+             if f.dataType.simpleString().startswith(("array", "map", "struct")) else F.lit(16) for f in df.schema.fields]
+    return sum(parts, F.lit(0))
 
 
-def hot_threshold(total_rows: int, floor: int = 10_000, max_keys: int = HOT_KEYS_MAX) -> int:
-    """A per-key row count above which a key counts as hot, chosen so that at most
-    ``max_keys`` keys can qualify."""
-    return max(floor, -(-total_rows // max_keys))
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and BROADCAST_MAX_BYTES bytes (measured, not
+    estimated from statistics)."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    r = df.select(_row_bytes(df).cast("bigint").alias("b")).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= BROADCAST_MAX_BYTES
 
 
-def salted_join(small: DataFrame, big: DataFrame, key: str, hot: DataFrame, salts: int = SALTS,
-                spread_col: str = "docid") -> DataFrame:
+def salted_join(small: DataFrame, big: DataFrame, key: str, hot: DataFrame, spread_col: str = "docid") -> DataFrame:
     """Inner equi-join on ``key`` for two sides too large to broadcast.
 
-    Rows of ``big`` whose key is in ``hot`` are spread over ``salts`` buckets by
-    ``hash(spread_col)``; the matching rows of ``small`` are replicated once per bucket.
-    ``hot`` holds at most ``HOT_KEYS_MAX`` keys (see ``hot_threshold``), so it is a
-    bounded broadcast.
+    ``hot(key, rows)`` lists the keys with more than HOT_ROWS rows of ``big`` (at most
+    total / HOT_ROWS of them). Such a key is spread over ``ceil(rows / HOT_ROWS)`` salts by
+    ``hash(spread_col)`` and the matching rows of ``small`` are repeated once a salt, so no
+    task gets many more than HOT_ROWS rows of one key however frequent it is.
     """
-    hot_k = F.broadcast(hot.select(F.col(key)).distinct().withColumn("_hot", F.lit(True)))
+    hot_k = hot.groupBy(key).agg(F.ceil(F.max("rows") / HOT_ROWS).cast("int").alias("_salts"))
+    if fits_broadcast(hot_k):
+        hot_k = F.broadcast(hot_k)
     b = big.join(hot_k, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.hash(F.col(spread_col)), F.lit(salts))).otherwise(F.lit(0))
-    ).drop("_hot")
+        "_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.hash(F.col(spread_col)), F.col("_salts"))).otherwise(F.lit(0))
+    ).drop("_salts")
     s = small.join(hot_k, key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
     return b.join(s, [key, "_salt"]).drop("_salt")

@@ -47,8 +47,7 @@ def tf_norm(tf: Column, dl: Column, avg_dl: float, k1: float, b: float) -> Colum
 def _join_postings(qt: DataFrame, idx: Index, broadcast_ok: bool) -> DataFrame:
     if broadcast_ok:
         return idx.postings.join(F.broadcast(qt), "term")
-    n_post = idx.term_stats.agg(F.sum("df")).first()[0] or 0
-    hot = idx.term_stats.filter(F.col("df") > J.hot_threshold(int(n_post))).select("term")
+    hot = idx.term_stats.filter(F.col("df") > J.HOT_ROWS).select("term", F.col("df").alias("rows"))
     return J.salted_join(qt, idx.postings, "term", hot)
 
 

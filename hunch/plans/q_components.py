@@ -1,6 +1,6 @@
 """Queries for the model-reply flavour (T16-T18, P08-P10, I09, R02, R06) over
 ``benchmark`` passages; replies are derived from the data (see
-``operators.components.replies_from_decomposition``)."""
+``replies_from_decomposition``)."""
 
 from __future__ import annotations
 
@@ -22,6 +22,23 @@ SEP = " | "
 _MEMO: dict = {}
 
 
+def replies_from_decomposition(decomp, ann):
+    """A stand-in reply table derived from the data: each question's rule decomposition
+    (plus its noun-chunk roots as attributes) rendered as a fenced JSON reply. Failing ones are
+    added under ids of their own: free text, an array, prose after the object, single quotes."""
+    roots = D.chunk_texts(ann).groupBy("qid").agg(
+        D.sorted_set(F.collect_list(F.lower("root_text"))).alias("attributes"))
+    d = decomp.join(roots, "qid", "left").withColumn(
+        "attributes", F.coalesce("attributes", F.array().cast("array<string>")))
+    body = F.to_json(F.struct(*[F.col(f) for f in M.FIELDS]))
+    reply = F.concat(F.lit("```json\n"), body, F.lit("\n```"))
+    bad = F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in (
+        ("free", F.lit("sorry, no")), ("array", F.lit("[1]")), ("prose", F.concat(reply, F.lit("\nthat is all"))),
+        ("quotes", F.lit("{'media_type': ['book']}")))])
+    spoiled = d.select("qid", F.explode(bad).alias("b"), reply.alias("r")).select(F.concat_ws("-", "qid", "b.k").alias("qid"), F.col("b.v").alias("reply"))
+    return d.select("qid", reply.alias("reply")).unionByName(spoiled)
+
+
 def components(spark, sf_dir):
     """``(topics, parsed, filtered)`` memoised per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -29,7 +46,7 @@ def components(spark, sf_dir):
         topics = benchmark_topics(spark, sf_dir)
         ann = cut_lineage(A.annotate(topics), "annotations")
         decomp = D.decompose(topics, ann, A.sentences(topics))
-        replies = cut_lineage(M.replies_from_decomposition(decomp, ann), "replies")
+        replies = cut_lineage(replies_from_decomposition(decomp, ann), "replies")
         parsed = M.parse_replies(replies)
         _MEMO[key] = (topics, parsed, M.filter_components(parsed))
     return _MEMO[key]
@@ -50,12 +67,14 @@ def _field(f: str) -> str:
 _COMP_CTES = f"""
 attrs AS (SELECT qid, list_sort(list_distinct(list(lower(root_text)))) AS attributes FROM chunks GROUP BY qid),
 replies AS (SELECT d.qid,
-              CASE WHEN CAST(d.qid AS BIGINT) % 4 = 3 THEN 'sorry, no' WHEN CAST(d.qid AS BIGINT) % 9 = 0 THEN '[1]'
-                   ELSE '```json' || chr(10) || json_object('media_type', d.media_type, 'entities', d.entities,
+              '```json' || chr(10) || json_object('media_type', d.media_type, 'entities', d.entities,
                         'attributes', coalesce(a.attributes, []::VARCHAR[]), 'time', d.time,
-                        'descriptions', d.descriptions)::VARCHAR || chr(10) || '```' END AS reply
+                        'descriptions', d.descriptions)::VARCHAR || chr(10) || '```' AS reply
             FROM decomp d LEFT JOIN attrs a USING (qid)),
-stripped AS (SELECT qid, regexp_replace(trim(reply), {_q(C.CODE_FENCE_RE)}, '', 'g') AS r0 FROM replies),
+all_replies AS (SELECT qid, reply FROM replies UNION ALL SELECT qid || '-free', 'sorry, no' FROM replies
+            UNION ALL SELECT qid || '-array', '[1]' FROM replies UNION ALL SELECT qid || '-prose', reply || chr(10) || 'that is all' FROM replies
+            UNION ALL SELECT qid || '-quotes', '{{''media_type'': [''book'']}}' FROM replies),
+stripped AS (SELECT qid, regexp_replace(trim(reply), {_q(C.CODE_FENCE_RE)}, '', 'g') AS r0 FROM all_replies),
 valid AS (SELECT qid, CASE WHEN json_valid(r0) THEN r0 ELSE 'null' END AS r1 FROM stripped),
 objs AS (SELECT qid, CASE WHEN json_type(r1) = 'OBJECT' THEN r1 ELSE '{{}}' END AS r FROM valid),
 parsed AS (SELECT qid, {', '.join(_field(f) for f in M.FIELDS)} FROM objs),

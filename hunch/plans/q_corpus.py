@@ -37,6 +37,9 @@ def _event_lines_spark(ev):
              .when(eid % 11 == 0, no_text)
              .when(eid % 13 == 0, F.lit(""))
              .when(eid % 17 == 0, F.lit("[1]"))
+             .when(eid % 19 == 0, F.concat(F.lit("{'id': "), eid.cast("string"), F.lit(", 'text': 'x'}")))
+             .when(eid % 23 == 0, F.concat(good, F.lit(" junk")))
+             .when(eid % 29 == 0, F.lit('{"id": "\\t", "text": "x"}'))
              .otherwise(good))
     return ev.select(value.alias("value"))
 
@@ -46,6 +49,9 @@ lines AS (SELECT CASE WHEN event_id % 7 = 0 THEN '{"id": ' || CAST(event_id AS V
                       WHEN event_id % 11 = 0 THEN json_object('id', event_id, 'url', event_type)::VARCHAR
                       WHEN event_id % 13 = 0 THEN ''
                       WHEN event_id % 17 = 0 THEN '[1]'
+                      WHEN event_id % 19 = 0 THEN '{''id'': ' || CAST(event_id AS VARCHAR) || ', ''text'': ''x''}'
+                      WHEN event_id % 23 = 0 THEN json_object('id', event_id, 'url', event_type, 'text', props)::VARCHAR || ' junk'
+                      WHEN event_id % 29 = 0 THEN '{"id": "\\t", "text": "x"}'
                       ELSE json_object('id', event_id, 'url', event_type, 'text', props)::VARCHAR END AS value
           FROM events)"""
 
@@ -53,8 +59,8 @@ _PARSE_SQL = f"""WITH {_EVENT_LINES_SQL},
 ok AS (SELECT json_extract_string(value, '$.id') AS id, json_extract_string(value, '$.url') AS url,
               json_extract_string(value, '$.title') AS title, json_extract_string(value, '$.text') AS text
        FROM lines WHERE json_valid(value) AND json_type(value) = 'OBJECT')
-SELECT trim(id) AS id, coalesce(title, '') || chr(10) || coalesce(url, '') || chr(10) || text AS contents
-FROM ok WHERE trim(id) <> '' AND text IS NOT NULL AND text <> ''"""
+SELECT trim(id, ' ' || chr(9) || chr(10) || chr(13)) AS id, coalesce(title, '') || chr(10) || coalesce(url, '') || chr(10) || text AS contents
+FROM ok WHERE trim(id, ' ' || chr(9) || chr(10) || chr(13)) <> '' AND text IS NOT NULL AND text <> ''"""
 
 
 @register("corpus_tolerant_parse", _PARSE_SQL)
@@ -115,4 +121,4 @@ def corpus_next_fit_chunks(spark, sf_dir):
 def corpus_first_chunk(spark, sf_dir):
     """The lines of the first chunk only (sample mode)."""
     lines = K.raw_lines_from_documents(read_table(spark, sf_dir, "documents"))
-    return K.first_chunk(K.next_fit_chunks(lines, SPLIT_LIMIT)).select("line_no", "nbytes")
+    return K.first_chunk(lines, SPLIT_LIMIT).select("line_no", "nbytes")

@@ -23,7 +23,8 @@ def _write_topics(spark, sf_dir, by_file: bool):
     draft = b.filter(F.col("item_id") % 5 == 0).select("item_id", F.lit(0).alias("v"),
                                                        F.concat(F.lit("draft: "), "text").alias("query"))
     lines = final.unionByName(draft).withColumn("file", F.concat(F.lit("q_"), (F.col("item_id") % 3).cast("string")))
-    out = lines.repartitionByRange("item_id").sortWithinPartitions("file", "item_id", "v").select(
+    dealt = lines.repartition("file") if by_file else lines.repartitionByRange("item_id")
+    out = dealt.sortWithinPartitions("file", "item_id", "v").select(
         "file", F.to_json(F.struct(F.col("item_id").cast("string").alias("query_id"), "query")).alias("value"))
     path = fresh_path(spark, "topics")
     if by_file:
@@ -33,10 +34,11 @@ def _write_topics(spark, sf_dir, by_file: bool):
     return path
 
 
-def _write_qrels(spark, sf_dir):
+def _write_qrels(spark, sf_dir, without: str | None = None):
     """Judgement lines ``qid 0 docid 1`` per (passage, containing document), ordered by
     document within a passage, plus one three-field line per passage (skipped by the
-    reader). Files ``r_0`` and ``r_1`` hold the passages of query files ``q_0``/``q_1``."""
+    reader), and a leading tab on every other line. File ``r_i`` holds the passages of query
+    file ``q_i``; ``without`` leaves one file out."""
     idx = X.load_index(spark, sf_dir)
     j = passage_judgements(spark, sf_dir, idx.postings)
     good = j.select("qid", "docid", F.concat_ws(" ", "qid", F.lit("0"), "docid", F.lit("1")).alias("value"))
@@ -44,11 +46,14 @@ def _write_qrels(spark, sf_dir):
         F.col("item_id").cast("string").alias("qid"), F.lit("").alias("docid"),
         F.concat_ws(" ", F.col("item_id").cast("string"), F.lit("0"), F.lit("x")).alias("value"))
     lines = good.unionByName(bad).withColumn("file", F.concat(F.lit("r_"), (F.col("qid").cast("bigint") % 3).cast("string")))
-    lines = lines.filter(F.col("file") != "r_2")
+    lines = lines.withColumn("value", F.when(F.length("docid") % 2 == 0, F.concat(F.lit("\t"), "value")).otherwise(F.col("value")))
+    if without:
+        lines = lines.filter(F.col("file") != without)
     path = fresh_path(spark, "qrels")
     # The writer needs rows ordered by the partition column; leading the sort with it
-    # keeps the line order inside each file exactly as written (no re-sort by the writer).
-    lines.repartitionByRange("qid").sortWithinPartitions("file", "qid", "docid").select("file", "value") \
+    # keeps the line order inside each file exactly as written (no re-sort by the writer). One
+    # task a file name, so that each is a single file, as judgement files are.
+    lines.repartition("file").sortWithinPartitions("file", "qid", "docid").select("file", "value") \
         .write.partitionBy("file").text(path)
     return path
 
@@ -60,7 +65,7 @@ def topics_last_wins(spark, sf_dir):
     return t.select("qid", "query")
 
 
-@register("qrels_parse", f"WITH {_JUDGED_SQL} SELECT qid, docid, 1 AS rel FROM judged WHERE CAST(qid AS BIGINT) % 3 <> 2")
+@register("qrels_parse", f"WITH {_JUDGED_SQL} SELECT qid, docid, 1 AS rel FROM judged")
 def qrels_parse(spark, sf_dir):
     """S09 + V21: judgement lines parsed back, short lines skipped, last line per id."""
     q = TP.read_qrels(spark, _write_qrels(spark, sf_dir))
@@ -77,5 +82,5 @@ def paired_files(spark, sf_dir):
     """Three query files paired by sorted name with two judgement files; the third
     query file has no partner and is ignored."""
     t = TP.read_topics(spark, _write_topics(spark, sf_dir, by_file=True))
-    q = TP.read_qrels(spark, _write_qrels(spark, sf_dir))
+    q = TP.read_qrels(spark, _write_qrels(spark, sf_dir, without="r_2"))
     return TP.pair_files(t, q)

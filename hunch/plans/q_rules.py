@@ -145,7 +145,7 @@ def decomp_events(spark, sf_dir):
 
 @register("decomp_subtree_phrases", _with("SELECT qid, prep_i, head_i, phrase FROM subtree"))
 def decomp_subtree_phrases(spark, sf_dir):
-    """N07b (recursive walk down the head pointers)."""
+    """N07b (all tokens below each preposition)."""
     return D.subtree_phrases(_base(spark, sf_dir)[1]).select("qid", "prep_i", "head_i", "phrase")
 
 

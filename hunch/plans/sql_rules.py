@@ -235,11 +235,10 @@ svo AS (SELECT s.qid, s.tok_i, concat_ws(' ', s.text, v.text, k.obj_first) AS ph
         FROM ann s JOIN ann v ON v.qid = s.qid AND v.tok_i = s.head_i AND v.pos = 'VERB'
         JOIN kids k ON k.qid = s.qid AND k.head_i = s.head_i
         WHERE s.dep = 'nsubj' AND k.obj_first IS NOT NULL),
-sub(qid, prep_i, tok_i, depth) AS (
-    SELECT qid, tok_i, tok_i, 0 FROM ann WHERE dep = 'prep'
-    UNION ALL
-    SELECT a.qid, s.prep_i, a.tok_i, s.depth + 1 FROM sub s JOIN ann a ON a.qid = s.qid AND a.head_i = s.tok_i AND a.tok_i <> a.head_i
-    WHERE s.depth < 40),
+sub(qid, prep_i, tok_i) AS (
+    SELECT qid, tok_i, tok_i FROM ann WHERE dep = 'prep'
+    UNION
+    SELECT a.qid, s.prep_i, a.tok_i FROM sub s JOIN ann a ON a.qid = s.qid AND a.head_i = s.tok_i AND a.tok_i <> a.head_i),
 subtree AS (SELECT s.qid, s.prep_i, any_value(p.head_i) AS head_i, array_to_string(list(a.text ORDER BY a.tok_i), ' ') AS phrase
             FROM sub s JOIN ann a ON a.qid = s.qid AND a.tok_i = s.tok_i
             JOIN ann p ON p.qid = s.qid AND p.tok_i = s.prep_i GROUP BY s.qid, s.prep_i),

@@ -72,6 +72,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="hunch-ckpt-")
         sc.setCheckpointDir(d)
     elif not sc.getCheckpointDir():

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..operators import joins as J
+from ..functions import text as T
 from ..session import cut_lineage, fresh_path
 from . import sinks
 
-RAW_SCHEMA = "id STRING, url STRING, title STRING, text STRING, _corrupt_record STRING"
+RAW_FIELDS = "id: STRING, url: STRING, title: STRING, text: STRING"
 
 
 # --- S01 / S02 / S03 -----------------------------------------------------------------------
@@ -30,20 +30,18 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFra
 
 
 def parse_raw(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Tolerant parse with a declared schema. Malformed lines (bad JSON, JSON that
-    is not an object, blank lines) are dropped, never by looking at the id."""
-    j = F.from_json(F.col(value_col), RAW_SCHEMA,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    p = lines.withColumn("_j", j)
-    ok = F.col("_j").isNotNull() & F.col("_j._corrupt_record").isNull()
+    """Tolerant parse with a declared schema. Malformed lines (bad JSON, single quotes,
+    text after the object, JSON that is not an object, blank lines) are dropped, never by
+    looking at the id."""
+    p = lines.withColumn("_j", T.parse_json_strict(F.col(value_col), RAW_FIELDS))
     keep = [c for c in lines.columns if c != value_col]
-    return p.filter(ok).select(*keep, "_j.id", "_j.url", "_j.title", "_j.text")
+    return p.filter(F.col("_j").isNotNull()).select(*keep, "_j.id", "_j.url", "_j.title", "_j.text")
 
 
 def convert(raw: DataFrame) -> DataFrame:
     """``(id, contents)``; id trimmed, rows without id or text dropped
     (whitespace-only text is kept), missing title/url become empty."""
-    rid = F.trim(F.col("id"))
+    rid = T.strip(F.col("id"))
     keep = rid.isNotNull() & (rid != "") & F.col("text").isNotNull() & (F.col("text") != "")
     contents = F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("url", F.lit("")), F.col("text"))
     return raw.filter(keep).select(rid.alias("id"), contents.alias("contents"))
@@ -102,7 +100,7 @@ def prefix_sums(lines: DataFrame, order_col: str = "line_no", size_col: str = "n
     offs = totals.select("_pid", F.coalesce(F.sum("_tot").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    j = r.join(F.broadcast(offs), "_pid")     # bounded: one row per partition
+    j = r.join(offs, "_pid")     # one row per partition
     en = (F.col("_off") + F.sum(size_col).over(w)).cast("bigint")
     return j.withColumn("en", en).withColumn("st", F.col("en") - F.col(size_col)).drop("_pid", "_off")
 
@@ -112,61 +110,60 @@ def next_start(pos: DataFrame, limit: int, total: int) -> DataFrame:
 
     The chunk from ``s`` holds the lines ending at or before ``s + limit``, so ``t`` is the
     start of the line covering byte ``s + limit`` — unless that line is the one starting
-    at ``s`` (a line longer than the limit gets a chunk of its own: ``t`` is its end). The
-    covering line is found by an equi-join on width-``limit`` byte buckets (a line is
-    listed under every bucket it overlaps), not by a range scan."""
-    cov = pos.select(F.col("st").alias("c_st"), F.col("en").alias("c_en"),
-                     F.explode(F.sequence(F.floor(F.col("st") / limit), F.floor((F.col("en") - 1) / limit))).alias("b"))
-    probe = pos.select(F.col("st").alias("s"), F.col("en").alias("s_en"), (F.col("st") + limit).alias("v")) \
-        .withColumn("b", F.floor(F.col("v") / limit))
-    inside = probe.filter(F.col("v") < total).join(cov, "b") \
-        .filter((F.col("c_st") <= F.col("v")) & (F.col("v") < F.col("c_en")))
-    t = F.when(F.col("c_st") == F.col("s"), F.col("s_en")).otherwise(F.col("c_st"))
-    tail = probe.filter(F.col("v") >= total).select("s", F.lit(total).cast("bigint").alias("t"))
-    return inside.select("s", t.cast("bigint").alias("t")).unionByName(tail)
-
-
-def chunk_bounds(pos: DataFrame, limit: int) -> list[int]:
-    """Start offsets of the next-fit chunks: the nodes reachable from offset 0 along
+    at ``s`` (a line longer than the limit gets a chunk of its own: ``t`` is its end).
+
+    Line starts and probes ``s + limit`` are merged in one order of byte positions: the
+    covering line of a probe is the largest line start before it. The merge is range
+    partitioned; a partition's first probes take the largest start of the partitions before
+    it (one row a partition)."""
+    starts = pos.select(F.col("st").alias("v"), F.lit(0).alias("kind"), "st", "en")
+    probes = pos.filter(F.col("st") + limit < total).select((F.col("st") + limit).alias("v"), F.lit(1).alias("kind"), "st", "en")
+    n = max(pos.sparkSession.sparkContext.defaultParallelism, int(pos.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    merged = cut_lineage(starts.unionByName(probes).repartitionByRange(n, "v", "kind")
+                         .withColumn("_pid", F.spark_partition_id()), "merged")
+    own = F.when(F.col("kind") == 0, F.col("st"))
+    carry = merged.groupBy("_pid").agg(F.max(own).alias("_top")).select("_pid", F.max("_top").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    w = Window.partitionBy("_pid").orderBy("v", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    cover = merged.withColumn("c", F.max(own).over(w)).filter("kind = 1").join(carry, "_pid") \
+        .withColumn("c", F.coalesce("c", "_carry"))
+    t = F.when(F.col("c") == F.col("st"), F.col("en")).otherwise(F.col("c"))
+    tail = pos.filter(F.col("st") + limit >= total).select(F.col("st").alias("s"), F.lit(total).cast("bigint").alias("t"))
+    return cover.select(F.col("st").alias("s"), t.cast("bigint").alias("t")).unionByName(tail)
+
+
+def chunk_starts(pos: DataFrame, limit: int, total: int) -> DataFrame:
+    """``(s)``: start offsets of the next-fit chunks, the nodes reachable from offset 0 along
     ``next_start``. Pointer doubling — ``A <- A + J(A)``, ``J <- J o J`` — reaches the end
-    after about log2(#chunks) rounds; each round is a join of the line table with itself
-    (written to the shared folder) and a join of the few reached starts against it."""
+    after about log2(#chunks) rounds; each round is one join of the jump table with itself.
+    Jumps that have reached the end leave the table, so the end is never a hot key."""
     spark = pos.sparkSession
-    total = pos.agg(F.max("en")).first()[0] or 0
-    if total == 0:
-        return []
-    jump = cut_lineage(next_start(pos, limit, total).unionByName(
-        spark.createDataFrame([(total, total)], "s long, t long")), "jump")
+    jump = cut_lineage(next_start(pos, limit, total).filter(F.col("t") < total), "jump")
     reached = spark.createDataFrame([(0,)], "s long")
-    while True:
-        small = reached if not J.fits_broadcast(reached) else F.broadcast(reached)
-        step = jump.join(small, "s").select(F.col("t").alias("s"))
+    while not jump.isEmpty():
+        step = jump.join(reached, "s").select(F.col("t").alias("s"))
         reached = cut_lineage(reached.unionByName(step).distinct(), "reached")
-        if reached.filter(F.col("s") == total).limit(1).count() > 0:
-            break
-        nxt = jump.alias("a").join(jump.alias("b"), F.col("a.t") == F.col("b.s")) \
-            .select(F.col("a.s").alias("s"), F.col("b.t").alias("t"))
-        jump = cut_lineage(nxt, "jump")
-    return sorted(r["s"] for r in reached.filter(F.col("s") < total).collect())
+        jump = cut_lineage(jump.join(jump.select(F.col("s").alias("t"), F.col("t").alias("u")), "t").select("s", F.col("u").alias("t")), "jump")
+    return reached
 
 
 def next_fit_chunks(lines: DataFrame, limit: int = C.CHUNK_LIMIT_BYTES, order_col: str = "line_no") -> DataFrame:
-    """``chunk_no`` (from 1) for every line, equal to the sequential greedy rule:
-    close the chunk before a line when it would exceed ``limit`` and is not empty."""
-    spark = lines.sparkSession
-    pos = cut_lineage(prefix_sums(line_bytes(lines), order_col), "offsets")
-    bounds = chunk_bounds(pos.select("st", "en"), limit)   # few: about total bytes / limit
+    """``(order_col, nbytes, st, en, chunk_no)`` (chunks from 1) for every line, equal to the
+    sequential greedy rule: close the chunk before a line when it would exceed ``limit`` and
+    is not empty. Only numbers move: join the texts back by ``order_col``.
+
+    A line's chunk is the number of chunk starts up to it: a second prefix sum, over marks."""
+    sizes = line_bytes(lines).select(order_col, "nbytes")
+    pos = cut_lineage(prefix_sums(sizes, order_col), "offsets")
     total = pos.agg(F.max("en")).first()[0] or 0
-    rows = [(i + 1, b, (bounds[i + 1] if i + 1 < len(bounds) else total)) for i, b in enumerate(bounds)]
-    # A chunk covers the width-`limit` buckets its byte range touches; each line is then
-    # matched only against the chunks of its own bucket (an equi-join, not a range scan).
-    ch = spark.createDataFrame(rows, "chunk_no int, c_st long, c_en long")
-    ch = ch.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("c_st") / limit),
-                                                      F.floor((F.col("c_en") - 1) / limit))))
-    j = pos.withColumn("bucket", F.floor(F.col("st") / limit)).join(F.broadcast(ch), "bucket")
-    return j.filter((F.col("st") >= F.col("c_st")) & (F.col("st") < F.col("c_en"))).drop("bucket", "c_st", "c_en")
-
-
-def first_chunk(chunked: DataFrame) -> DataFrame:
-    """The sample mode keeps chunk 1 only."""
-    return chunked.filter(F.col("chunk_no") == 1)
+    begins = chunk_starts(pos.select("st", "en"), limit, total).select(F.col("s").alias("st"), F.lit(1).cast("bigint").alias("mark"))
+    marked = pos.join(begins, "st", "left").select(order_col, "nbytes", F.struct("st", "en").alias("at"), F.coalesce("mark", F.lit(0)).cast("bigint").alias("mark"))
+    numbered = prefix_sums(marked, order_col, "mark", partitions=max(1, -(-int(total) // PARTITION_BYTES)))
+    return numbered.select(order_col, "nbytes", "at.st", "at.en", F.col("en").cast("int").alias("chunk_no"))
+
+
+def first_chunk(lines: DataFrame, limit: int = C.CHUNK_LIMIT_BYTES, order_col: str = "line_no") -> DataFrame:
+    """The sample mode keeps chunk 1 only: the lines that end within ``limit``, and the first
+    line whatever its size. A prefix sum is all it needs."""
+    pos = prefix_sums(line_bytes(lines).select(order_col, "nbytes"), order_col)
+    return pos.filter((F.col("en") <= limit) | (F.col("st") == 0))

@@ -14,15 +14,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Round-robin ``df`` over the cores when it comes from fewer files than there are
-    cores (a small table in one file would otherwise be read, and its per-row work done,
-    by a single task). A large input already arrives in many splits and is left alone."""
+    """Round-robin ``df`` over the cores when its scan has fewer splits than there are cores (a
+    small table would otherwise be read, and its per-row work done, by a few tasks). What
+    counts are splits: a few large files that Parquet cuts into many are left alone."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n_files = len(df.inputFiles())
-    except Exception:  # noqa: BLE001 - not a file scan
-        return df
-    return df.repartition(par * factor) if n_files < par else df
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(par * factor) if splits < par else df
 
 
 def benchmark_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,13 +40,12 @@ def passage_judgements(spark: SparkSession, sf_dir: str, postings: DataFrame | N
     """Judgements ``(qid, docid, rel)``: a document is relevant to a passage topic when
     it contains the passage verbatim.
 
-    Containment is not an equi-join. When the passage table is small enough (counted)
-    it is broadcast against one scan of the corpus. Beyond that, every passage is
-    probed through the postings by its longest interior non-stop term — a document
-    holding the passage verbatim holds each interior word as a whole token, so the
-    probe loses no match — and candidates are verified with ``contains``. Passages with
-    no such term (fewer than three words) are few; they take the broadcast route, which
-    is again size-checked."""
+    Containment is not an equi-join. Every passage is probed through the postings by its
+    longest interior non-stop term — a document holding the passage verbatim holds each
+    interior word as a whole token, so the probe loses no match — and candidates are
+    verified with ``contains``. Passages with no such term (fewer than three words), or all
+    of them without ``postings``, are matched against one corpus scan a batch, in batches of
+    at most BROADCAST_MAX_ROWS passages, which are what is broadcast."""
     from ..functions import text as T
     from ..operators import joins as J
 
@@ -59,11 +55,15 @@ def passage_judgements(spark: SparkSession, sf_dir: str, postings: DataFrame | N
         F.col("doc_id").cast("string").alias("docid"), F.col("text"))
 
     def by_scan(p: DataFrame) -> DataFrame:
-        if not J.fits_broadcast(p):
-            raise ValueError("too many short passages to broadcast against the corpus")
-        return d.join(F.broadcast(p), F.col("text").contains(F.col("passage"))).select("qid", "docid")
-
-    if postings is None or J.fits_broadcast(b):
+        n = max(1, -(-p.count() // max(1, J.BROADCAST_MAX_ROWS)))
+        out = None
+        for i in range(n):
+            part = p.filter(F.pmod(F.xxhash64("qid"), F.lit(n)) == i)
+            hit = d.join(F.broadcast(part), F.col("text").contains(F.col("passage"))).select("qid", "docid")
+            out = hit if out is None else out.unionByName(hit)
+        return out
+
+    if postings is None:
         return by_scan(b).select("qid", "docid", F.lit(1).alias("rel"))
     toks = T.index_terms("passage")
     interior = F.slice(toks, 2, F.greatest(F.size(toks) - 2, F.lit(0)))
@@ -71,8 +71,7 @@ def passage_judgements(spark: SparkSession, sf_dir: str, postings: DataFrame | N
     bp = b.withColumn("probe", F.when(F.size(toks) >= 3, probe))
     # A common probe term would put its whole posting list in one task: salt it.
     post = postings.select(F.col("term").alias("probe"), "docid")
-    n_post = post.count()
-    hot = post.groupBy("probe").count().filter(F.col("count") > J.hot_threshold(n_post)).select("probe")
+    hot = post.groupBy("probe").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > J.HOT_ROWS)
     cand = J.salted_join(bp.filter(F.col("probe").isNotNull()), post, "probe", hot)
     long_hits = cand.join(d, "docid").filter(F.col("text").contains(F.col("passage"))).select("qid", "docid")
     short_hits = by_scan(bp.filter(F.col("probe").isNull()).select("qid", "passage"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 TOPIC_SCHEMA = "query_id STRING, query STRING"
 
 
@@ -19,16 +21,11 @@ def _with_order(df: DataFrame) -> DataFrame:
                                      F.monotonically_increasing_id().alias("i")))
 
 
-def file_group(path_col: str = "file_path"):
-    """The folder a file sits in (the unit Spark writes one logical file as)."""
-    return F.regexp_extract(F.col(path_col), r"([^/]+)/[^/]+$", 1)
-
-
 def read_topics(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """S08 + V22: ``(file, qid, query)``; a repeated id keeps its last line. Parsing is
     FAILFAST: a bad line raises, as the reference's reader does."""
     raw = spark.read.schema(TOPIC_SCHEMA).option("mode", "FAILFAST").option("pathGlobFilter", glob).json(path)
-    t = _with_order(raw).withColumn("file", file_group())
+    t = _with_order(raw).withColumnRenamed("file_path", "file")
     return t.groupBy("file", F.col("query_id").alias("qid")).agg(F.max_by("query", "_ord").alias("query"))
 
 
@@ -36,8 +33,8 @@ def read_qrels(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """S09 + V21: ``(file, qid, docid, rel)`` from blank-separated lines; lines with fewer
     than four fields are skipped, the fourth is cast to INT (a bad value raises), and
     one document per question is kept — the last line's."""
-    lines = _with_order(spark.read.option("pathGlobFilter", glob).text(path)).withColumn("file", file_group())
-    parts = F.split(F.trim(F.col("value")), r"\s+")
+    lines = _with_order(spark.read.option("pathGlobFilter", glob).text(path)).withColumnRenamed("file_path", "file")
+    parts = F.split(T.strip(F.col("value")), r"[\s\p{Z}]+")
     p = lines.withColumn("_p", parts).filter(F.size("_p") >= 4)
     p = p.select("file", "_ord", F.col("_p")[0].alias("qid"), F.col("_p")[2].alias("docid"),
                  F.col("_p")[3].cast("int").alias("rel"))
@@ -47,13 +44,13 @@ def read_qrels(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def pair_files(topics: DataFrame, qrels: DataFrame) -> DataFrame:
     """The i-th query file (sorted by name) goes with the i-th judgement file;
-    unmatched extra files are ignored. The file lists are tiny, so numbering them with a
-    global window is a one-task job over a handful of rows."""
+    unmatched extra files are ignored. Equal ids in two files stay apart. Numbering the files
+    is a window over one row a file."""
     w = Window.orderBy("file")
     qf = topics.select("file").distinct().withColumn("file_pos", F.row_number().over(w))
     rf = qrels.select(F.col("file").alias("rfile")).distinct().withColumn("file_pos", F.row_number().over(
         Window.orderBy("rfile")))
     pairs = qf.join(rf, "file_pos")
-    t = topics.join(F.broadcast(pairs), "file")
+    t = topics.join(pairs, "file")
     j = qrels.withColumnRenamed("file", "rfile").select("rfile", "qid", F.col("docid").alias("expected_docid"))
     return t.join(j, ["rfile", "qid"], "left").select(F.col("file_pos").cast("bigint"), "qid", "expected_docid")

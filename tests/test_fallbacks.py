@@ -18,7 +18,7 @@ def test_bm25_salted_shuffle_equals_broadcast(spark, monkeypatch):
     q = passage_subqueries(spark, SF_CHECK)
     a = _rows(R.bm25_search(q, idx, k=50))
     monkeypatch.setattr(J, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(J, "hot_threshold", lambda total, **kw: 100)   # many hot terms, all salted
+    monkeypatch.setattr(J, "HOT_ROWS", 100)   # many hot terms, all salted by their own frequency
     b = _rows(R.bm25_search(q, idx, k=50))
     assert a == b and len(a) == 2000
 
@@ -41,3 +41,11 @@ def test_attach_contents_routes_agree(spark, monkeypatch):
     monkeypatch.setattr(J, "BROADCAST_MAX_ROWS", 0)
     c = _rows(P.attach_contents(fused, idx.corpus).select("qid", "docid", "contents"))
     assert a == b == c and len(a) == 2000
+
+
+def test_lookup_broadcasts_the_fused_side(spark):
+    from hunch.operators import present as P
+    idx = X.load_index(spark, SF_CHECK)
+    fused = R.bm25_search(passage_subqueries(spark, SF_CHECK), idx, k=50).select("qid", "docid", "score", "rank")
+    plan = P.attach_contents(fused, idx.corpus)._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan and "Join Inner" in plan
