@@ -15,17 +15,18 @@ from ..functions import text as T
 TOPIC_SCHEMA = "query_id STRING, query STRING"
 
 
-def _with_order(df: DataFrame) -> DataFrame:
-    return df.withColumn("file_path", F.col("_metadata.file_path")) \
-        .withColumn("_ord", F.struct(F.col("_metadata.file_block_start").alias("b"),
-                                     F.monotonically_increasing_id().alias("i")))
+def _with_order(df: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` with the ``file`` they came from and their order in it (a folder may add columns of
+    any name, so only these are taken)."""
+    return df.select(*cols, F.col("_metadata.file_path").alias("file"),
+                     F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_ord"))
 
 
 def read_topics(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """S08 + V22: ``(file, qid, query)``; a repeated id keeps its last line. Parsing is
     FAILFAST: a bad line raises, as the reference's reader does."""
     raw = spark.read.schema(TOPIC_SCHEMA).option("mode", "FAILFAST").option("pathGlobFilter", glob).json(path)
-    t = _with_order(raw).withColumnRenamed("file_path", "file")
+    t = _with_order(raw, "query_id", "query")
     return t.groupBy("file", F.col("query_id").alias("qid")).agg(F.max_by("query", "_ord").alias("query"))
 
 
@@ -33,7 +34,7 @@ def read_qrels(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """S09 + V21: ``(file, qid, docid, rel)`` from blank-separated lines; lines with fewer
     than four fields are skipped, the fourth is cast to INT (a bad value raises), and
     one document per question is kept — the last line's."""
-    lines = _with_order(spark.read.option("pathGlobFilter", glob).text(path)).withColumnRenamed("file_path", "file")
+    lines = _with_order(spark.read.option("pathGlobFilter", glob).text(path), "value")
     parts = F.split(T.strip(F.col("value")), r"[\s\p{Z}]+")
     p = lines.withColumn("_p", parts).filter(F.size("_p") >= 4)
     p = p.select("file", "_ord", F.col("_p")[0].alias("qid"), F.col("_p")[2].alias("docid"),
