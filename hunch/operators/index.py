@@ -1,27 +1,28 @@
-"""Inverted index as ordinary tables.
+"""Inverted index as ordinary tables (I01-I05), built once to a path and opened from it.
 
 Layout, chosen for a corpus far larger than any one machine:
 
-* ``postings(term, docid, tf, dl)`` — one row per (term, document). The document
-  length rides along (it is a function of ``docid``), so scoring needs no second join.
-  Built by a hash aggregate on ``(term, docid)``: each document sits in one input
-  partition, so the partial aggregate already produces exact ``tf`` map-side and the
-  single shuffle moves postings, not tokens. Hashing on both columns keeps a term that
-  occurs in every document from landing in one task. Files are written sorted by
-  ``term`` so Parquet min/max statistics let a scan for a handful of query terms skip
-  most row groups.
-* ``doc_stats(docid, dl)`` — computed per row from the token array, no shuffle.
-* ``term_stats(term, df, cf)`` — ``groupBy(term)`` with map-side combine, so a
-  frequent term is pre-aggregated before the shuffle.
-* corpus statistics ``(n_docs, avg_dl)`` — one-row aggregate of ``doc_stats``.
+* ``docs(docid, contents, dl, toks)`` — raw store and forward index, bucketed by ``docid``:
+  the only pass that analyses text. Lengths and contents are column reads of it.
+* ``postings(term, docid, tf, dl)`` — one row per (term, document), bucketed by ``docid`` like
+  ``docs`` and sorted by ``term``. A bucket's postings come from the same bucket of ``docs``,
+  so building needs no exchange, and a term that occurs in every document is spread over all
+  buckets. Scores are summed by document, so with the query terms broadcast neither the
+  scores nor the partial top-k need an exchange: only the k best of each bucket move. The
+  document length rides along (a function of ``docid``).
+* ``term_stats(term, df, cf)`` — ``groupBy(term)`` with map-side combine.
+* ``vectors(docid, vector)`` — grouped within the buckets of ``postings``.
+* ``meta`` — written last: its presence means that the index is complete.
 """
 
 from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,24 +37,17 @@ def corpus_from_documents(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("string").alias("docid"), F.col("text").alias("contents"))
 
 
-def doc_tokens(corpus: DataFrame, stop=C.INDEX_STOP_WORDS, stemmer: str = "none") -> DataFrame:
-    """``(docid, term)`` one row per token occurrence (stop words removed)."""
-    toks = corpus.select("docid", F.explode(T.index_terms("contents", stop)).alias("term"))
-    if stemmer != "none":
-        toks = S.apply_stems(toks, "term", stemmer)
-    return toks
-
+def analysed(corpus: DataFrame, stop=C.INDEX_STOP_WORDS) -> DataFrame:
+    """``(docid, contents, dl, toks)``: indexed tokens of each document and their number (I02). A
+    null document has no tokens."""
+    toks = F.coalesce(T.index_terms("contents", stop), F.array().cast("array<string>"))
+    return corpus.select("docid", "contents", toks.alias("toks")) \
+        .select("docid", "contents", F.size("toks").cast("bigint").alias("dl"), "toks")
 
-def doc_lengths(corpus: DataFrame, stop=C.INDEX_STOP_WORDS, stemmer: str = "none") -> DataFrame:
-    """I02 ``doc_stats(docid, dl)``: indexed tokens per document. No shuffle: the
-    length is the size of the row's own token array (stemming keeps the count)."""
-    return corpus.select("docid", F.size(T.index_terms("contents", stop)).cast("bigint").alias("dl"))
 
-
-def postings(corpus: DataFrame, stop=C.INDEX_STOP_WORDS, stemmer: str = "none") -> DataFrame:
-    """I01 ``(term, docid, tf, dl)``."""
-    per_doc = corpus.select("docid", T.index_terms("contents", stop).alias("toks"))
-    toks = per_doc.select("docid", F.size("toks").cast("bigint").alias("dl"), F.explode("toks").alias("term"))
+def postings(docs: DataFrame, stemmer: str = "none") -> DataFrame:
+    """I01 ``(term, docid, tf, dl)`` from ``analysed`` documents (stemming keeps the length)."""
+    toks = docs.select("docid", "dl", F.explode("toks").alias("term"))
     if stemmer != "none":
         toks = S.apply_stems(toks, "term", stemmer)
     return toks.groupBy("term", "docid", "dl").agg(F.count(F.lit(1)).alias("tf")) \
@@ -99,24 +93,59 @@ def _key(sf_dir: str, stop, stemmer: str) -> str:
     return f"{sf_dir.rstrip('/').replace('/', '_').replace(':', '_')}-{stemmer}-{h}"
 
 
+def _table(spark: SparkSession, path: str, name: str, schema: str, buckets: int, sort: str | None = None) -> str:
+    """Name of a bucketed table over the files below ``path`` (declared, not read)."""
+    full = f"hunch_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
+    order = f"SORTED BY ({sort}) " if sort else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({schema}) USING parquet "
+              f"CLUSTERED BY (docid) {order}INTO {buckets} BUCKETS LOCATION '{path}/{name}'")
+    return full
+
+
+def _write_buckets(df: DataFrame, path: str, name: str, buckets: int, sort: str) -> None:
+    tmp = f"hunch_build_{name}_{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").bucketBy(buckets, "docid").sortBy(sort).option("path", f"{path}/{name}").format("parquet").saveAsTable(tmp)
+    df.sparkSession.sql(f"DROP TABLE {tmp}")  # the files stay: the table is external
+
+
+DOCS_SCHEMA = "docid STRING, contents STRING, dl BIGINT, toks ARRAY<STRING>"
+POSTINGS_SCHEMA = "term STRING, docid STRING, tf BIGINT, dl BIGINT"
+
+
+def open_index(spark: SparkSession, path: str) -> Index | None:
+    """The complete index at ``path``, without analysing any text; None if there is none."""
+    try:
+        row = spark.read.parquet(f"{path}/meta").first()
+    except AnalysisException:
+        return None
+    n = int(row["buckets"])
+    docs = spark.table(_table(spark, path, "docs", DOCS_SCHEMA, n, "docid"))
+    return Index(corpus=docs.select("docid", "contents"), postings=spark.table(_table(spark, path, "postings", POSTINGS_SCHEMA, n, "term")),
+                 term_stats=spark.read.parquet(f"{path}/term_stats"), doc_stats=docs.select("docid", "dl"),
+                 n_docs=int(row["n_docs"]), avg_dl=float(row["avg_dl"] or 0.0), path=path)
+
+
 def build_index(spark: SparkSession, corpus: DataFrame, path: str, stop=C.INDEX_STOP_WORDS,
                 stemmer: str = "none") -> Index:
-    """Build the tables once, write them below ``path``, return handles on the
-    written copies (so every later query reads Parquet, never re-tokenises)."""
-    post = postings(corpus, stop, stemmer)
-    post.sortWithinPartitions("term", "docid").write.mode("overwrite").parquet(f"{path}/postings")
-    post_r = spark.read.parquet(f"{path}/postings")
-    term_stats(post_r).write.mode("overwrite").parquet(f"{path}/term_stats")
-    doc_lengths(corpus, stop, stemmer).write.mode("overwrite").parquet(f"{path}/doc_stats")
-    dstats = spark.read.parquet(f"{path}/doc_stats")
-    row = corpus_stats(dstats).first()   # exactly one row
-    return Index(corpus=corpus, postings=post_r, term_stats=spark.read.parquet(f"{path}/term_stats"),
-                 doc_stats=dstats, n_docs=int(row["n_docs"]), avg_dl=float(row["avg_dl"] or 0.0), path=path)
+    """S06 + S07: build the tables at ``path`` unless a complete index is there, then open them. A
+    build that was cut off has no ``meta`` and is written anew."""
+    found = open_index(spark, path)
+    if found is not None:
+        return found
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _write_buckets(analysed(corpus.repartition(n, "docid"), stop), path, "docs", n, "docid")
+    docs = spark.table(_table(spark, path, "docs", DOCS_SCHEMA, n, "docid"))
+    _write_buckets(postings(docs, stemmer), path, "postings", n, "term")
+    post = spark.table(_table(spark, path, "postings", POSTINGS_SCHEMA, n, "term"))
+    term_stats(post).write.mode("overwrite").parquet(f"{path}/term_stats")
+    doc_vectors(post).write.mode("overwrite").parquet(f"{path}/vectors")
+    corpus_stats(docs).withColumn("buckets", F.lit(n)).write.mode("overwrite").parquet(f"{path}/meta")
+    return open_index(spark, path)
 
 
 def load_index(spark: SparkSession, sf_dir: str, stop=C.INDEX_STOP_WORDS, stemmer: str = "none") -> Index:
     """The index of ``documents`` under ``sf_dir``, built at most once per application."""
-    from ..sources.tables import read_table, spread
+    from ..sources.tables import read_table
 
     key = _key(sf_dir, list(stop), stemmer)
     app = spark.sparkContext.applicationId
@@ -124,7 +153,7 @@ def load_index(spark: SparkSession, sf_dir: str, stop=C.INDEX_STOP_WORDS, stemme
         hit = _MEMO.get(app + key)
         if hit is not None:
             return hit
-        corpus = corpus_from_documents(spread(read_table(spark, sf_dir, "documents")))
+        corpus = corpus_from_documents(read_table(spark, sf_dir, "documents"))
         idx = build_index(spark, corpus, app_scratch(spark, "index", key), list(stop), stemmer)
         _MEMO[app + key] = idx
         return idx
