@@ -7,3 +7,4 @@ from . import q_corpus  # noqa: F401
 from . import q_files  # noqa: F401
 from . import q_components  # noqa: F401
 from . import q_stream  # noqa: F401
+from . import q_cued  # noqa: F401

@@ -22,6 +22,11 @@ SEP = " | "
 _MEMO: dict = {}
 
 
+# FIXED VALUES: what the filters P08-P10 and the attribute boosts act on, added to every reply
+CUES = {"entities": ["Man", "Anna Lee", "", "ghost"], "attributes": ["R Rated horror", "Cannes", "some crazy shit"],
+        "descriptions": ["robot", "robot kid", "", "an old shit film"]}
+
+
 def replies_from_decomposition(decomp, ann):
     """A stand-in reply table derived from the data: each question's rule decomposition
     (plus its noun-chunk roots as attributes) rendered as a fenced JSON reply. Failing ones are
@@ -30,6 +35,8 @@ def replies_from_decomposition(decomp, ann):
         D.sorted_set(F.collect_list(F.lower("root_text"))).alias("attributes"))
     d = decomp.join(roots, "qid", "left").withColumn(
         "attributes", F.coalesce("attributes", F.array().cast("array<string>")))
+    for f, extra in CUES.items():
+        d = d.withColumn(f, F.concat(f, F.array(*[F.lit(x) for x in extra])))
     body = F.to_json(F.struct(*[F.col(f) for f in M.FIELDS]))
     reply = F.concat(F.lit("```json\n"), body, F.lit("\n```"))
     bad = F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in (
@@ -64,12 +71,16 @@ def _field(f: str) -> str:
     return f"coalesce(CAST(json_extract(r, '$.{f}') AS VARCHAR[]), []::VARCHAR[]) AS {f}"
 
 
+def _cue(f: str) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in CUES[f]) + "]"
+
+
 _COMP_CTES = f"""
 attrs AS (SELECT qid, list_sort(list_distinct(list(lower(root_text)))) AS attributes FROM chunks GROUP BY qid),
 replies AS (SELECT d.qid,
-              '```json' || chr(10) || json_object('media_type', d.media_type, 'entities', d.entities,
-                        'attributes', coalesce(a.attributes, []::VARCHAR[]), 'time', d.time,
-                        'descriptions', d.descriptions)::VARCHAR || chr(10) || '```' AS reply
+              '```json' || chr(10) || json_object('media_type', d.media_type, 'entities', list_concat(d.entities, {_cue('entities')}),
+                        'attributes', list_concat(coalesce(a.attributes, []::VARCHAR[]), {_cue('attributes')}), 'time', d.time,
+                        'descriptions', list_concat(d.descriptions, {_cue('descriptions')}))::VARCHAR || chr(10) || '```' AS reply
             FROM decomp d LEFT JOIN attrs a USING (qid)),
 all_replies AS (SELECT qid, reply FROM replies UNION ALL SELECT qid || '-free', 'sorry, no' FROM replies
             UNION ALL SELECT qid || '-array', '[1]' FROM replies UNION ALL SELECT qid || '-prose', reply || chr(10) || 'that is all' FROM replies

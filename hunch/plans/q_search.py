@@ -32,8 +32,8 @@ def main_flow(spark, sf_dir, fl: S.Flavour = S.MAIN):
     return _MEMO[key]
 
 
-def _sql(body: str, c: int = C.RRF_C_MAIN) -> str:
-    return f"WITH RECURSIVE {P.search_ctes(BENCH_TOPICS_SQL, c)}\n{body}"
+def _sql(body: str, c: int = C.RRF_C_MAIN, topics: str = BENCH_TOPICS_SQL) -> str:
+    return f"WITH RECURSIVE {P.search_ctes(topics, c)}\n{body}"
 
 
 # --- N17 / I07 ---------------------------------------------------------------------------------
@@ -189,7 +189,7 @@ def eval_accuracy(spark, sf_dir):
 _K1, _B = C.BM25_K1, C.BM25_B
 _TFN = f"({{tf}} / ({{tf}} + {_K1}::DOUBLE * ({1.0 - _B}::DOUBLE + {_B}::DOUBLE * {{dl}} / cstats.avg_dl)))"
 _IDF = "ln(1.0::DOUBLE + (cstats.n_docs - vocab.df + 0.5::DOUBLE) / (vocab.df + 0.5::DOUBLE))"
-_PHRASE_SQL = _sql(f""",
+PHRASE_BODY = f""",
 bqt AS (SELECT qid, term, count(*)::DOUBLE AS qtf FROM (SELECT qid, unnest({P.index_terms('norm_query')}) AS term FROM dn)
         GROUP BY qid, term),
 bsc AS (SELECT bqt.qid, post.docid, sum(bqt.qtf * {_IDF} * {_TFN.format(tf='post.tf', dl='post.dl')}) AS score
@@ -210,10 +210,10 @@ psc AS (SELECT ptf.qid, ptf.docid, pidf.boost * pidf.pidf * {_TFN.format(tf='ptf
 ptot AS (SELECT qid, docid, round(sum(score), 6) AS score FROM (SELECT qid, docid, score FROM bsc UNION ALL SELECT qid, docid, score FROM psc)
          GROUP BY qid, docid),
 prk AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, docid)::BIGINT AS rank FROM ptot)
-SELECT qid, docid, score, rank FROM prk WHERE rank <= {C.WEIGHTED_DEPTH}""")
+SELECT qid, docid, score, rank FROM prk WHERE rank <= {C.WEIGHTED_DEPTH}"""
 
 
-@register("bm25_boosted_phrase", _PHRASE_SQL)
+@register("bm25_boosted_phrase", _sql(PHRASE_BODY))
 def bm25_boosted_phrase(spark, sf_dir):
     """I08 (phrase reading) + I13: the boosted query with entity / time spans scored as
     exact phrases over positional postings, top 100 per passage."""
