@@ -131,3 +131,11 @@ DECOMPOSE_PROMPT_TEMPLATE = """
 TERM_RE = r"[\p{L}\p{N}_]+"                 # index / query term
 PUNCT_RE = r"[^\p{L}\p{N}_\s\p{Z}]"         # deleted during query normalisation
 BLANK_RE = r"[\s\p{Z}]+"                    # word separator
+
+
+# FIXED VALUES: suffixes of the Porter stemmer, steps 2 and 3 with their replacements, step 4
+PORTER_STEP2 = {"ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "bli": "ble", "alli": "al", "entli": "ent",
+                "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al", "iveness": "ive", "fulness": "ful",
+                "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble", "logi": "log"}
+PORTER_STEP3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+PORTER_STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ou", "ism", "ate", "iti", "ous", "ive", "ize"]

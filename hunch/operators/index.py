@@ -82,6 +82,7 @@ class Index:
     n_docs: int
     avg_dl: float
     path: str | None = None
+    stemmer: str = "none"
 
 
 _MEMO: dict[str, Index] = {}
@@ -122,7 +123,7 @@ def open_index(spark: SparkSession, path: str) -> Index | None:
     docs = spark.table(_table(spark, path, "docs", DOCS_SCHEMA, n, "docid"))
     return Index(corpus=docs.select("docid", "contents"), postings=spark.table(_table(spark, path, "postings", POSTINGS_SCHEMA, n, "term")),
                  term_stats=spark.read.parquet(f"{path}/term_stats"), doc_stats=docs.select("docid", "dl"),
-                 n_docs=int(row["n_docs"]), avg_dl=float(row["avg_dl"] or 0.0), path=path)
+                 n_docs=int(row["n_docs"]), avg_dl=float(row["avg_dl"] or 0.0), path=path, stemmer=row["stemmer"])
 
 
 def build_index(spark: SparkSession, corpus: DataFrame, path: str, stop=C.INDEX_STOP_WORDS,
@@ -139,7 +140,7 @@ def build_index(spark: SparkSession, corpus: DataFrame, path: str, stop=C.INDEX_
     post = spark.table(_table(spark, path, "postings", POSTINGS_SCHEMA, n, "term"))
     term_stats(post).write.mode("overwrite").parquet(f"{path}/term_stats")
     doc_vectors(post).write.mode("overwrite").parquet(f"{path}/vectors")
-    corpus_stats(docs).withColumn("buckets", F.lit(n)).write.mode("overwrite").parquet(f"{path}/meta")
+    corpus_stats(docs).withColumns({"buckets": F.lit(n), "stemmer": F.lit(stemmer)}).write.mode("overwrite").parquet(f"{path}/meta")
     return open_index(spark, path)
 
 

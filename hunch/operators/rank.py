@@ -80,9 +80,10 @@ def top_k(hits: DataFrame, k: int, keys=("qid", "sub_ord"), depth: Column | None
 
 def bm25_search(subq: DataFrame, idx: Index, k: int = C.SUBQUERY_DEPTH, text_col: str = "text",
                 weight_col: str | None = None, k1: float = C.BM25_K1, b: float = C.BM25_B,
-                stop=C.INDEX_STOP_WORDS, stemmer: str = "none", depth: Column | None = None) -> DataFrame:
-    """I06 + I10 + I11 over a subquery table ``(qid, sub_ord, text[, weight])``."""
-    qt = query_terms(subq, text_col, weight_col, stop, stemmer)
+                stop=C.INDEX_STOP_WORDS, depth: Column | None = None) -> DataFrame:
+    """I06 + I10 + I11 over a subquery table ``(qid, sub_ord, text[, weight])``; query terms are
+    stemmed as the index was."""
+    qt = query_terms(subq, text_col, weight_col, stop, idx.stemmer)
     return top_k(score_bm25(qt, idx, k1, b), k, depth=depth)
 
 

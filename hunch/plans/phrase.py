@@ -54,7 +54,7 @@ def boosted_phrase_hits(decomp: DataFrame, idx: X.Index, pos: DataFrame, k: int
                         k1: float = C.BM25_K1, b: float = C.BM25_B) -> DataFrame:
     """``(qid, docid, score, rank)``: top ``k`` of bag(norm) + boosted phrases."""
     bag_q = decomp.select("qid", F.lit(0).alias("sub_ord"), F.col("norm_query").alias("text"))
-    bag = R.score_bm25(R.query_terms(bag_q), idx, k1, b).select("qid", "docid", "score")
+    bag = R.score_bm25(R.query_terms(bag_q, stemmer=idx.stemmer), idx, k1, b).select("qid", "docid", "score")
     pt = phrase_terms(decomp)
     small = J.fits_broadcast(pt)
     vocab = idx.term_stats.select("term", "df")

@@ -118,6 +118,12 @@ def stem_vocabulary_q(spark, sf_dir):
     return S.stem_vocabulary(X.load_index(spark, sf_dir).term_stats, "s")
 
 
+@register("stem_porter_vocabulary", f"WITH {P.index_ctes()} SELECT term, {S.porter_sql('term')} AS stem FROM vocab")
+def stem_porter_vocabulary(spark, sf_dir):
+    """T11 with the Porter stemmer over the whole vocabulary."""
+    return S.stem_vocabulary(X.load_index(spark, sf_dir).term_stats, "porter")
+
+
 # --- I06 / I10 / I11: BM25 top 50 per passage ----------------------------------------------
 
 def passage_subqueries(spark, sf_dir):

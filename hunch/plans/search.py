@@ -85,7 +85,7 @@ def bag_scores(lists: DataFrame, idx: Index) -> DataFrame:
     BM25 is additive over query terms, so list 0 = list 1 + extras. Only the extras are
     joined against the postings; the normalised terms — most of every question — are
     joined once instead of twice."""
-    qt = R.query_terms(lists)
+    qt = R.query_terms(lists, stemmer=idx.stemmer)
     w = qt.filter(F.col("sub_ord") == 0)
     n = qt.filter(F.col("sub_ord") == 1).select("qid", "term", F.col("qtf").alias("_n"))
     extra = w.join(n, ["qid", "term"], "left") \
