@@ -37,6 +37,14 @@ def main() -> None:
     X.load_index(spark, sf)
     times["index_build"] = round(time.time() - t0, 3)
 
+    flow_keys = {"search_main", "results", "eval_accuracy"}
+    if flow_keys & set(names):
+        # these read one memoised flow: its cost stands apart, so that each key shows its own step
+        from hunch.plans.q_search import main_flow
+        t0 = time.time()
+        main_flow(spark, sf)
+        times["main_flow"] = round(time.time() - t0, 3)
+
     for n in names:
         t0 = time.time()
         qs[n](spark, sf).write.format("noop").mode("overwrite").save()
