@@ -10,9 +10,12 @@ deletions a band gets is a cost model over the band's document count (``allocate
 A set indexes under its own band and the band below, so a pair always meets in the band of
 its smaller set. Equal sets meet as one node. Inside a key every member is compared with
 one pivot (a star, not all pairs); links that a star can miss, between members that are not
-yet connected, are compared in ``_cross`` when they are few for their key, else searched
-again under a new partition of just those sets. Every candidate is verified on the full
-shingle sets.
+yet connected, are compared in ``_cross`` when they are few for their key. Sets under a key
+with many such pairs (thousands of variants of one text, or boilerplate that fills whole
+segments) are compared by ``_crowds`` instead: in each crowd a set is written as its
+difference from one central set, and since two sets differ exactly as much as their
+differences do, only pairs that share one of the rarest elements of these can link. Every
+candidate is verified on the full shingle sets.
 
 Shingles and words are 64-bit hashes: two different shingles of one compared pair are taken
 as equal with probability about 2**-64. Set identity uses 128 bits.
@@ -35,9 +38,10 @@ from . import common as C
 
 U64 = np.uint64
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
-#: Largest multiple of its members that a key's untested pairs may reach before the key is
-#: searched again under a new partition; after ROUNDS partitions all of them are compared.
-CROSS_PER_MEMBER, ROUNDS = 8, 3
+#: Largest multiple of its members that a key's untested pairs may reach before its sets are
+#: left to ``_crowds``; counters of the element-frequency sketch that orders elements there.
+CROSS_PER_MEMBER, SKETCH = 4, 1 << 20
+
 
 
 # ---- plan: bands and allocation ---------------------------------------------------------
@@ -118,13 +122,13 @@ def shingle_sets(hasher: C.WordHasher, texts: list[bytes], k: int) -> tuple[np.n
     return (np.concatenate(parts) if parts else np.zeros(0, U64)), off
 
 
-def signatures(s: np.ndarray, off: np.ndarray, plan: dict, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def signatures(s: np.ndarray, off: np.ndarray, plan: dict) -> tuple[np.ndarray, np.ndarray]:
     """``(row, key)``: the join keys of every set under its own band and the band below."""
     n = np.diff(off)
     tops = np.array(plan["tops"], np.int64)
     alloc = np.array(plan["alloc"], np.int64)
     own = np.searchsorted(tops, n, "left")
-    rows_out, keys_out = [], []
+    out = [[], []]
     for down in (0, 1):
         band = own - down
         ok = (n > 0) & (band >= 0)
@@ -141,8 +145,8 @@ def signatures(s: np.ndarray, off: np.ndarray, plan: dict, seed: int) -> tuple[n
         np.cumsum(size[:-1], out=first[1:])
         el = np.repeat(np.arange(len(rows)), size)
         v = s[np.arange(total) - np.repeat(first, size) + np.repeat(off[rows], size)]
-        mixed = C.mix64(v ^ (U64(seed) * U64(0xA0761D6478BD642F)))
-        # the segment depends on the shingle, the seed and the band's m only
+        mixed = C.mix64(v ^ U64(0xA0761D6478BD642F))
+        # the segment depends on the shingle and the band's m only
         seg = ((mixed >> U64(32)) * m[el].astype(U64) >> U64(32)).astype(np.int64)
         base = np.zeros(len(rows) + 1, np.int64)
         np.cumsum(m, out=base[1:])
@@ -153,20 +157,18 @@ def signatures(s: np.ndarray, off: np.ndarray, plan: dict, seed: int) -> tuple[n
         cnt = np.bincount(cell, minlength=int(base[-1]))
         cell_row = np.repeat(np.arange(len(rows)), m)
         cell_seg = np.arange(int(base[-1])) - base[cell_row]
-        space = C.mix64((b[cell_row].astype(U64) << U64(32)) + cell_seg.astype(U64) + U64(seed) * U64(0x9FB21C651E98DF25))
+        space = C.mix64((b[cell_row].astype(U64) << U64(32)) + cell_seg.astype(U64))
         double = cell_seg < q[cell_row]
         weight = np.where(cnt == 0, 1 + double, ((cnt == 1) & double).astype(np.int64))
         over = np.bincount(cell_row, weights=weight, minlength=len(rows)) > x
         keep = (cnt > 0) | over[cell_row]
-        rows_out.append(rows[cell_row[keep]])
-        keys_out.append(C.mix64(acc[keep] + space[keep]))
         d = double[cell] & ((cnt[cell] > 1) | over[el])
-        if d.any():
-            rows_out.append(rows[el[d]])
-            keys_out.append(C.mix64(acc[cell[d]] - content[d] + space[cell[d]]))
-    if not rows_out:
+        at, drop = np.flatnonzero(keep), np.flatnonzero(d)
+        out[0] += [rows[cell_row[at]], rows[el[drop]]]
+        out[1] += [C.mix64(acc[at] + space[at]), C.mix64(acc[cell[drop]] - content[drop] + space[cell[drop]])]
+    if not out[0]:
         return np.zeros(0, np.int64), np.zeros(0, U64)
-    return np.concatenate(rows_out), np.concatenate(keys_out)
+    return tuple(np.concatenate(o) for o in out)
 
 
 def _hasher() -> C.WordHasher:
@@ -188,7 +190,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long")
 
 
-def _keys(reps: DataFrame, k: int, plan: dict, seed: int) -> DataFrame:
+def _keys(reps: DataFrame, k: int, plan: dict) -> DataFrame:
     """``(key, doc, head, salt, n)``: keys of ``reps(doc_id, text)``. Within a batch the members
     of a key hang below its smallest one (``head``); only heads are dealt by key, so a key held
     by a third of all sets arrives once a batch. The others get a salt of their own."""
@@ -208,7 +210,7 @@ def _keys(reps: DataFrame, k: int, plan: dict, seed: int) -> DataFrame:
                     seen.add(t)
             order = np.array(first, np.int64)
             s, off = shingle_sets(hasher, [texts[i] for i in first], k)
-            row, key = signatures(s, off, plan, seed)
+            row, key = signatures(s, off, plan)
             o = np.lexsort((row, key))
             row, key = row[o], key[o]
             new = np.ones(len(key), bool)
@@ -294,49 +296,114 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     # Members of keys go by the name of their node, so copies neither meet nor count.
     names = C.cut(own.filter("rep IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("top")), "names")
     links = names.filter("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b"))  # one id, several texts
-    names, scope = names.select("doc_id", "rep"), d
-    for seed in range(ROUNDS):
-        met = C.cut(_meetings(_keys(scope, k, plan, seed)), "met")
-        met = met.join(names.select(F.col("doc_id").alias("doc"), F.col("rep").alias("r")), "doc") \
-            .join(names.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("p")), "pivot") \
-            .select("key", F.col("r").alias("doc"), "n", F.col("p").alias("pivot")).distinct()
-        met = C.cut(met, "members")
-        size = met.groupBy(F.col("doc").alias("pivot")).agg(F.first("n").alias("np"))
-        star = C.cut(met.filter("doc <> pivot").groupBy("doc", "pivot").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("c"))
-                     .join(size, "pivot").filter(_near("n", "np", num, den)), "stars")
-        vecs = C.cut(_candidate_sets(d, star.select("doc").union(star.select(F.col("pivot").alias("doc"))), k), "vecs")
-        # 1: each member against the pivot it meets most
-        best = star.groupBy("doc").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("b")).select(F.col("doc").alias("a"), "b")
-        found = C.cut(verify(best, vecs, num, den), "links")
-        links = links.unionByName(found)
-        comp = C.cut(C.components(links), "comp")
-        # 2: where that leaves two components, the other pivots and the members of one key
-        rest = _apart(star.select(F.col("doc").alias("a"), F.col("pivot").alias("b")), comp)
-        inside = met.select("key", "doc", "n").distinct()
-        inside = inside.join(comp.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-        per = inside.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-            F.sum("c").alias("n_all"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count(F.lit(1)).alias("n_comp")).filter("n_comp > 1") \
-            .withColumn("small", (F.col("n_all") * F.col("n_all") - F.col("sq")) / 2 <= CROSS_PER_MEMBER * F.col("n_all"))
-        inside = C.cut(inside.join(per.select("key", "small"), "key"), "inside")
-        last = seed == ROUNDS - 1
-        few = inside if last else inside.filter("small")
-        pairs = _cross(few, num, den).unionByName(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))) \
-            .join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        pairs = C.cut(pairs.distinct(), "cross")
-        more = _candidate_sets(d, pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))), k)
-        found = C.cut(verify(pairs, more, num, den), "links")
-        links = links.unionByName(found)
-        if last:
-            break
-        again = C.cut(inside.filter("NOT small").select(F.col("doc").alias("doc_id")).distinct(), "again")
-        if again.isEmpty():
-            break
-        scope = C.cut(d.join(again, "doc_id", "left_semi"), "scope")
+    names = names.select("doc_id", "rep")
+    met = C.cut(_meetings(_keys(d, k, plan)), "met")
+    met = met.join(names.select(F.col("doc_id").alias("doc"), F.col("rep").alias("r")), "doc") \
+        .join(names.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("p")), "pivot") \
+        .select("key", F.col("r").alias("doc"), "n", F.col("p").alias("pivot")).distinct()
+    links = _search(d, C.cut(met, "members"), links, k, num, den)
     comp = C.components(links)
     out = own.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("comp", "rep", "doc_id").alias("component_id"))
 
 
+def _search(docs: DataFrame, met: DataFrame, links: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The links among ``met(key, doc, n, pivot)``, added to ``links``."""
+    size = met.groupBy(F.col("doc").alias("pivot")).agg(F.first("n").alias("np"))
+    star = C.cut(met.filter("doc <> pivot").groupBy("doc", "pivot").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("c"))
+                 .join(size, "pivot").filter(_near("n", "np", num, den)), "stars")
+    # 1: each member against the pivot it meets most
+    best = C.cut(star.groupBy("doc").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("b")).select(F.col("doc").alias("a"), "b"), "best")
+    vecs = C.cut(_candidate_sets(docs, best.select(F.col("a").alias("doc")).union(best.select(F.col("b").alias("doc"))), k), "vecs")
+    links = links.unionByName(C.cut(verify(best, vecs, num, den), "links"))
+    comp = C.cut(C.components(links), "comp")
+    # 2: where that leaves two components, the other pivots and the members of one key
+    rest = _apart(star.select(F.col("doc").alias("a"), F.col("pivot").alias("b")), comp)
+    inside = met.select("key", "doc", "n").distinct().join(comp.withColumnRenamed("node", "doc"), "doc", "left") \
+        .withColumn("comp", F.coalesce("comp", "doc"))
+    per = inside.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+        F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count(F.lit(1)).alias("comps")).filter("comps > 1") \
+        .select("key", ((F.col("all") * F.col("all") - F.col("sq")) / 2 <= CROSS_PER_MEMBER * F.col("all")).alias("few"))
+    inside = C.cut(inside.join(per, "key"), "inside")
+    tested = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = _cross(inside.filter("few"), num, den).unionByName(
+        rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    crowd = C.cut(inside.filter("NOT few").select("key", "doc"), "crowd")
+    if not crowd.isEmpty():
+        pairs = pairs.unionByName(_apart(_crowds(docs, crowd, links, k, num, den), comp))
+    pairs = C.cut(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "cross")
+    vecs = C.cut(_candidate_sets(docs, pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))), k), "vecs")
+    return links.unionByName(C.cut(verify(pairs, vecs, num, den), "links"))
+
+
+def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b)`` that may link among the members of ``crowd(key, doc)``.
+
+    Sets that crowded keys connect form a crowd; its centre is the one with most links. With D = x
+    minus/plus centre (symmetric difference), |x ^ y| = |Dx ^ Dy|. For a link this is at most H, so
+    Dx and Dy share at least (|Dx| + |Dy| - H) / 2 elements and, in any common order of elements,
+    one among the first H / 2 + 1 of the smaller and (|Dy| - |Dx| + H) / 2 + 1 of the larger. (If
+    none need be shared, |Dx| + |Dy| <= H, both link with the centre; such pairs are left out, since
+    their links to it connect them already.) Elements are ordered
+    by a frequency sketch of fixed size, rare ones first."""
+    spark = docs.sparkSession
+    first = crowd.groupBy("key").agg(F.min("doc").alias("b"))
+    joined = C.components(crowd.join(first, "key").select(F.col("doc").alias("a"), "b").filter("a <> b").distinct())
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("deg"))
+    joined = C.cut(joined.join(degree, "node", "left"), "joined")
+    centre = joined.groupBy("comp").agg(F.max_by("node", F.struct(F.coalesce("deg", F.lit(0)), -F.col("node"))).alias("centre"))
+    member = C.cut(joined.join(centre, "comp").select(F.col("node").alias("doc"), "centre"), "crowds")
+    vecs = C.cut(_candidate_sets(docs, member.select("doc"), k), "vecs")
+    both = member.join(vecs, "doc").join(vecs.select(F.col("doc").alias("centre"), F.col("s").alias("sc")), "centre")
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            out = [np.setxor1d(np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64), assume_unique=True).tobytes()
+                   for x, y in zip(t.column("s"), t.column("sc"), strict=True)]
+            n = np.array([x.as_buffer().size // 8 for x in t.column("s")], np.int64)
+            nc = np.array([x.as_buffer().size // 8 for x in t.column("sc")], np.int64)
+            shared = (n + nc - np.array([len(x) // 8 for x in out], np.int64)) // 2
+            near = den * shared >= num * (n + nc - shared)
+            yield pa.record_batch([t.column("doc"), t.column("centre"), pa.array(n), pa.array(near), pa.array(out, pa.binary())], names=["doc", "centre", "n", "near", "d"])
+    apart = C.cut(both.select("doc", "centre", "s", "sc").mapInArrow(differ, "doc long, centre long, n long, near boolean, d binary"), "apart")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SKETCH, np.int64)
+        for t in batches:
+            for x in t.column("d"):
+                np.add.at(total, (np.frombuffer(x.as_buffer(), U64) % U64(SKETCH)).astype(np.int64), 1)
+        some = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["slot", "c"])
+    seen = apart.select("d").mapInArrow(count, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()  # SKETCH rows at most
+    sketch = np.zeros(SKETCH, np.int64)
+    sketch[np.asarray(seen["slot"])] = np.asarray(seen["c"])
+    shared = spark.sparkContext.broadcast(sketch)
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = shared.value
+        for t in batches:
+            cols = [[] for _ in range(7)]
+            for doc, c, n, near, x in zip(*(t.column(i).to_pylist() for i in ("doc", "centre", "n", "near")), t.column("d"), strict=True):
+                d = np.frombuffer(x.as_buffer(), U64)
+                f = often[(d % U64(SKETCH)).astype(np.int64)]
+                first = np.lexsort((d, f))[:(den - num) * n // num + 1]
+                pos = np.flatnonzero(f[first] > 1)  # what one set alone has meets nobody
+                for col, v in zip(cols, (doc, c, n, int(near), len(d)), strict=False):
+                    col.append(np.full(len(pos), v, np.int64))
+                cols[5].append(pos)
+                cols[6].append(d[first[pos]].view(np.int64))
+            if cols[0]:
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=["doc", "centre", "n", "near", "size", "pos", "el"])
+    p = C.cut(apart.mapInArrow(prefix, "doc long, centre long, n long, near long, size long, pos long, el long"), "prefix")
+    side = lambda z: p.select("centre", "el", *(F.col(c).alias(c + z) for c in ("doc", "n", "near", "size", "pos")))
+    h = F.floor((den - num) * (F.col("nx") + F.col("ny")) / (den + num))
+    j = side("x").join(side("y"), ["centre", "el"]).filter(
+        ((F.col("sizex") < F.col("sizey")) | ((F.col("sizex") == F.col("sizey")) & (F.col("docx") < F.col("docy"))))
+        & (F.col("nearx") + F.col("neary") < 2) & _near("nx", "ny", num, den) & (2 * F.col("posx") <= h) & (2 * F.col("posy") <= F.col("sizey") - F.col("sizex") + h))
+    return j.select(F.least("docx", "docy").alias("a"), F.greatest("docx", "docy").alias("b")).distinct() \
+        .unionByName(apart.filter("near AND doc <> centre").select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")))
+
+
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """The pairs whose ends lie in different components so far."""
     c = comp.select("node", "comp")
