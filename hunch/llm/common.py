@@ -120,7 +120,7 @@ class WordHasher:
         return h, np.searchsorted(starts, doc_at), starts, ends
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the text of each slice stays near ``limit`` bytes (one row at least);
     every row is passed on, a row longer than the limit makes a slice of its own."""
     import pyarrow.compute as pc
