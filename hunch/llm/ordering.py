@@ -32,6 +32,7 @@ from . import common as C
 from .common import U64, mix64
 
 ROUNDS = 6
+DICT_ROWS, DICT_CHARS, DICT_BYTES = 1000, 8000, 112_640
 DTYPE = np.dtype("<u2")
 
 
@@ -69,14 +70,33 @@ class Feistel:
         return self._walk(slot, self.keys[::-1], True)
 
 
-def _sequences(docs: DataFrame, vocab_path: str, length: int, end_id: int) -> DataFrame:
+def _dictionary(docs: DataFrame, vocab_path: str, length: int) -> bytes:
+    """A compression dictionary for sequences in transit, from a bounded sample (DICT_ROWS rows, their
+    first DICT_CHARS code points). It only decides how many bytes move, never which ids are written."""
+    import zstandard
+
+    from .tokens import encoder
+    texts = [r[0] for r in docs.filter("text IS NOT NULL").select(F.substring("text", 1, DICT_CHARS)).limit(DICT_ROWS).collect()]
+    ids = encoder(vocab_path).encode(texts)[0].astype(DTYPE)
+    try:
+        return zstandard.train_dictionary(DICT_BYTES, [ids[i:i + length].tobytes() for i in range(0, len(ids), length)]).as_bytes()
+    except zstandard.ZstdError:  # too few samples for a dictionary
+        return b""
+
+
+def _zstd(dictionary: bytes) -> dict:
+    import zstandard
+    return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+
+
+def _sequences(docs: DataFrame, vocab_path: str, length: int, end_id: int, dictionary: bytes) -> DataFrame:
     """``part, i, n_tokens, doc_ids, ids``: each partition's token stream cut to ``length`` ids, as
     compressed little-endian uint16."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         from .tokens import encoder
-        enc, z = encoder(vocab_path), zstandard.ZstdCompressor(level=1)
+        enc, z = encoder(vocab_path), zstandard.ZstdCompressor(level=9, **_zstd(dictionary))
         part, i = TaskContext.get().partitionId(), 0
         left_ids, left_doc = np.zeros(0, DTYPE), np.zeros(0, np.int64)
 
@@ -113,7 +133,9 @@ def materialise(docs: DataFrame, out_uri: str, vocab_path: str | None = None, le
     bytes make the stride; vocabularies above 65,536 ids do not fit."""
     from .tokens import default_vocab
     spark = docs.sparkSession
-    seqs = C.cut(_sequences(C.id_text(docs), vocab_path or default_vocab(), length, end_id), "sequences")
+    vocab_path = vocab_path or default_vocab()
+    dictionary = _dictionary(C.id_text(docs), vocab_path, length)
+    seqs = C.cut(_sequences(C.id_text(docs), vocab_path, length, end_id, dictionary), "sequences")
     counts = seqs.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     total = int(counts.agg(F.sum("n")).first()[0] or 0)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row an input partition
@@ -131,7 +153,7 @@ def materialise(docs: DataFrame, out_uri: str, vocab_path: str | None = None, le
         from pyarrow import fs
         store, root = fs.FileSystem.from_uri(out_uri)
         store.create_dir(root, recursive=True)
-        z, now, f = zstandard.ZstdDecompressor(), None, None
+        z, now, f = zstandard.ZstdDecompressor(**_zstd(dictionary)), None, None
         attempt = TaskContext.get().taskAttemptId()
 
         def done() -> None:
