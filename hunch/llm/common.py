@@ -109,11 +109,13 @@ class WordHasher:
         longest = int(length.max())
         if longest > len(self.mult):
             self.mult = odd_multipliers(longest, self.seed)
-        at = np.flatnonzero(w)
         first = np.zeros(len(starts), np.int64)
         np.cumsum(length[:-1], out=first[1:])
-        rel = np.arange(len(at), dtype=np.int64) - np.repeat(first, length)
-        vals = self.table[a[at]]
+        total = int(length.sum())
+        whole = np.int32 if total < 1 << 31 else np.int64
+        rel = np.arange(total, dtype=whole)
+        rel -= np.repeat(first.astype(whole), length)
+        vals = self.table[a[w]]
         vals *= self.mult[rel]
         h = np.add.reduceat(vals, first)
         h = mix64(h + length.astype(U64) * U64(0x9E3779B97F4A7C15))
@@ -135,6 +137,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20)
             j = max(i + 1, int(np.searchsorted(total, base + limit, "right")))
             yield b.slice(i, j - i)
             i = j
+    pa.default_memory_pool().release_unused()  # the worker is reused: leave it small
 
 
 def utf8(col: pa.Array) -> list[bytes]:

@@ -46,7 +46,7 @@ def _blobs(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(off.tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def build_index(docs: DataFrame, label: str = "postings", segment_bytes: int = 4 << 20) -> DataFrame:
+def build_index(docs: DataFrame, label: str = "postings", segment_bytes: int = 2 << 20) -> DataFrame:
     """The positional index of all of ``docs(doc_id, text)``, written to the shared folder."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, part, n = _hasher(), TaskContext.get().partitionId(), 0

@@ -196,7 +196,7 @@ def _keys(reps: DataFrame, k: int, plan: dict) -> DataFrame:
     by a third of all sets arrives once a batch. The others get a salt of their own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = _hasher(), set()
-        for b in C.slices(batches, "text", 2 << 20):
+        for b in C.slices(batches, "text", 1 << 20):
             doc = np.asarray(b.column("doc_id"))
             order = np.argsort(doc, kind="stable")
             texts = C.utf8(b.column("text"))

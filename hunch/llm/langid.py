@@ -92,7 +92,7 @@ def train(docs: DataFrame, label: str = "lang", sample_rows: int = SAMPLE_ROWS)
         d = d.filter(F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(grid)) < max(1, grid * sample_rows // n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in C.slices(batches, "text", 2 << 20):
+        for b in C.slices(batches, "text", 1 << 19):
             langs = np.array(b.column("lang").to_pylist(), object)
             texts = b.column("text").to_pylist()
             for lang in sorted(set(langs.tolist())):
@@ -155,7 +155,7 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in C.slices(batches, "text", 2 << 20):
+        for b in C.slices(batches, "text", 1 << 19):
             w = Words([x or "" for x in b.column("text").to_pylist()])
             s = word_scores(w, m) if langs else None
             pred, score, spans = [], [], []

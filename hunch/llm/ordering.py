@@ -107,7 +107,7 @@ def _sequences(docs: DataFrame, vocab_path: str, length: int, end_id: int, dicti
             return pa.record_batch([pa.array(np.full(len(cut), part)), pa.array(np.arange(at, at + len(cut))), pa.array([len(c) for c in cut], pa.int64()),
                                     pa.array(who, pa.list_(pa.int64())), pa.array([z.compress(c.tobytes()) for c in cut], pa.binary())],
                                    names=["part", "i", "n_tokens", "doc_ids", "ids"])
-        for b in C.slices(batches, "text", 2 << 20):
+        for b in C.slices(batches, "text", 1 << 20):
             ids, off = enc.encode([x or "" for x in b.column("text").to_pylist()])
             size = np.diff(off)
             full = np.full(len(ids) + len(size), end_id, DTYPE)

@@ -37,7 +37,7 @@ def token_pieces(docs: DataFrame, vocab_path: str | None = None, capacity: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .tokens import encoder
         enc = encoder(vocab_path)
-        for b in C.slices(batches, "text", 2 << 20):
+        for b in C.slices(batches, "text", 1 << 20):
             ids, off = enc.encode([x or "" for x in b.column("text").to_pylist()])
             doc, piece, start, size, crc, raw = [], [], [], [], [], []
             for d, i, j in zip(b.column("doc_id").to_pylist(), off[:-1].tolist(), off[1:].tolist(), strict=True):

@@ -19,7 +19,7 @@ from .common import U64, mix64, odd_multipliers
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: Pieces kept in a worker's cache; it is emptied when full (ids do not depend on it).
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 500_000
 
 
 @functools.cache
