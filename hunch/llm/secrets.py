@@ -7,9 +7,9 @@ whether it could be guessed. Ordinary names and paths compress against the conte
 dictionary; random keys do not, and are reported as ``novel``.
 
 The dictionary holds common code words and the identifiers that most documents of the corpus
-share: of all candidates and the names beside them, counted over all rows, the ``DICT_WORDS``
-found in most different contexts. A string of many contexts is a known name, not a secret;
-copies of one document count as one context.
+share: of the names beside all candidates, counted over all rows, the ``DICT_WORDS`` found in
+most different contexts; copies of one document count as one context. No part of a string
+that could be a secret enters it: a key found in many files is reported in each of them.
 
 Results: one row per row with an id; null text counts as empty and has no spans. Spans are
 code points, end exclusive, ordered by start, then kind (assign, access, hex, novel).
@@ -35,6 +35,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ["assign", "access", "hex", "novel"]
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)?|secret|token|api[_-]?key|auth|bearer|credential|private|signature|access[_-]?key|akia", re.I | re.A)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]{5,}")
 CODE_WORDS = ("password passwd secret token api_key apikey authorization bearer credential private_key public_key access_key "
               "client_id client_secret username localhost example import return function class static const string value "
               "request response header content application default config environment production development database "
@@ -43,7 +45,7 @@ CODE_WORDS = ("password passwd secret token api_key apikey authorization bearer
 
 REACH = 80          # code points of context on either side that make a string sensitive and prime the compressor
 DICT_WORDS = 2000   # identifiers of the corpus in the dictionary
-COMMON = 3          # a string found in so many different contexts is an identifier
+COMMON = 3          # a name found in so many different contexts is an identifier
 BITS = 6.0          # compressed bits that a character of a secret adds at least
 
 
@@ -55,8 +57,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str]]:
-    """(start, end, string, context) of long strings with a letter and a digit or mixed case, outside
+def secret_like(word: str) -> bool:
+    """A long string with a letter and a digit."""
+    return bool(CANDIDATE.search(word) and re.search(r"[0-9]", word) and re.search(r"[A-Za-z]", word))
+
+
+def names(text: str, s: int, e: int) -> list[str]:
+    """Distinct identifiers of the context of ``text[s:e]``, without those in strings that could be
+    secrets or that the context cuts."""
+    out = set()
+    for lo, hi in ((max(0, s - REACH), s), (e, min(len(text), e + REACH))):
+        for m in RUN.finditer(text, lo, hi):
+            whole = not (m.start() == lo > 0 and RUN.match(text, lo - 1)) and not (m.end() == hi < len(text) and RUN.match(text, hi))
+            if whole and not secret_like(m.group()):
+                out.update(NAME.findall(m.group()))
+    return sorted(out)
+
+
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, list[str]]]:
+    """(start, end, string, context, names beside it) of long strings with a letter and a digit or mixed case, outside
     the base spans, with a sensitive word within REACH."""
     if not SENSITIVE.search(text):
         return []
@@ -66,11 +85,11 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         if any(a < e and s < b for a, _, b in base):
             continue
         word = m.group()
-        if not (re.search(r"[0-9]", word) and re.search(r"[A-Za-z]", word)):
+        if not secret_like(word):
             continue
         before, after = text[max(0, s - REACH):s], text[e:e + REACH]
         if SENSITIVE.search(before) or SENSITIVE.search(after):
-            out.append((s, e, word, before + " " + after))
+            out.append((s, e, word, before + " " + after, names(text, s, e)))
     return out
 
 
@@ -93,7 +112,7 @@ class Novelty:
 def _scan(docs: DataFrame) -> DataFrame:
     """``doc_id, base, cand``: base spans and candidates of each row."""
     span = pa.struct([("s", pa.int64()), ("k", pa.int32()), ("e", pa.int64())])
-    cand = pa.struct([("s", pa.int64()), ("e", pa.int64()), ("word", pa.string()), ("context", pa.string())])
+    cand = pa.struct([("s", pa.int64()), ("e", pa.int64()), ("word", pa.string()), ("context", pa.string()), ("names", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.slices(batches, "text"):
@@ -101,18 +120,17 @@ def _scan(docs: DataFrame) -> DataFrame:
             for t in b.column("text").to_pylist():
                 found = base_spans(t or "")
                 base.append([{"s": s, "k": k, "e": e} for s, k, e in found])
-                cands.append([dict(zip(("s", "e", "word", "context"), c, strict=True)) for c in candidates(t or "", found)])
+                cands.append([dict(zip(("s", "e", "word", "context", "names"), c, strict=True)) for c in candidates(t or "", found)])
             yield pa.record_batch([b.column("doc_id"), pa.array(base, pa.list_(span)), pa.array(cands, pa.list_(cand))], names=["doc_id", "base", "cand"])
-    return docs.mapInArrow(run, "doc_id long, base array<struct<s:long,k:int,e:long>>, cand array<struct<s:long,e:long,word:string,context:string>>")
+    return docs.mapInArrow(run, "doc_id long, base array<struct<s:long,k:int,e:long>>, cand array<struct<s:long,e:long,word:string,context:string,names:array<string>>>")
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans``."""
     spark = docs.sparkSession
     found = C.cut(_scan(C.id_text(docs)), "secrets")
-    # the corpus's own identifiers: strings of sensitive places that several documents share
-    words = found.select(F.explode("cand").alias("c")).select("c.context", F.explode(
-        F.array_union(F.array("c.word"), F.regexp_extract_all("c.context", F.lit(r"([A-Za-z_][A-Za-z0-9_]{5,})"), 1))).alias("w"))
+    # the corpus's own identifiers: names of sensitive places that several documents share
+    words = found.select(F.explode("cand").alias("c")).select("c.context", F.explode("c.names").alias("w"))
     shared = words.groupBy("w").agg(F.count_distinct(F.xxhash64("context")).alias("n")).filter(F.col("n") >= COMMON) \
         .orderBy(F.desc("n"), "w").limit(DICT_WORDS)
     dictionary = [r["w"] for r in shared.select(F.substring("w", 1, 100).alias("w")).collect()]

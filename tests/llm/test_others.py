@@ -71,6 +71,20 @@ def test_secrets(spark):
     assert S.scan_secrets(U.docs(spark, [])).count() == 0
 
 
+def test_secrets_shared_key(spark):
+    """A key in many contexts, also beside another candidate or cut by its context, stays a secret."""
+    C.ship(spark)
+    key, other = "4Fz9Qk2LmX8vTr1Bn6Yc3Hd7", "pW7sJ0xZq5RgUe8KtA2dVbN4"
+    fill = [U.words(12, i) for i in range(4)]
+    texts = [(i, f"{fill[i]} the auth header of part {i} is {key} here") for i in range(4)]
+    texts += [(10 + i, f"{fill[i]} auth {other} then {key} {i}") for i in range(4)]
+    texts += [(20 + i, f"{fill[i]} auth {key} {'-' * 40} private {'+' * (20 + i)} {other}") for i in range(4)]
+    got = {r["doc_id"]: r["spans"] for r in S.scan_secrets(U.docs(spark, texts)).collect()}
+    for i, t in texts:
+        for k in (key, other):
+            assert k not in t or f"novel:{t.index(k)}:{t.index(k) + len(k)}" in got[i].split(","), (i, got[i])
+
+
 def test_viterbi_matches_all_paths():
     r = np.random.default_rng(4)
     for _ in range(60):
