@@ -8,8 +8,9 @@ dictionary; random keys do not, and are reported as ``novel``.
 
 The dictionary holds common code words and the identifiers that most documents of the corpus
 share: of the names beside all candidates, counted over all rows, the ``DICT_WORDS`` found in
-most different contexts; copies of one document count as one context. No part of a string
-that could be a secret enters it: a key found in many files is reported in each of them.
+most different contexts; copies of one document count as one context. A string that could
+be a secret never enters it, so a key found in many files is reported in each of them; a
+plain word inside such strings counts once a string, however many contexts that has.
 
 Results: one row per row with an id; null text counts as empty and has no spans. Spans are
 code points, end exclusive, ordered by start, then kind (assign, access, hex, novel).
@@ -34,8 +35,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ["assign", "access", "hex", "novel"]
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)?|secret|token|api[_-]?key|auth|bearer|credential|private|signature|access[_-]?key|akia", re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+# '=' ends a name and belongs to a string only as its trailing padding
+CANDIDATE = re.compile(r"(?=[A-Za-z0-9+/_=-]{16})[A-Za-z0-9+/_-]{14,}(?:={1,2}(?![A-Za-z0-9+/_=-])|(?<=[A-Za-z0-9+/_-]{16}))")
+RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+HUMP = re.compile(r"[A-Z]?[a-z]{4,}")
+MIXED = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")  # more than capitals and capitalised words
 NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]{5,}")
 CODE_WORDS = ("password passwd secret token api_key apikey authorization bearer credential private_key public_key access_key "
               "client_id client_secret username localhost example import return function class static const string value "
@@ -58,23 +62,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def secret_like(word: str) -> bool:
-    """A long string with a letter and a digit."""
-    return bool(CANDIDATE.search(word) and re.search(r"[0-9]", word) and re.search(r"[A-Za-z]", word))
+    """A long string with a letter and a digit or mixed case (capitalised words alone are not mixed)."""
+    return bool(CANDIDATE.search(word) and (MIXED.search(word) or re.search(r"[0-9]", word) and re.search(r"[A-Za-z]", word)))
 
 
-def names(text: str, s: int, e: int) -> list[str]:
-    """Distinct identifiers of the context of ``text[s:e]``, without those in strings that could be
-    secrets or that the context cuts."""
-    out = set()
+def names(text: str, s: int, e: int) -> list[tuple[str, str | None]]:
+    """Distinct (name, string it is part of) of the candidate ``text[s:e]`` and its context, without strings
+    that the context cuts: whole identifiers (None), and the plain words in strings that could be secrets."""
+    out = {(x, text[s:e].rstrip("=")) for x in HUMP.findall(text, s, e)}
     for lo, hi in ((max(0, s - REACH), s), (e, min(len(text), e + REACH))):
         for m in RUN.finditer(text, lo, hi):
             whole = not (m.start() == lo > 0 and RUN.match(text, lo - 1)) and not (m.end() == hi < len(text) and RUN.match(text, hi))
-            if whole and not secret_like(m.group()):
-                out.update(NAME.findall(m.group()))
-    return sorted(out)
+            if whole:
+                run = m.group()
+                out.update([(x, run) for x in HUMP.findall(run)] if secret_like(run) else [(x, None) for x in NAME.findall(run)])
+    return sorted(out, key=lambda x: (x[0], x[1] or ""))
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, list[str]]]:
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, list[tuple[str, str | None]]]]:
     """(start, end, string, context, names beside it) of long strings with a letter and a digit or mixed case, outside
     the base spans, with a sensitive word within REACH."""
     if not SENSITIVE.search(text):
@@ -112,7 +117,8 @@ class Novelty:
 def _scan(docs: DataFrame) -> DataFrame:
     """``doc_id, base, cand``: base spans and candidates of each row."""
     span = pa.struct([("s", pa.int64()), ("k", pa.int32()), ("e", pa.int64())])
-    cand = pa.struct([("s", pa.int64()), ("e", pa.int64()), ("word", pa.string()), ("context", pa.string()), ("names", pa.list_(pa.string()))])
+    name = pa.struct([("w", pa.string()), ("of", pa.string())])
+    cand = pa.struct([("s", pa.int64()), ("e", pa.int64()), ("word", pa.string()), ("context", pa.string()), ("names", pa.list_(name))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.slices(batches, "text"):
@@ -120,18 +126,20 @@ def _scan(docs: DataFrame) -> DataFrame:
             for t in b.column("text").to_pylist():
                 found = base_spans(t or "")
                 base.append([{"s": s, "k": k, "e": e} for s, k, e in found])
-                cands.append([dict(zip(("s", "e", "word", "context", "names"), c, strict=True)) for c in candidates(t or "", found)])
+                cands.append([dict(zip(("s", "e", "word", "context", "names"), (*c[:4], [{"w": w, "of": of} for w, of in c[4]]), strict=True))
+                              for c in candidates(t or "", found)])
             yield pa.record_batch([b.column("doc_id"), pa.array(base, pa.list_(span)), pa.array(cands, pa.list_(cand))], names=["doc_id", "base", "cand"])
-    return docs.mapInArrow(run, "doc_id long, base array<struct<s:long,k:int,e:long>>, cand array<struct<s:long,e:long,word:string,context:string,names:array<string>>>")
+    return docs.mapInArrow(run, "doc_id long, base array<struct<s:long,k:int,e:long>>, cand array<struct<s:long,e:long,word:string,context:string,names:array<struct<w:string,of:string>>>>")
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans``."""
     spark = docs.sparkSession
     found = C.cut(_scan(C.id_text(docs)), "secrets")
-    # the corpus's own identifiers: names of sensitive places that several documents share
-    words = found.select(F.explode("cand").alias("c")).select("c.context", F.explode("c.names").alias("w"))
-    shared = words.groupBy("w").agg(F.count_distinct(F.xxhash64("context")).alias("n")).filter(F.col("n") >= COMMON) \
+    # the corpus's own identifiers: names that several sensitive places, or words that several long strings, share
+    words = found.select(F.explode("cand").alias("c")).select("c.context", F.explode("c.names").alias("x")) \
+        .select(F.col("x.w").alias("w"), F.coalesce("x.of", "context").alias("place"))
+    shared = words.groupBy("w").agg(F.count_distinct(F.xxhash64("place")).alias("n")).filter(F.col("n") >= COMMON) \
         .orderBy(F.desc("n"), "w").limit(DICT_WORDS)
     dictionary = [r["w"] for r in shared.select(F.substring("w", 1, 100).alias("w")).collect()]
     known = spark.sparkContext.broadcast(dictionary)

@@ -85,6 +85,20 @@ def test_secrets_shared_key(spark):
             assert k not in t or f"novel:{t.index(k)}:{t.index(k) + len(k)}" in got[i].split(","), (i, got[i])
 
 
+def test_secrets_key_value_lines(spark):
+    C.ship(spark)
+    key, mixed, padded = "4Fz9Qk2LmX8vTr1Bn6Yc3Hd7", "kJhGfDqWzXrTyUvBnMpLsQaE", "Zk3xQ9vB2mT7yL0pWc4s8A=="
+    texts = [(i, f"{name}={v}") for i, (name, v) in enumerate(itertools.product(
+        ["PRIVATE_KEY", "auth", "credential", "access_key", "export SERVICE_PRIVATE_KEY"], [key, mixed, padded]))]
+    texts += [(50, f"the auth header uses {mixed} here"), (51, f"auth {padded}"), (52, f"nothing else={key} here")]
+    got = {r["doc_id"]: r["spans"] for r in S.scan_secrets(U.docs(spark, texts)).collect()}
+    for i, t in texts:
+        v = next(v for v in (key, mixed, padded) if v in t)
+        assert got[i] == ("" if i == 52 else f"novel:{t.index(v)}:{t.index(v) + len(v)}"), (i, t, got[i])
+    words = ["Versicherungsgesellschaft", "Content-Security-Policy", "PRIVATE_KEY_LOCATION", "abcdefghijklmnopqrst"]
+    assert not any(S.secret_like(w) for w in words) and all(S.secret_like(w) for w in (key, mixed, padded, padded[:-1]))
+
+
 def test_viterbi_matches_all_paths():
     r = np.random.default_rng(4)
     for _ in range(60):
