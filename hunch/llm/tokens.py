@@ -1,7 +1,8 @@
 """Token ids of whole texts by a byte-level BPE vocabulary file, in numpy batches.
 
-The vocabulary file is a parameter; only its merge ranks and the published splitting rule of
-this family are used: contractions, then runs of letters, digits or other signs with one
+The vocabulary file is a parameter; its merge ranks, its added tokens and the published splitting
+rule of this family are used: texts are cut at added tokens, which have one id each, and the rest
+is split into contractions, then runs of letters, digits or other signs with one
 leading space, then white space whose last character stays with what follows. Splitting is
 done for a whole batch on code-point classes; each distinct piece is encoded once by the
 library and kept in a bounded cache. Tests hold the ids against the library on whole texts.
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -74,12 +76,19 @@ def piece_starts(codes: np.ndarray, doc_at: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """``encode(texts)`` -> all ids joined (uint32) and the id offsets of the texts."""
+    """``encode(texts)`` -> all ids joined (uint32) and the id offsets of the texts. ``added``: the file's
+    added tokens get their ids (the library's default), else they are plain text like any other."""
 
-    def __init__(self, vocab_path: str):
+    def __init__(self, vocab_path: str, added: bool = False):
         import tiktoken
         with open(vocab_path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            file = json.load(f)
+        vocab = file["model"]["vocab"]
+        tokens = file.get("added_tokens") or [] if added else []
+        if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{vocab_path}: added tokens that match by word or take in white space are not supported")
+        self.added = {t["content"]: int(t["id"]) for t in tokens}
+        self.marker = re.compile("|".join(re.escape(x) for x in sorted(self.added, key=lambda x: (-len(x), x)))) if self.added else None
         byte_of = _byte_alphabet()
         ranks = {bytes(byte_of[c] for c in piece): i for piece, i in vocab.items() if all(c in byte_of for c in piece)}
         # Splitting has been done: the library gets pieces joined by NUL and merges each one whole.
@@ -106,6 +115,24 @@ class Encoder:
         self.hash, self.at, self.n = self.hash[o], self.at[o], self.n[o]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.marker is None or not any(x in t for t in texts for x in self.added):
+            return self._plain(texts)
+        # the parts between added tokens are texts of their own; the ids of the tokens go in between
+        parts, tokens, after, first = [], [], [], [0]
+        for t in texts:
+            at = 0
+            for m in self.marker.finditer(t):
+                parts.append(t[at:m.start()])
+                tokens.append(self.added[m.group()])
+                after.append(len(parts))  # the part behind the token
+                at = m.end()
+            parts.append(t[at:])
+            first.append(len(parts))
+        ids, off = self._plain(parts)
+        first = np.array(first)
+        return np.insert(ids, off[after], np.array(tokens, np.uint32)), off[first] + np.searchsorted(after, first, "left")
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = "".join(texts)
         doc_at = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)), out=doc_at[1:])
@@ -161,7 +188,7 @@ def _byte_alphabet() -> dict[str, int]:
 @functools.cache
 def encoder(vocab_path: str) -> Encoder:
     """One encoder a worker process and vocabulary file."""
-    return Encoder(vocab_path)
+    return Encoder(vocab_path, added=True)
 
 
 def default_vocab() -> str:

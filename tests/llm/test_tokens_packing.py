@@ -36,6 +36,24 @@ def test_ids_equal_the_library(library):
     assert e.encode([])[1].tolist() == [0] and e.encode(["", ""])[1].tolist() == [0, 0, 0]
 
 
+def test_added_tokens_equal_the_library(spark):
+    """The ids that operators use, against the library as the file sets it up: added tokens keep their ids."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    e, r, mark = T.encoder(T.default_vocab()), random.Random(8), "<|endoftext|>"
+    assert e.encode([f"one {mark} two"])[0].tolist() == [505, 220, 50256, 734]
+    texts = ["plain", mark, mark * 3, f" {mark} ", "", f"a{mark}", f"{mark}b", "<|endoftext|", "|>", f"<|{mark}|>", f"x\x00{mark}\x00 \n{mark}\n y", f"it{mark}'s"]
+    texts += ["".join(r.choice([mark, " ", "ab", "'s", "\n", "<|", "é1"]) for _ in range(r.randrange(12))) for _ in range(300)]
+    ids, off = e.encode(texts)
+    want = [x.ids for x in default.encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)] == want
+    C.ship(spark)
+    got = P.pack_documents(U.docs(spark, list(enumerate(texts)))).toPandas()
+    assert {(x.doc_id, x.length, x.ids_crc32) for x in got.itertuples()} == {
+        (i, len(x) + 1, zlib.crc32(np.array([*x, 2], "<u4").tobytes())) for i, x in enumerate(want)}
+
+
 def test_cache_bound_does_not_change_ids(library, monkeypatch):
     monkeypatch.setattr(T, "CACHE_PIECES", 50)
     e = T.Encoder(T.default_vocab())
