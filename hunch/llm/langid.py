@@ -149,7 +149,8 @@ def word_scores(w: Words, model: dict) -> np.ndarray:
 
 
 def identify(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``doc_id, lang_pred, score, spans`` (code points, end exclusive)."""
+    """``docs(doc_id, text)`` -> ``doc_id, lang_pred, score, spans`` (code points, end exclusive),
+    ``has_letter``."""
     langs = model["langs"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -179,9 +180,10 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
                 spans.append([{"start": int(x), "end": int(y), "lang": langs[z]} for x, y, z in
                               zip((w.starts[lo + new] - at).tolist(), (w.ends[lo + last] - at).tolist(), path[new].tolist(), strict=True)])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
-            yield pa.record_batch([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(spans, kind)],
-                                  names=["doc_id", "lang_pred", "score", "spans"])
-    return C.id_text(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, spans array<struct<start:long,end:long,lang:string>>")
+            yield pa.record_batch([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(spans, kind),
+                                   pa.array(np.diff(w.word_of) > 0)],
+                                  names=["doc_id", "lang_pred", "score", "spans", "has_letter"])
+    return C.id_text(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, spans array<struct<start:long,end:long,lang:string>>, has_letter boolean")
 
 
 def fold(doc_id: Column) -> Column:
@@ -191,6 +193,6 @@ def fold(doc_id: Column) -> Column:
 
 def language_id(docs: DataFrame) -> DataFrame:
     """Train on ``docs(doc_id, text, lang)`` outside fold 1 and label every row:
-    ``doc_id, held_out, lang_pred, score, spans``."""
+    ``doc_id, held_out, lang_pred, score, spans, has_letter``."""
     model = train(docs.filter(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1)))
-    return identify(docs, model).select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "lang_pred", "score", "spans")
+    return identify(docs, model).select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "lang_pred", "score", "spans", "has_letter")

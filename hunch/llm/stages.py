@@ -17,11 +17,12 @@ def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without any letter (no language); the others get their predicted language."""
+    """Rejects documents without any letter (no language); the others get their predicted language, or
+    keep their own when no labelled row could train a model."""
     from .langid import language_id
     C.ship(spark)
-    found = language_id(docs).filter("lang_pred <> 'und'").groupBy("doc_id").agg(F.min("lang_pred").alias("__lang"))
-    return docs.join(found, "doc_id").withColumn("lang", F.col("__lang")).select(docs.columns)
+    found = language_id(docs).filter("has_letter").groupBy("doc_id").agg(F.min(F.expr("nullif(lang_pred, 'und')")).alias("__lang"))
+    return docs.join(found, "doc_id").withColumn("lang", F.coalesce("__lang", F.col("lang").cast("string"))).select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

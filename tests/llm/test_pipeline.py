@@ -1,3 +1,5 @@
+import zlib
+
 import corpus_pipeline as P
 from hunch.llm import langid as L
 from hunch.llm.linededup import line_dedup  # noqa: F401
@@ -36,6 +38,16 @@ def test_stages_match_brute_force(spark, tmp_path):
     assert L.SAMPLE_ROWS >= 1000
 
 
+def test_language_without_a_model(spark):
+    """No labelled row, or only held-out ones: documents with a letter stay, with the language they had."""
+    from hunch.llm import stages as S
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 3 == 1)
+    for label in (None, "en"):
+        rows = [(held, "some words", label, "s", 10), (200, "other words", None, "s", 11), (201, "12 34", None, "s", 5), (202, None, None, "s", None)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+        assert sorted(map(tuple, S.language(spark, docs, "").collect())) == sorted(map(tuple, rows[:2]))
+
+
 def test_contract():
     import __spark_entry__ as E
     q = E.queries()
