@@ -9,7 +9,8 @@ The path is found without a word-by-word walk where one language is provably bes
 it for any run of words would gain less than one switch costs. Only other texts walk.
 
 Training counts hashed n-grams of a deterministic sample of about ``SAMPLE_ROWS`` labelled
-rows (all of them if there are fewer) with multinomial smoothing; the model has
+rows (all of them if there are fewer) with multinomial smoothing; each language has an equal
+quota of it, languages with fewer rows give all of theirs, and no quota is below ``LEAST_ROWS``; the model has
 ``N_FEATURES`` rows of one number a language.
 
 Results: one row per row with an id. Null text, or none with a letter: ``und``, score 0, no
@@ -31,6 +32,8 @@ from .common import U64, mix64
 from .tokens import LETTER, _classes
 
 SAMPLE_ROWS, N_FEATURES, SWITCH, SMOOTH = 12_000, 1 << 16, 12.0, 0.5
+#: Rows that a language is sampled for at least (a hashed rate misses all of them with probability e**-32).
+LEAST_ROWS = 32
 #: A language uses a script if at least this share of its training letters is in it.
 SCRIPT_SHARE, OUTSIDE = 0.01, -40.0
 # FIXED VALUES: first code point of blocks, by script
@@ -83,13 +86,27 @@ class Words:
                          slot(pack(p2, p1, x[a], nx), 5)]
 
 
+def quota(counts: list[int], rows: int) -> int:
+    """The largest equal share of ``rows`` when languages with fewer rows leave theirs to the others."""
+    left = rows
+    for i, n in enumerate(sorted(counts)):
+        share = left // (len(counts) - i)
+        if n > share:
+            return max(LEAST_ROWS, share)
+        left -= n
+    return max(LEAST_ROWS, *counts, 0)
+
+
 def train(docs: DataFrame, label: str = "lang", sample_rows: int = SAMPLE_ROWS) -> dict:
     """The model of labelled ``docs(doc_id, text, <label>)``."""
     d = docs.select("doc_id", "text", F.col(label).cast("string").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    n = d.count()
-    grid = 1 << 20
-    if n > sample_rows:
-        d = d.filter(F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(grid)) < max(1, grid * sample_rows // n))
+    counts = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one a language
+    grid = 1 << 40
+    if sum(counts.values()) > sample_rows:
+        each = quota(list(counts.values()), sample_rows)
+        share = docs.sparkSession.createDataFrame([(x, min(grid, -(-grid * each // n))) for x, n in counts.items()], "lang string, __share long")
+        d = d.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(grid)) < F.col("__share")) \
+            .select("doc_id", "text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.slices(batches, "text", 1 << 19):

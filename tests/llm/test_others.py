@@ -131,6 +131,17 @@ def test_language_odd_rows(spark):
     assert L.language_id(U.docs(spark, [])).count() == 0
 
 
+def test_language_sample_keeps_rare_languages(spark):
+    C.ship(spark)
+    rows = [(i, U.words(20, i), "en") for i in range(3000)] + [(5000 + i, "zażółć gęślą jaźń", "pl") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(docs, sample_rows=100)
+    assert model["langs"] == ["en", "pl"]
+    assert [r["lang_pred"] for r in L.identify(docs.filter("doc_id >= 5000"), model).collect()] == ["pl"] * 3
+    for counts, share in (([3000, 3], 97), ([50, 50], 50), ([10, 500, 500], 45), ([1], 32), ([], 32)):
+        assert L.quota(counts, 100) == share
+
+
 def vectors(spark, data):
     return spark.createDataFrame(data, "vec_id long, embedding array<float>, label int, rank int, score double")
 
