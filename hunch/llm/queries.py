@@ -168,3 +168,30 @@ n AS (SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, s.id A
       FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
 SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import collocations
+    return collocations(table(spark, sf_dir, "documents"), min_count=30, longest=4, top=2000, inside=(80, 100))
+
+
+ORACLE["op12_phrase_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, unnest(pieces) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase FROM w, unnest(range(1, 5)) AS t(k), unnest(range(1, len(words) - k + 2)) AS u(i)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1 AND f >= 30),
+cut AS (SELECT c.lang, c.phrase, c.a, j, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f))::BIGINT AS score
+        FROM c, unnest(range(1, k)) AS t(j) JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:j], ' ')
+        JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[j + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+longer AS (SELECT lang, phrase, max(a) AS f FROM (
+             SELECT lang, a, array_to_string(words[i:i + m - 1], ' ') AS phrase FROM c, unnest(range(2, k)) AS t(m), unnest(range(1, k - m + 2)) AS u(i)) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer USING (lang, phrase) WHERE longer.f IS NULL OR 100::HUGEINT * longer.f < 80::HUGEINT * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
