@@ -195,3 +195,9 @@ kept AS (SELECT b.* FROM best b LEFT JOIN longer USING (lang, phrase) WHERE long
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
 """
+
+
+@query
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_pii
+    return find_pii(table(spark, sf_dir, "documents"))
