@@ -5,12 +5,15 @@ padded with null where the piece ends (the lead columns of the word sequence). O
 windows are counted; ``ROLLUP(w0, w1, ...)`` sums them over successively shorter prefixes,
 which gives the occurrences of all shorter phrases and, at its top, of all words.
 
-Windows are combined within slices of text before they are shuffled, and dealt by their
-first two words. There a window whose prefix is rarer than ``min_count`` in the whole corpus
-is padded from that prefix on: it still counts towards every prefix that can matter (a cut of
-a candidate is at least as frequent as the candidate), and what is left to roll up is little
-more than the vocabulary. First words that open very many different windows of a slice are
-salted by the third word and skip the padding, which only saves work.
+Windows are combined within slices of text and travel as one row for each first word (and
+hash of the second) of a slice, which lists the words that follow. Behind the one exchange
+they are sorted, and a batch of sorted windows is reduced: where all windows with some
+prefix lie within the batch and are rarer than ``min_count`` together, they are padded from
+the prefix's last word on. Such a prefix can be no part of a candidate (a cut of a candidate
+is at least as frequent as the candidate), and its windows still count towards all shorter
+prefixes; prefixes that a batch may not hold whole stay as they are. What is left to roll up
+is little more than the vocabulary. Pairs of words that open very many different windows of
+a slice are dealt by the third word too and are not padded, which only saves work.
 
 A candidate is a phrase of 2 to ``longest`` words with at least ``min_count`` occurrences; its
 score is the least over its cuts of ``floor(2000000 * a / (l + r))``, in decimal arithmetic.
@@ -38,9 +41,11 @@ from pyspark.sql.window import Window
 from . import common as C
 
 BREAKS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
-SLICE = 4 << 20      # bytes of text whose windows are combined in one go
-HOT = 2048           # different windows of a slice that begin with the same two words, from which on these are salted
-SALTS = 64
+SLICE = 2 << 20      # bytes of text whose windows are combined in one go
+SALTS, HOT_SALTS = 16, 64
+HOT = 64             # a pair of words is hot that opens more than 1 / HOT of a slice's different windows ...
+HOT_LEAST = 1024     # ... and at least so many (which must exceed ``min_count``)
+LIST = 64            # windows of a row that travels, at most
 
 
 def _words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -58,7 +63,7 @@ def _words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     np.cumsum(ends - starts, out=offsets[1:])
     data = np.ascontiguousarray(a[inside])
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
-    piece = np.cumsum(kinds == 2, dtype=np.int64)[starts]
+    piece = np.searchsorted(np.flatnonzero(kinds == 2), starts)
     text_end = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     return words, piece, np.searchsorted(text_end, starts, "right")
 
@@ -74,8 +79,8 @@ def _distinct(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _windows(longest: int):
-    """Batches of ``(lang, text)`` -> ``(head, rest, salt, n)``: the distinct windows of each slice; ``head`` is
-    language, tab and the first two words, ``rest`` the others."""
+    """Batches of ``(lang, text)`` -> ``(lang, w0, salt, windows)``: the distinct windows of each slice, listed by
+    first word; a window is its other words, with a tab and its number where that is not 1."""
     blank, tab = pa.scalar(" ", pa.large_string()), pa.scalar("\t", pa.large_string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,42 +88,109 @@ def _windows(longest: int):
             words, piece, of = _words(C.utf8(b.column("text")))
             if not len(words):
                 continue
-            vocabulary = words.dictionary_encode()
-            code, vocabulary = np.asarray(vocabulary.indices, np.int64), vocabulary.dictionary
-            langs = b.column("lang").dictionary_encode()
-            lang = np.asarray(langs.indices, np.int64)[of]
-            size = len(vocabulary)
+            encoded = words.dictionary_encode()
+            vocabulary, langs = encoded.dictionary, b.column("lang").dictionary_encode()
+            size, code, lang = len(vocabulary), np.asarray(encoded.indices, np.int64), np.asarray(langs.indices, np.int64)[of]
+            rank = np.empty(size, np.int64)  # codes in the order of the words, so that neighbours are alike
+            rank[np.asarray(pc.array_sort_indices(vocabulary))] = np.arange(size)
+            vocabulary, code = vocabulary.take(pc.array_sort_indices(vocabulary)), rank[code]
+            crc = np.append(np.fromiter((zlib.crc32(w) for w in vocabulary.cast(pa.large_binary()).to_pylist()), np.int64, size), 0)
             lead = []  # lead columns; ``size`` stands for the padding
             for k in range(longest):
                 w = np.full(len(code), size, np.int64)
                 same = piece[k:] == piece[:len(piece) - k]
                 w[:len(code) - k][same] = code[k:][same]
                 lead.append(w)
-            pairs = [(lang * (size + 1) + lead[0]) * (size + 1) + lead[1]]
-            pairs += [lead[k] * (size + 1) + (lead[k + 1] if k + 1 < longest else 0) for k in range(2, longest, 2)]
-            row, n = _distinct(pairs)
-            # first words that open very many windows are salted by the third word
-            head = pairs[0][row]
-            begin = np.flatnonzero(np.diff(head, prepend=-1))
-            width = np.diff(begin, append=len(head))
-            hot = np.repeat(width > HOT, width)
-            crc = np.fromiter((zlib.crc32(w) for w in vocabulary.cast(pa.large_binary()).to_pylist()), np.int64, size)
-            salt = np.where(hot, 1 + np.append(crc, 0)[lead[2][row]] % SALTS, 0) if longest > 2 else np.zeros(len(row), np.int64)
-            marks = begin[width > HOT] if longest > 2 else begin[:0]
-            row, n, salt = np.concatenate([row, row[marks]]), np.concatenate([n, np.zeros(len(marks), n.dtype)]), np.concatenate([salt, np.full(len(marks), -1)])
+            first = (lang * (size + 1) + lead[0]) * SALTS + crc[lead[1]] % SALTS
+            keys = [first * (size + 1) + lead[1]] + [lead[k] * (size + 1) + (lead[k + 1] if k + 1 < longest else 0) for k in range(2, longest, 2)]
+            row, n = _distinct(keys)
+            # pairs that open very many windows are dealt by the third word, and leave a mark: the pair alone, with number 0
+            begin = np.flatnonzero(np.diff(keys[0][row], prepend=-1))
+            width = np.diff(begin, append=len(row))
+            hot = width > max(HOT_LEAST, len(row) // HOT) if longest > 2 else np.zeros(len(width), bool)
+            salt = crc[lead[1][row]] % SALTS
+            if hot.any():
+                each = np.repeat(hot, width)
+                salt[each] = SALTS + crc[lead[2][row[each]]] % HOT_SALTS
+                row, n, salt = np.append(row, row[begin[hot]]), np.append(n, np.zeros(hot.sum(), n.dtype)), np.append(salt, crc[lead[1][row[begin[hot]]]] % SALTS)
+                order = np.lexsort([salt, first[row] // SALTS])
+                row, n, salt = row[order], n[order], salt[order]
 
             def text(k: int, rows: np.ndarray) -> pa.Array:
-                w = lead[k][rows]
+                w = lead[k][rows] if k < 2 else np.where(n == 0, size, lead[k][rows])
                 return vocabulary.take(pa.array(np.where(w == size, 0, w), mask=w == size))
-            for i in range(0, len(row), 1 << 16):
-                r = row[i:i + (1 << 16)]
-                first = pc.binary_join_element_wise(text(0, r), text(1, r), blank, null_handling="skip")
-                name = langs.dictionary.cast(pa.large_string()).take(pa.array(lang[r]))
-                others = [text(k, r) if k > 2 else text(k, r).fill_null("") for k in range(2, longest)]
-                rest = pc.binary_join_element_wise(*others, blank, null_handling="skip") if others else pa.nulls(len(r), pa.large_string())
-                s = salt[i:i + (1 << 16)]
-                yield pa.record_batch([pc.binary_join_element_wise(name, first, tab).cast(pa.string()), rest.cast(pa.string()), pa.array(np.maximum(s, 0).astype(np.int32)),
-                                       pa.array(s != 0), pa.array(n[i:i + (1 << 16)].astype(np.int64))], names=["head", "rest", "salt", "hot", "n"])
+            others = [text(k, row) if k > 1 else text(k, row).fill_null("") for k in range(1, longest)]
+            window = pc.binary_join_element_wise(*others, blank, null_handling="skip")
+            number = pa.array(n).cast(pa.large_string()).filter(pa.array(n != 1))
+            window = pc.replace_with_mask(window, pa.array(n != 1), pc.binary_join_element_wise(window.filter(pa.array(n != 1)), number, tab))
+            owner = first[row] // SALTS
+            new = np.ones(len(row), bool)
+            new[1:] = (np.diff(owner) != 0) | (np.diff(salt) != 0)
+            at = np.flatnonzero(new)
+            place = np.arange(len(row)) - np.repeat(at, np.diff(at, append=len(row)))
+            at = np.flatnonzero(place % LIST == 0)
+            lists = pa.LargeListArray.from_arrays(pa.array(np.append(at, len(row))), window)
+            listed = pc.binary_join(lists, pa.scalar("\n", pa.large_string())).cast(pa.string())
+            cols = [langs.dictionary.cast(pa.string()).take(pa.array(lang[row[at]])), text(0, row[at]).cast(pa.string()), pa.array(salt[at].astype(np.int32)), listed]
+            out = pa.record_batch(cols, names=["lang", "w0", "salt", "windows"])
+            for i in range(0, out.num_rows, 1 << 14):
+                yield out.slice(i, 1 << 14)
+    return run
+
+
+def _prefix(groups: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Numbers of the distinct (group, code) pairs."""
+    return np.unique(groups * (int(code.max(initial=0)) + 2) + code + 1, return_inverse=True)[1]
+
+
+def _pad(longest: int, min_count: int):
+    """Sorted ``(lang, w0, salt, window, n)`` -> ``(lang, w0, w1, ..., n)``, padded where a prefix is surely rare, and
+    combined. A prefix that the first or last row of the batch has may go on in another batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_key, open_marks = None, set()
+        for b in batches:
+            if not b.num_rows:
+                continue
+            lang, w0 = b.column("lang").dictionary_encode(), b.column("w0").dictionary_encode()
+            salt, n = np.asarray(b.column("salt"), np.int64), np.asarray(b.column("n"), np.int64)
+            owner = _prefix(np.asarray(lang.indices, np.int64), np.asarray(w0.indices, np.int64))
+            group = [_prefix(owner, salt)]
+            lists = pc.split_pattern(b.column("window"), " ")
+            at, words = np.asarray(lists.offsets, np.int64), lists.flatten().dictionary_encode()
+            code, size = np.asarray(words.indices, np.int64), np.diff(at)
+            none = pc.index(words.dictionary, "").as_py()  # the window of a lone first word
+            cols = []
+            for k in range(longest - 1):
+                c = np.where(size > k, code[np.minimum(at[:-1] + k, len(code) - 1)], -1)
+                cols.append(np.where(c == none, -1, c))
+                group.append(_prefix(group[-1], cols[-1]))
+            marked = np.bincount(group[1], n == 0) > 0
+            ends = [(b.column("lang")[i].as_py(), b.column("w0")[i].as_py(), int(salt[i])) for i in (0, b.num_rows - 1)]
+            if ends[0] == open_key:  # marks come first among the windows of a pair, maybe in an earlier batch
+                again = pc.index_in(pa.array(sorted(open_marks), words.dictionary.type), words.dictionary)
+                mine = (group[0] == group[0][0]) & np.isin(cols[0], np.asarray(again.drop_null(), np.int64))
+                marked[group[1][mine]] = True
+            own = (group[0] == group[0][-1]) & marked[group[1]]
+            kept = open_marks if ends[1] == open_key else set()
+            open_key, open_marks = ends[1], kept | {words.dictionary[int(c)].as_py() for c in np.unique(cols[0][own & (cols[0] >= 0)])}
+            fixed = marked[group[1]] | (salt >= SALTS)
+            # words with control characters sort between a prefix and its continuations
+            odd = [bool(min(map(ord, w), default=32) < 32) for w in (b.column("window")[0].as_py(), b.column("window")[b.num_rows - 1].as_py())]
+            short = np.full(len(n), longest)
+            for k in range(longest - 1, 0, -1):
+                f = np.bincount(group[k], n)
+                for end, strange in ((0, odd[0]), (-1, odd[1])):
+                    f[group[k][group[0] == group[0][end]] if strange else group[k][end]] = min_count
+                short[(f[group[k]] < min_count) & ~fixed] = k
+            cols = [np.where(short > k + 1, c, -1) for k, c in enumerate(cols)]
+            last = owner
+            for c in cols:
+                last = _prefix(last, c)
+            total = np.bincount(last, n).astype(np.int64)
+            row = np.unique(last, return_index=True)[1][total > 0]
+            names = [f"w{k}" for k in range(longest)]
+            take = [pa.DictionaryArray.from_arrays(pa.array(np.maximum(c[row], 0), mask=c[row] < 0), words.dictionary).dictionary_decode() for c in cols]
+            yield pa.record_batch([lang.take(pa.array(row)).dictionary_decode(), w0.take(pa.array(row)).dictionary_decode(), *take, pa.array(total[total > 0])], names=["lang", *names, "n"])
     return run
 
 
@@ -126,27 +198,15 @@ def phrase_counts(docs: DataFrame, min_count: int = 30, longest: int = 4, lang_c
     """``(lang, phrase, size, f)``: all phrases of 1 to ``longest`` words with at least ``min_count``
     occurrences within pieces, and for each language a row of ``size`` 0 with the number of all words."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    w = texts.mapInArrow(_windows(longest), "head string, rest string, salt int, hot boolean, n long")
-    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # one exchange: sums by window, and by their prefixes, stay within the partitions by head
-    w = w.repartition(width, "head", "salt").groupBy("head", "salt", "rest").agg(F.sum("n").alias("n"), F.max("hot").alias("hot"))
-    third = F.when(F.col("rest") != "", F.substring_index("rest", " ", 1))
-    w = w.withColumn("w2", third)
-    by2, by3 = Window.partitionBy("head", "salt"), Window.partitionBy("head", "salt", "w2")
-    w = w.withColumns({"f2": F.sum("n").over(by2), "hot": F.max("hot").over(by2)}).withColumn("f3", F.sum("n").over(by3)).filter("n > 0")
-    first = F.split(F.substring_index("head", "\t", -1), " ")
-    others = F.when(F.col("rest") != "", F.split("rest", " "))
-    whole = [F.get(first, F.lit(0)), F.get(first, F.lit(1))] + [F.get(others, F.lit(k)) for k in range(longest - 2)]
-    enough = [F.lit(True), F.col("f2") >= min_count, F.col("f3") >= min_count] + [F.col("f3") >= min_count] * (longest - 3)
-    if longest > 2:
-        enough[longest - 1] = F.col("n") >= min_count
+    key = ["lang", "w0", "salt"]
+    listed = texts.mapInArrow(_windows(longest), "lang string, w0 string, salt int, windows string")
+    each = listed.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key).select(*key, F.explode(F.split("windows", "\n")).alias("x"))
+    number = F.when(F.contains("x", F.lit("\t")), F.substring_index("x", "\t", -1).cast("long")).otherwise(F.lit(1))
+    sorted_ = each.select(*key, F.substring_index("x", "\t", 1).alias("window"), number.alias("n")).sortWithinPartitions(*key, "window")
     names = [f"w{k}" for k in range(longest)]
-    lead = {c: F.when(F.col("hot") | e, x) for c, x, e in zip(names, whole, enough, strict=False)}
-    lang = F.expr("substring(head, 1, length(head) - length(substring_index(head, '\t', -1)) - 1)")
-    padded = w.select(lang.alias("lang"), *[x.alias(c) for c, x in lead.items()], "n")
-    padded = padded.groupBy("lang", *names).agg(F.sum("n").alias("n"))
-    rolled = padded.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
-    # the grouping id has a bit for each column that is summed over: all of them above the prefix
+    padded = sorted_.mapInArrow(_pad(longest, min_count), ", ".join(f"{c} string" for c in ["lang", *names]) + ", n long")
+    rolled = padded.groupBy("lang", *names).agg(F.sum("n").alias("n")).rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
+    # the grouping id has a bit for each column that is summed over
     kept = rolled.filter(F.col("g") < (1 << longest)).withColumn("size", (longest - F.bit_count("g")).cast("int"))
     last = F.coalesce(*[F.when(F.col("size") == k + 1, F.col(c)) for k, c in enumerate(names)])
     return kept.filter((F.col("size") == 0) | ((F.col("f") >= min_count) & last.isNotNull())) \

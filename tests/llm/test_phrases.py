@@ -57,7 +57,14 @@ def test_salted_heads(spark):
     """Two words that open thousands of windows of a slice, beside slices where they are rare."""
     C.ship(spark)
     t = [(1, " ".join(f"of the u{i % 2900} v{i % 7}." for i in range(6000)))] + [(i, f"of the u{i} v{i % 7}") for i in range(2, 60)]
-    assert mined(spark, t, min_count=4) == brute(rows(t), 4)
+    t += [(9000 + i, f"of the u{i % 40}\x01 v. of the\x01 u{i % 3} of") for i in range(90)]
+    want = brute(rows(t), 4)
+    assert mined(spark, t, min_count=4) == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 37)  # prefixes go on from batch to batch
+    try:
+        assert mined(spark, t, min_count=4) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_large_counts(spark, monkeypatch):
