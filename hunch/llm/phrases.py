@@ -42,7 +42,7 @@ from . import common as C
 
 BREAKS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 SLICE = 2 << 20      # bytes of text whose windows are combined in one go
-SALTS, HOT_SALTS = 16, 64
+SALTS, HOT_SALTS = 8, 64
 HOT = 64             # a pair of words is hot that opens more than 1 / HOT of a slice's different windows ...
 HOT_LEAST = 1024     # ... and at least so many (which must exceed ``min_count``)
 LIST = 64            # windows of a row that travels, at most
@@ -199,13 +199,18 @@ def phrase_counts(docs: DataFrame, min_count: int = 30, longest: int = 4, lang_c
     occurrences within pieces, and for each language a row of ``size`` 0 with the number of all words."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     key = ["lang", "w0", "salt"]
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     listed = texts.mapInArrow(_windows(longest), "lang string, w0 string, salt int, windows string")
-    each = listed.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key).select(*key, F.explode(F.split("windows", "\n")).alias("x"))
+    each = listed.repartition(width, *key).select(*key, F.explode(F.split("windows", "\n")).alias("x"))
     number = F.when(F.contains("x", F.lit("\t")), F.substring_index("x", "\t", -1).cast("long")).otherwise(F.lit(1))
     sorted_ = each.select(*key, F.substring_index("x", "\t", 1).alias("window"), number.alias("n")).sortWithinPartitions(*key, "window")
     names = [f"w{k}" for k in range(longest)]
     padded = sorted_.mapInArrow(_pad(longest, min_count), ", ".join(f"{c} string" for c in ["lang", *names]) + ", n long")
-    rolled = padded.groupBy("lang", *names).agg(F.sum("n").alias("n")).rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
+    # words that are rare themselves count only among all words
+    of_word = Window.partitionBy("lang", "w0")
+    summed = padded.repartition(width, "lang", "w0").groupBy("lang", *names).agg(F.sum("n").alias("n")).withColumn("f1", F.sum("n").over(of_word)) \
+        .select("lang", *[F.when(F.col("f1") >= min_count, F.col(c)).alias(c) for c in names], "n")
+    rolled = summed.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # the grouping id has a bit for each column that is summed over
     kept = rolled.filter(F.col("g") < (1 << longest)).withColumn("size", (longest - F.bit_count("g")).cast("int"))
     last = F.coalesce(*[F.when(F.col("size") == k + 1, F.col(c)) for k, c in enumerate(names)])
