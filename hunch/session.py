@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,9 +91,71 @@ def app_scratch(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "hunch", app, *[p.strip("/") for p in parts]])
 
 
+class Scope:
+    """The working folders and tables that a piece of work makes, so that they can go together.
+
+    ``with scope.open():`` makes every ``fresh_path`` of the thread belong to it (the innermost
+    open scope owns a path). ``delete`` removes them; call it once nothing reads them any more,
+    that is when the results have been written elsewhere. Deleting twice does no harm."""
+
+    _open = threading.local()
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.tables: list[str] = []
+
+    @classmethod
+    def current(cls) -> Scope | None:
+        stack = getattr(cls._open, "stack", None)
+        return stack[-1] if stack else None
+
+    @contextmanager
+    def open(self) -> Iterator[Scope]:
+        stack = self._open.__dict__.setdefault("stack", [])
+        stack.append(self)
+        try:
+            yield self
+        finally:
+            stack.remove(self)
+
+    def delete(self, spark: SparkSession) -> None:
+        for t in self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+        for p in self.paths:
+            remove_path(spark, p)
+        self.paths, self.tables = [], []
+
+    def holds(self, files: list[str]) -> bool:
+        """Whether one of ``files`` lies below a folder of this scope."""
+        names = [p.rstrip("/").rsplit("/", 1)[-1] for p in self.paths]  # unique by construction
+        return any(f"/{n}/" in f for f in files for n in names)
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[Scope]:
+    """A scope whose folders and tables are deleted at its end, also after an error. What is to last
+    must be written within it, to a path that was made outside."""
+    scope = Scope()
+    try:
+        with scope.open():
+            yield scope
+    finally:
+        scope.delete(spark)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store Spark writes to."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unique path under the application's scratch folder."""
-    return app_scratch(spark, f"{label}-{uuid.uuid4().hex[:12]}")
+    """A new, unique path under the application's scratch folder, owned by the open scope if there is one."""
+    path = app_scratch(spark, f"{label}-{uuid.uuid4().hex[:12]}")
+    if (scope := Scope.current()) is not None:
+        scope.paths.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
