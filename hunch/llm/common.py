@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import cut_lineage, fresh_path, shared_dir  # noqa: F401
+from ..session import Scope, cut_lineage, fresh_path, shared_dir  # noqa: F401
 
 U64 = np.uint64
 

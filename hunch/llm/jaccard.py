@@ -21,7 +21,8 @@ Shingles and words are 64-bit hashes: two different shingles of one compared pai
 as equal with probability about 2**-64. Set identity uses 128 bits.
 
 Results: one row per input row with an id. No words or null text: ``n_shingles`` 0, linked
-with nothing. Rows that repeat an id count as one document in the links. Empty table: no rows.
+with nothing. Rows that repeat an id are one document in the links: an id with several texts has
+the links of all of them, and all its rows get its component. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ U64 = np.uint64
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
 #: Largest multiple of its members that a key's untested pairs may reach before its sets are
 #: left to ``_crowds``; counters of the element-frequency sketch that orders elements there.
-CROSS_PER_MEMBER, SKETCH = 4, 1 << 20
+CROSS_PER_MEMBER, SKETCH = 1, 1 << 20
 
 
 
@@ -176,7 +177,7 @@ def _hasher() -> C.WordHasher:
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """``(doc_id, n_shingles, h1, h2)``: size and 128-bit identity of each row's set."""
+    """``(doc_id, h, n_shingles, h1, h2)``: size and 128-bit identity of each row's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _hasher()
         for b in C.slices(batches, "text"):
@@ -185,9 +186,9 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
             at = np.minimum(off[:-1], max(0, len(s) - 1))
             ids = [np.where(n > 0, np.add.reduceat(C.mix64(s ^ U64(c)), at) if len(s) else U64(0), U64(0)).view(np.int64)
                    for c in (0x1234567, 0x89ABCDEF)]
-            yield pa.record_batch([b.column("doc_id"), pa.array(n), pa.array(ids[0]), pa.array(ids[1])],
-                                  names=["doc_id", "n_shingles", "h1", "h2"])
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long")
+            yield pa.record_batch([b.column("doc_id"), b.column("h"), pa.array(n), pa.array(ids[0]), pa.array(ids[1])],
+                                  names=["doc_id", "h", "n_shingles", "h1", "h2"])
+    return docs.mapInArrow(run, "doc_id long, h long, n_shingles long, h1 long, h2 long")
 
 
 def _keys(reps: DataFrame, k: int, plan: dict) -> DataFrame:
@@ -283,9 +284,33 @@ def _near(na: str, nb: str, num: int, den: int):
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, n_shingles, component_id``."""
-    spark = docs.sparkSession
-    d = C.id_text(docs)
+    d = C.id_text(docs).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
     sets = C.cut(_sets(d, k), "sets")
+    # An id with several sets: each of its texts gets a name of its own, and links to the others.
+    pair = F.struct("h1", "h2")
+    several = C.cut(sets.groupBy("doc_id").agg(F.min(pair).alias("x"), F.max(pair).alias("y")).filter("x <> y").select("doc_id"), "several")
+    if several.isEmpty():
+        return _named(d.drop("h"), sets, None, k, num, den)
+    texts = C.cut(C.semi(sets, several, "doc_id").select("doc_id", "h").distinct().withColumn("g", F.lit(0)), "texts")
+    ends, n = sets.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first(), texts.count()
+    start = ends["hi"] + 1 if ends["hi"] < 1 << 62 else ends["lo"] - n
+    names = C.cut(C.gapless_rank(texts, "g", ["doc_id", "h"], "r", C.buckets_for(docs.sparkSession)).select("doc_id", "h", (F.col("r") + start).alias("name")), "text-names")
+    given = F.broadcast(names) if n <= C.BROADCAST_IDS else names
+
+    def renamed(df: DataFrame) -> DataFrame:
+        return df.join(given, ["doc_id", "h"], "left").withColumn("doc_id", F.coalesce("name", "doc_id")).drop("name")
+    found = C.cut(_named(renamed(d).select("doc_id", "text"), C.cut(renamed(sets), "renamed"), names, k, num, den), "found")
+    own = found.join(names.select("name", F.col("doc_id").alias("id")), F.col("doc_id") == F.col("name"), "left") \
+        .select(F.coalesce("id", "doc_id").alias("doc_id"), "n_shingles", F.col("component_id").alias("c"))
+    own = own.join(own.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select("doc_id", "n_shingles", "component_id")
+    # rows without words share the component of their id
+    first = own.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("m"))
+    return own.join(first, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("m", "component_id").alias("component_id"))
+
+
+def _named(d: DataFrame, sets: DataFrame, names: DataFrame | None, k: int, num: int, den: int) -> DataFrame:
+    """The components of documents of one set each (an id may repeat with that set); texts of one id in
+    ``names(doc_id, name)`` are linked."""
     # Equal sets are one node, named by their smallest id.
     node = sets.filter("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
     hist = sets.filter("n_shingles > 0").groupBy(F.floor(F.log2("n_shingles")).alias("c")).agg(
@@ -294,12 +319,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     own = sets.join(node.select("h1", "h2", "rep"), ["h1", "h2"], "left")
     own = C.cut(own.select("doc_id", "n_shingles", "h1", "h2", F.when(F.col("n_shingles") > 0, F.col("rep")).alias("rep")), "nodes")
     # Members of keys go by the name of their node, so copies neither meet nor count.
-    names = C.cut(own.filter("rep IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("top")), "names")
-    links = names.filter("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b"))  # one id, several texts
-    names = names.select("doc_id", "rep")
+    reps = C.cut(own.filter("rep IS NOT NULL").select("doc_id", "rep").distinct(), "names")
+    if names is None:
+        links = d.sparkSession.createDataFrame([], "a long, b long")
+    else:
+        of = names.select(F.col("doc_id").alias("id"), F.col("name").alias("doc_id")).join(reps, "doc_id").select("id", "rep")
+        links = of.join(of.groupBy("id").agg(F.min("rep").alias("a")), "id").filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
     met = C.cut(_meetings(_keys(d, k, plan)), "met")
-    met = met.join(names.select(F.col("doc_id").alias("doc"), F.col("rep").alias("r")), "doc") \
-        .join(names.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("p")), "pivot") \
+    met = met.join(reps.select(F.col("doc_id").alias("doc"), F.col("rep").alias("r")), "doc") \
+        .join(reps.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("p")), "pivot") \
         .select("key", F.col("r").alias("doc"), "n", F.col("p").alias("pivot")).distinct()
     links = _search(d, C.cut(met, "members"), links, k, num, den)
     comp = C.components(links)
@@ -395,11 +423,14 @@ def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: in
             if cols[0]:
                 yield pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=["doc", "centre", "n", "near", "size", "pos", "el"])
     p = C.cut(apart.mapInArrow(prefix, "doc long, centre long, n long, near long, size long, pos long, el long"), "prefix")
-    side = lambda z: p.select("centre", "el", *(F.col(c).alias(c + z) for c in ("doc", "n", "near", "size", "pos")))
+    # sets far from the centre meet all others; near ones never meet each other
+    side = lambda q, z: q.select("centre", "el", *(F.col(c).alias(c + z) for c in ("doc", "n", "near", "size", "pos")))
     h = F.floor((den - num) * (F.col("nx") + F.col("ny")) / (den + num))
-    j = side("x").join(side("y"), ["centre", "el"]).filter(
-        ((F.col("sizex") < F.col("sizey")) | ((F.col("sizex") == F.col("sizey")) & (F.col("docx") < F.col("docy"))))
-        & (F.col("nearx") + F.col("neary") < 2) & _near("nx", "ny", num, den) & (2 * F.col("posx") <= h) & (2 * F.col("posy") <= F.col("sizey") - F.col("sizex") + h))
+    smaller = (F.col("sizex") < F.col("sizey")) | ((F.col("sizex") == F.col("sizey")) & (F.col("docx") < F.col("docy")))
+    room = F.when(smaller, F.col("posx")).otherwise(F.col("posy")) * 2 <= h
+    more = F.when(smaller, F.col("posy")).otherwise(F.col("posx")) * 2 <= F.abs(F.col("sizey") - F.col("sizex")) + h
+    j = side(p.filter("near = 0"), "x").join(side(p, "y"), ["centre", "el"]).filter(
+        (smaller | (F.col("neary") == 1)) & (F.col("docx") != F.col("docy")) & _near("nx", "ny", num, den) & room & more)
     return j.select(F.least("docx", "docy").alias("a"), F.greatest("docx", "docy").alias("b")).distinct() \
         .unionByName(apart.filter("near AND doc <> centre").select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")))
 

@@ -45,6 +45,8 @@ class LineRuns:
 
     def _write(self, df: DataFrame) -> str:
         name = C.unique_name("line_run")
+        if (scope := C.Scope.current()) is not None:
+            scope.tables.append(name)
         df.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY) \
             .option("path", C.fresh_path(self.spark, name)).format("parquet").saveAsTable(name)
         return name
@@ -62,8 +64,8 @@ class LineRuns:
             level += 1
 
     def add(self, docs: DataFrame) -> DataFrame:
-        """``docs(doc_id, text)``, all ids above those of earlier batches -> ``doc_id, n_lines,
-        n_dropped, text`` with the kept lines. The new run is written here; the rows are lazy."""
+        """``docs(doc_id, text)``, all ids above those of earlier batches -> ``doc_id, h, n_lines,
+        n_dropped, text`` with the kept lines and the hash of the given text. The new run is written here; the rows are lazy."""
         self._compact()
         d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
         each = d.select("doc_id", "h", F.posexplode(_lines(F.translate("text", UPPER, LOWER))).alias("pos", "line"))
@@ -81,15 +83,16 @@ class LineRuns:
         j = d.join(gone, ["doc_id", "h"], "left").withColumn("lines", _lines(F.col("text")))
         kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
         return j.select(
-            "doc_id", F.size("lines").cast("long").alias("n_lines"),
+            "doc_id", "h", F.size("lines").cast("long").alias("n_lines"),
             F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
             F.when(F.col("gone").isNull(), F.col("text"))
             .otherwise(F.array_join(F.transform(kept, lambda p: F.get(F.col("lines"), p)), "\n")).alias("text"))
 
 
-def line_dedup(docs: DataFrame, n_batches: int = 4, fanout: int = 2, min_chars: int = 10) -> DataFrame:
+def line_dedup(docs: DataFrame, n_batches: int = 4, fanout: int = 2, min_chars: int = 10, with_hash: bool = False) -> DataFrame:
     """All of ``docs(doc_id, text)`` in ``n_batches`` batches of ascending ids (approximate
-    quantiles cut them; any cut gives the same rows) -> ``doc_id, n_lines, n_dropped, text``."""
+    quantiles cut them; any cut gives the same rows) -> ``doc_id, n_lines, n_dropped, text``, and with ``with_hash`` also ``h``,
+    the hash of the given text (null as empty)."""
     d = C.id_text(docs)
     cuts = d.agg(F.percentile_approx("doc_id", [i / n_batches for i in range(1, n_batches)], 1000).alias("c")).first()["c"] or []
     edges = [None, *sorted(set(cuts)), None]
@@ -97,4 +100,5 @@ def line_dedup(docs: DataFrame, n_batches: int = 4, fanout: int = 2, min_chars:
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         b = d if lo is None else d.filter(F.col("doc_id") > lo)
         parts.append(runs.add(b if hi is None else b.filter(F.col("doc_id") <= hi)))
-    return reduce(DataFrame.unionByName, parts)
+    out = reduce(DataFrame.unionByName, parts)
+    return out if with_hash else out.drop("h")

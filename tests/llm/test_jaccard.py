@@ -7,27 +7,34 @@ from . import util as U
 
 
 def brute(texts, k, num, den):
-    """(n_shingles, component) of each id; rows of one id are one document."""
-    sets = {}
+    """(n_shingles, component) of each id (of its last row); rows of one id are one document."""
+    return {i: (n, c) for i, n, c in brute_rows(texts, k, num, den)}
+
+
+def brute_rows(texts, k, num, den):
+    sets, every = {}, {}
     for i, t in texts:
         if i is not None:
             w = (t or "").encode().lower().split()
             s = frozenset(tuple(w[j:j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
-            sets[i] = s
+            sets[len(every)] = s
+            every[len(every)] = i
     parent = {i: i for i in sets}
 
     def top(x):
         while parent[x] != x:
             x = parent[x]
         return x
-    ids = sorted(sets)
-    for a in ids:
-        for b in ids:
+    for a in sets:
+        for b in sets:
             n = len(sets[a] & sets[b])
-            if a < b and n and den * n >= num * len(sets[a] | sets[b]):
+            if a < b and (every[a] == every[b] or n and den * n >= num * len(sets[a] | sets[b])):
                 x, y = sorted((top(a), top(b)))
                 parent[y] = x
-    return {i: (len(sets[i]), top(i)) for i in ids}
+    least = {}
+    for a in sets:
+        least[top(a)] = min(least.get(top(a), every[a]), every[a])
+    return [(every[a], len(sets[a]), least[top(a)]) for a in sets]
 
 
 @pytest.mark.parametrize("crowded", [4, 0])
@@ -41,6 +48,16 @@ def test_components_match_brute_force(spark, monkeypatch, crowded):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_one_id_with_several_texts(spark):
+    """The links of all texts of an id count, whatever other ids hold them; no text is overwritten."""
+    C.ship(spark)
+    a, b, c, e = (U.words(40, 70 + i) for i in range(4))
+    texts = [(1, a), (5, a), (5, b), (5, c), (9, b), (11, c), (2, b), (20, e), (20, None), (21, e + " more"), (30, None), (30, "x y"), (30, "x  Y"), (40, U.words(30, 90)), (40, U.words(30, 91)), (40, U.words(30, 92))]
+    for t in (texts, texts + [((1 << 63) - 1, a), (50, None)]):
+        got = sorted(tuple(r) for r in J.jaccard_components(U.docs(spark, t), 4, 85, 100).collect())
+        assert got == sorted(brute_rows(t, 4, 85, 100))
+
+
 def test_empty(spark):
     C.ship(spark)
     assert J.jaccard_components(U.docs(spark, [])).count() == 0

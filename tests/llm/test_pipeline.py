@@ -48,6 +48,36 @@ def test_language_without_a_model(spark):
         assert sorted(map(tuple, S.language(spark, docs, "").collect())) == sorted(map(tuple, rows[:2]))
 
 
+def test_repeated_ids_nulls_and_empty_tables(spark, tmp_path):
+    """Two rows of one id keep their own texts; stages pass on extra columns, null texts and empty tables."""
+    from hunch.llm import stages as S
+    schema = "doc_id long, text string, lang string, source string, n_chars long, key string"
+    rows = [(1, "first text of one\nshared line here", "en", "s", 1, "k"), (1, "second text of one", "en", "s", 1, "k"), (2, "shared line here\nown text of two", "en", "s", 1, "k"), (3, None, None, None, None, None)]
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/some")
+    docs = spark.read.parquet(f"{tmp_path}/some")
+    assert sorted(r["text"] for r in S.lines(spark, docs, str(tmp_path)).collect()) == ["first text of one\nshared line here", "own text of two", "second text of one"]
+    assert S.near_duplicates(spark, docs, str(tmp_path)).count() == S.benchmark_leaks(spark, docs, str(tmp_path)).count() == 4
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none")
+    none = spark.read.parquet(f"{tmp_path}/none")
+    for name, stage in P.STAGES:
+        out = stage(spark, none, str(tmp_path))
+        assert out.count() == 0 and (name == "packing" or out.columns == none.columns)
+
+
+def test_stages_delete_their_working_tables(spark, tmp_path):
+    import os
+
+    from hunch.session import app_scratch
+    texts, items = leak_fixture()
+    U.docs(spark, texts[:20]).select(*COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    P.run(spark, str(tmp_path))
+    before = set(os.listdir(app_scratch(spark)))
+    out = P.run(spark, str(tmp_path))
+    assert out.count() > 0 and {x.rsplit("-", 1)[0] for x in set(os.listdir(app_scratch(spark))) - before} == {"stage-packing"}
+
+
 def test_contract():
     import __spark_entry__ as E
     q = E.queries()
