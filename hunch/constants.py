@@ -26,6 +26,7 @@ SNIPPET_MIN_TERM_LEN = 3    # a term must be longer than two characters
 
 # --- corpus split (FIXED VALUES) --------------------------------------------------
 CHUNK_LIMIT_BYTES = 1024 * 1024 * 1024   # 1.0 GB as 1024^3 bytes
+CHUNK_PREFIX = "miniCorpus_"             # chunk n is the unit <prefix>n.jsonl
 
 # --- query-side stop list (FIXED VALUES) ------------------------------------------
 # Spark's StopWordsRemover English list (181 words), standing in for the NLTK list.

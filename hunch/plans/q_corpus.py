@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import fresh_path
 from ..sources import corpus as K
+from ..sources import files as FS
 from ..sources.tables import read_table
 from .registry import register
 
@@ -122,3 +124,59 @@ def corpus_first_chunk(spark, sf_dir):
     """The lines of the first chunk only (sample mode)."""
     lines = K.raw_lines_from_documents(read_table(spark, sf_dir, "documents"))
     return K.first_chunk(lines, SPLIT_LIMIT).select("line_no", "nbytes")
+
+
+# --- the same from files: S01, S02, S04-S06 ------------------------------------------------------
+
+N_FILES = 5
+# every 50th line is cut off, as in corpus_tolerant_parse
+_FILE_LINES_SQL = f"""lines AS (SELECT doc_id AS line_no, doc_id, text,
+                 (strlen(CASE WHEN doc_id % 50 = 7 THEN '{{"id": ' || CAST(doc_id AS VARCHAR) || ', "text": '
+                              ELSE json_object('id', doc_id, 'text', text)::VARCHAR END) + 1)::BIGINT AS nbytes FROM documents)"""
+_FILE_WALK_SQL = _WALK_SQL.replace(_LINES_SQL, _FILE_LINES_SQL).replace("SELECT line_no, nbytes, row_number()", "SELECT line_no, doc_id, text, nbytes, row_number()")
+
+
+def _corpus_files(spark, sf_dir) -> str:
+    """``documents`` as a folder of JSONL files ``raw_0.jsonl`` ... in the order of their ids."""
+    d = read_table(spark, sf_dir, "documents")
+    top = d.agg(F.max("doc_id")).first()[0] or 0
+    value = F.when(F.col("line_no") % 50 == 7, F.concat(F.lit('{"id": '), F.col("line_no").cast("string"), F.lit(', "text": '))).otherwise(F.col("value"))
+    rows = K.raw_lines_from_documents(d).select(F.floor(F.col("line_no") * N_FILES / (top + 1)).cast("int").alias("unit_no"), "line_no", value.alias("value"))
+    path = fresh_path(spark, "raw-files")
+    nbytes = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    FS.write_units(rows, path, {k: f"raw_{k}.jsonl" for k in range(N_FILES)}, int(nbytes))
+    return path
+
+
+@register("corpus_files_next_fit_chunks", _FILE_WALK_SQL.replace("SELECT o.line_no, o.nbytes, o.en - o.nbytes AS st", "SELECT o.i AS line_no, o.nbytes, o.en - o.nbytes AS st"))
+def corpus_files_next_fit_chunks(spark, sf_dir):
+    """S01 + S02 + P05 + P06: lines of JSONL files numbered over their splits, and their chunks."""
+    lines = FS.read_numbered(spark, _corpus_files(spark, sf_dir))
+    return K.next_fit_chunks(lines.select("line_no", "nbytes"), SPLIT_LIMIT).select("line_no", "nbytes", "st", "en", "chunk_no")
+
+
+@register("corpus_files_first_chunk", _FILE_WALK_SQL.replace("SELECT o.line_no, o.nbytes, o.en - o.nbytes AS st, o.en, w.chunk_no", "SELECT o.i AS line_no, o.nbytes")
+          + " WHERE w.chunk_no = 1")
+def corpus_files_first_chunk(spark, sf_dir):
+    """P07 from files: the sample mode, written as one chunk file and read back."""
+    out = fresh_path(spark, "sample-chunk")
+    FS.split_files(spark, _corpus_files(spark, sf_dir), out, SPLIT_LIMIT, sample=True)
+    return FS.read_numbered(spark, out).select("line_no", "nbytes")
+
+
+_CONVERTED_SQL = _FILE_WALK_SQL.replace("SELECT o.line_no, o.nbytes, o.en - o.nbytes AS st, o.en, w.chunk_no FROM ordered o JOIN walk w USING (i)", """
+SELECT 'miniCorpus_' || CAST(w.chunk_no AS VARCHAR) || '.jsonl' AS unit, row_number() OVER (PARTITION BY w.chunk_no ORDER BY o.i) AS pos,
+       CAST(o.doc_id AS VARCHAR) AS id, chr(10) || chr(10) || o.text AS contents
+FROM ordered o JOIN walk w USING (i) WHERE o.doc_id % 50 <> 7 AND o.text IS NOT NULL AND o.text <> ''""")
+
+
+@register("corpus_files_converted", _CONVERTED_SQL)
+def corpus_files_converted(spark, sf_dir):
+    """S04 + S05: chunk files written, read back and converted one by one; the converted files are
+    read back with their names and the place of every line in its file."""
+    work = fresh_path(spark, "corpus")
+    FS.prepare_corpus(spark, _corpus_files(spark, sf_dir), work, SPLIT_LIMIT)
+    lines = FS.read_numbered(spark, f"{work}/converted")
+    first = lines.groupBy("unit").agg(F.min("line_no").alias("first"))
+    j = lines.join(first, "unit").select("unit", (F.col("line_no") - F.col("first") + 1).alias("pos"), F.from_json("value", "id STRING, contents STRING").alias("j"))
+    return j.select("unit", "pos", "j.id", "j.contents")

@@ -38,13 +38,13 @@ def parse_raw(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return p.filter(F.col("_j").isNotNull()).select(*keep, "_j.id", "_j.url", "_j.title", "_j.text")
 
 
-def convert(raw: DataFrame) -> DataFrame:
-    """``(id, contents)``; id trimmed, rows without id or text dropped
+def convert(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(keep..., id, contents)``; id trimmed, rows without id or text dropped
     (whitespace-only text is kept), missing title/url become empty."""
     rid = T.strip(F.col("id"))
-    keep = rid.isNotNull() & (rid != "") & F.col("text").isNotNull() & (F.col("text") != "")
+    whole = rid.isNotNull() & (rid != "") & F.col("text").isNotNull() & (F.col("text") != "")
     contents = F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("url", F.lit("")), F.col("text"))
-    return raw.filter(keep).select(rid.alias("id"), contents.alias("contents"))
+    return raw.filter(whole).select(*keep, rid.alias("id"), contents.alias("contents"))
 
 
 def pages_as_raw(pages: DataFrame) -> DataFrame:
@@ -75,7 +75,9 @@ def write_and_read_converted(spark: SparkSession, converted: DataFrame) -> DataF
 # --- P05 / P06 / P07 -----------------------------------------------------------------------------
 
 def line_bytes(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """UTF-8 bytes of each line including its newline."""
+    """UTF-8 bytes of each line including its newline (kept where the reader has counted them)."""
+    if "nbytes" in lines.columns:
+        return lines
     return lines.withColumn("nbytes", (F.octet_length(value_col) + 1).cast("bigint"))
 
 
