@@ -1,23 +1,29 @@
-"""Inverted index as ordinary tables (I01-I05), built once to a path and opened from it.
+"""Inverted index as ordinary tables (I01-I05, I13), built once to a path and opened from it.
 
 Layout, chosen for a corpus far larger than any one machine:
 
-* ``docs(docid, contents, dl, toks)`` — raw store and forward index, bucketed by ``docid``:
-  the only pass that analyses text. Lengths and contents are column reads of it.
-* ``postings(term, docid, tf, dl)`` — one row per (term, document), bucketed by ``docid`` like
-  ``docs`` and sorted by ``term``. A bucket's postings come from the same bucket of ``docs``,
-  so building needs no exchange, and a term that occurs in every document is spread over all
-  buckets. Scores are summed by document, so with the query terms broadcast neither the
-  scores nor the partial top-k need an exchange: only the k best of each bucket move. The
-  document length rides along (a function of ``docid``).
+* ``docs(docid, contents)`` — raw store, a copy of the corpus without an exchange.
+* ``tokens(docid, dl, toks)`` — forward index, bucketed by ``docid``: the one pass that analyses
+  text and the one exchange of the build. Document lengths are a column read of it.
+* ``postings(term, docid, tf, dl, positions)`` — one row per (term, document), bucketed by ``docid``
+  like ``tokens`` and sorted by ``term``, with a directory for each hash of the term (``part``). A
+  bucket's postings come from the same bucket of ``tokens``, so no exchange, and a term that
+  occurs in every document is spread over all buckets. Scores and phrases are computed within
+  the buckets: with the query terms broadcast only the k best of each bucket move. A search
+  reads the directories of its terms only; ``positions`` (sorted) is read by phrases only.
 * ``term_stats(term, df, cf)`` — ``groupBy(term)`` with map-side combine.
-* ``vectors(docid, vector)`` — grouped within the buckets of ``postings``.
-* ``meta`` — written last: its presence means that the index is complete.
+* ``stems(term, stem)`` — with a stemmer: the stems of the distinct terms, computed once a term.
+* ``vectors(docid, vector)`` — on demand, grouped within the buckets of ``postings``.
+* ``meta`` — written last: its presence means that the index is complete. It holds the manifest:
+  what was indexed (source files with sizes and times, or a checksum of the rows), how (stop
+  list, stemmer, format) and its fingerprint. A path is reused only for the same manifest, and
+  table definitions carry the fingerprint, so a lasting catalog cannot mix two builds.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import threading
 import uuid
 from dataclasses import dataclass
@@ -28,9 +34,17 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import text as T
-from ..session import app_scratch
+from ..session import app_scratch, remove_path
+from . import joins as J
 from . import stem as S
 
+FORMAT = 3       # of the tables below a path
+TERM_PARTS = 16  # directories of the postings, by term hash
+
+
+class IndexMismatch(ValueError):
+    """The index at a path was built from other data or with other options."""
+
 
 def corpus_from_documents(documents: DataFrame) -> DataFrame:
     """The converted-corpus shape ``(docid STRING, contents STRING)`` over ``documents``."""
@@ -38,20 +52,36 @@ def corpus_from_documents(documents: DataFrame) -> DataFrame:
 
 
 def analysed(corpus: DataFrame, stop=C.INDEX_STOP_WORDS) -> DataFrame:
-    """``(docid, contents, dl, toks)``: indexed tokens of each document and their number (I02). A
-    null document has no tokens."""
+    """``(docid, dl, toks)``: indexed tokens of each document and their number (I02). A null document
+    has no tokens."""
     toks = F.coalesce(T.index_terms("contents", stop), F.array().cast("array<string>"))
-    return corpus.select("docid", "contents", toks.alias("toks")) \
-        .select("docid", "contents", F.size("toks").cast("bigint").alias("dl"), "toks")
-
-
-def postings(docs: DataFrame, stemmer: str = "none") -> DataFrame:
-    """I01 ``(term, docid, tf, dl)`` from ``analysed`` documents (stemming keeps the length)."""
-    toks = docs.select("docid", "dl", F.explode("toks").alias("term"))
-    if stemmer != "none":
-        toks = S.apply_stems(toks, "term", stemmer)
-    return toks.groupBy("term", "docid", "dl").agg(F.count(F.lit(1)).alias("tf")) \
-        .select("term", "docid", "tf", "dl")
+    return corpus.select("docid", toks.alias("toks")).select("docid", F.size("toks").cast("bigint").alias("dl"), "toks")
+
+
+def part_of(term, parts: int):
+    """The directory of a term."""
+    return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
+
+
+def postings(tokens: DataFrame, stems: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+    """I01 + I13 ``(term, docid, tf, dl, positions)`` from ``analysed`` documents; positions count analysed
+    tokens from 0. ``stems(term, stem)`` maps terms (stemming keeps the length): it is broadcast where
+    it fits, so that tokens stay in place; else the (term, document) groups, no longer the tokens,
+    meet it by a salted join and return to their buckets."""
+    each = tokens.select("docid", "dl", F.posexplode("toks").alias("pos", "term"))
+    at = F.sort_array(F.collect_list("pos")).alias("positions")
+    if stems is not None:
+        changed = stems.filter("stem <> term")
+        if J.fits_broadcast(changed):
+            each = each.join(F.broadcast(changed), "term", "left").withColumn("term", F.coalesce("stem", "term")).drop("stem")
+        else:
+            groups = each.groupBy("term", "docid", "dl").agg(at)
+            hot = groups.groupBy("term").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > J.HOT_ROWS)
+            met = J.salted_join(stems, groups, "term", hot).select(F.col("stem").alias("term"), "docid", "dl", "positions")
+            met = met.repartition(buckets, "docid") if buckets else met
+            joined = met.groupBy("term", "docid", "dl").agg(F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"))
+            return joined.select("term", "docid", F.size("positions").cast("bigint").alias("tf"), "dl", "positions")
+    return each.groupBy("term", "docid", "dl").agg(at).select("term", "docid", F.size("positions").cast("bigint").alias("tf"), "dl", "positions")
 
 
 def term_stats(post: DataFrame) -> DataFrame:
@@ -83,6 +113,23 @@ class Index:
     avg_dl: float
     path: str | None = None
     stemmer: str = "none"
+    parts: int = TERM_PARTS
+    fingerprint: str = ""
+
+    def of_terms(self, parts: list[int] | None) -> DataFrame:
+        """The postings in the given directories (None: all); a filter on the partition column, which
+        keeps the other directories from being listed or read."""
+        if parts is None or len(parts) >= self.parts:
+            return self.postings
+        return self.postings.filter(F.col("part").isin(sorted(parts)))
+
+    def vectors(self) -> DataFrame:
+        """I04, from the stored table if the index was built with it."""
+        spark = self.postings.sparkSession
+        try:
+            return spark.read.parquet(f"{self.path}/vectors")
+        except AnalysisException:
+            return doc_vectors(self.postings)
 
 
 _MEMO: dict[str, Index] = {}
@@ -94,58 +141,149 @@ def _key(sf_dir: str, stop, stemmer: str) -> str:
     return f"{sf_dir.rstrip('/').replace('/', '_').replace(':', '_')}-{stemmer}-{h}"
 
 
-def _table(spark: SparkSession, path: str, name: str, schema: str, buckets: int, sort: str | None = None) -> str:
-    """Name of a bucketed table over the files below ``path`` (declared, not read)."""
-    full = f"hunch_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
-    order = f"SORTED BY ({sort}) " if sort else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({schema}) USING parquet "
-              f"CLUSTERED BY (docid) {order}INTO {buckets} BUCKETS LOCATION '{path}/{name}'")
-    return full
-
-
-def _write_buckets(df: DataFrame, path: str, name: str, buckets: int, sort: str) -> None:
+def _files(corpus: DataFrame) -> list[list]:
+    """(path, bytes, time) of the files that a table is read from; folders are listed once."""
+    spark, out = corpus.sparkSession, []
+    by_folder: dict[str, set[str]] = {}
+    for f in corpus.inputFiles():
+        by_folder.setdefault(f.rsplit("/", 1)[0], set()).add(f.rsplit("/", 1)[1])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder, names in by_folder.items():
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder + "/"))
+        for s in p.getFileSystem(conf).listStatus(p):
+            name = s.getPath().toUri().getRawPath().rsplit("/", 1)[-1]
+            if name in names:
+                out.append([f"{folder}/{name}", s.getLen(), s.getModificationTime()])
+    return sorted(out)
+
+
+def manifest(corpus: DataFrame, stop, stemmer: str, recipe: str = "") -> dict:
+    """What an index of ``corpus`` is made of. Tables read from files are known by the files; ``recipe`` tells
+    apart corpora that are computed differently from the same files. Other tables are known by a
+    checksum of their rows."""
+    files = _files(corpus)
+    if files:
+        source = {"files": len(files), "bytes": sum(f[1] for f in files), "hash": hashlib.sha256(json.dumps(files).encode()).hexdigest()}
+    else:
+        r = corpus.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("docid", "contents").cast("decimal(38,0)")).alias("h")).first()
+        source = {"rows": r["n"], "hash": str(r["h"])}
+    return {"source": source, "recipe": recipe, "schema": corpus.schema.simpleString(), "stemmer": stemmer, "format": FORMAT,
+            "stop": hashlib.sha256("\0".join(stop).encode()).hexdigest()}
+
+
+def fingerprint_of(about: dict) -> str:
+    return hashlib.sha256(json.dumps(about, sort_keys=True).encode()).hexdigest()
+
+
+def _name(path: str, name: str, fingerprint: str, buckets: int) -> str:
+    return f"hunch_{name}_{hashlib.sha1(f'{path} {fingerprint} {buckets}'.encode()).hexdigest()[:16]}"
+
+
+def _table(spark: SparkSession, path: str, name: str, schema: str, buckets: int, fingerprint: str, sort: str | None = None, parts: str | None = None) -> DataFrame:
+    """The bucketed table over the files below ``path`` (declared, not read)."""
+    full = _name(path, name, fingerprint, buckets)
+    if not spark.catalog.tableExists(full):
+        spark.sql(f"CREATE TABLE {full} ({schema}) USING parquet {f'PARTITIONED BY ({parts}) ' if parts else ''}"
+                  f"CLUSTERED BY (docid) {f'SORTED BY ({sort}) ' if sort else ''}INTO {buckets} BUCKETS LOCATION '{path}/{name}'")
+        if parts:
+            spark.sql(f"MSCK REPAIR TABLE {full}")
+    else:
+        spark.catalog.refreshTable(full)  # the files may have been written anew since they were listed
+    return spark.table(full)
+
+
+def _write_buckets(df: DataFrame, path: str, name: str, buckets: int, sort: str | None = None, parts: str | None = None) -> None:
     tmp = f"hunch_build_{name}_{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").bucketBy(buckets, "docid").sortBy(sort).option("path", f"{path}/{name}").format("parquet").saveAsTable(tmp)
+    w = df.write.mode("overwrite").bucketBy(buckets, "docid")
+    w = w.sortBy(sort) if sort else w
+    w = w.partitionBy(parts) if parts else w
+    w.option("path", f"{path}/{name}").format("parquet").saveAsTable(tmp)
     df.sparkSession.sql(f"DROP TABLE {tmp}")  # the files stay: the table is external
 
 
-DOCS_SCHEMA = "docid STRING, contents STRING, dl BIGINT, toks ARRAY<STRING>"
-POSTINGS_SCHEMA = "term STRING, docid STRING, tf BIGINT, dl BIGINT"
+TOKENS_SCHEMA = "docid STRING, dl BIGINT, toks ARRAY<STRING>"
+POSTINGS_SCHEMA = "term STRING, docid STRING, tf BIGINT, dl BIGINT, positions ARRAY<INT>, part INT"
 
 
-def open_index(spark: SparkSession, path: str) -> Index | None:
-    """The complete index at ``path``, without analysing any text; None if there is none."""
+def _meta(spark: SparkSession, path: str):
     try:
-        row = spark.read.parquet(f"{path}/meta").first()
+        return spark.read.parquet(f"{path}/meta").first()
     except AnalysisException:
         return None
-    n = int(row["buckets"])
-    docs = spark.table(_table(spark, path, "docs", DOCS_SCHEMA, n, "docid"))
-    return Index(corpus=docs.select("docid", "contents"), postings=spark.table(_table(spark, path, "postings", POSTINGS_SCHEMA, n, "term")),
-                 term_stats=spark.read.parquet(f"{path}/term_stats"), doc_stats=docs.select("docid", "dl"),
-                 n_docs=int(row["n_docs"]), avg_dl=float(row["avg_dl"] or 0.0), path=path, stemmer=row["stemmer"])
 
 
-def build_index(spark: SparkSession, corpus: DataFrame, path: str, stop=C.INDEX_STOP_WORDS,
-                stemmer: str = "none") -> Index:
-    """S06 + S07: build the tables at ``path`` unless a complete index is there, then open them. A
+def open_index(spark: SparkSession, path: str, expected: str | None = None) -> Index | None:
+    """The complete index at ``path``, without analysing any text; None if there is none. With ``expected``
+    (a fingerprint), another index there raises ``IndexMismatch``."""
+    row = _meta(spark, path)
+    if row is None:
+        return None
+    fp = row["fingerprint"] if "fingerprint" in row else ""
+    if expected is not None and fp != expected:
+        raise IndexMismatch(f"the index at {path} was built from other data or options: {row['about'] if 'about' in row else 'no manifest'}")
+    n = int(row["buckets"])
+    tokens = _table(spark, path, "tokens", TOKENS_SCHEMA, n, fp)
+    return Index(corpus=spark.read.parquet(f"{path}/docs"), postings=_table(spark, path, "postings", POSTINGS_SCHEMA, n, fp, "term", "part"),
+                 term_stats=spark.read.parquet(f"{path}/term_stats"), doc_stats=tokens.select("docid", "dl"),
+                 n_docs=int(row["n_docs"]), avg_dl=float(row["avg_dl"] or 0.0), path=path, stemmer=row["stemmer"], parts=int(row["parts"]), fingerprint=fp)
+
+
+def drop_index(spark: SparkSession, path: str) -> None:
+    """Delete the index at ``path``, its manifest first, and its table definitions."""
+    row = _meta(spark, path)
+    remove_path(spark, f"{path}/meta")
+    if row is not None and "fingerprint" in row:
+        for name in ("tokens", "postings"):
+            spark.sql(f"DROP TABLE IF EXISTS {_name(path, name, row['fingerprint'], int(row['buckets']))}")
+    remove_path(spark, path)
+
+
+def build_index(spark: SparkSession, corpus: DataFrame, path: str, stop=C.INDEX_STOP_WORDS, stemmer: str = "none",
+                recipe: str = "", on_mismatch: str = "raise", store_vectors: bool = False) -> Index:
+    """S06 + S07: build the tables at ``path`` unless the same index is there complete, then open them.
+    Another index at the path raises ``IndexMismatch``, or is replaced with ``on_mismatch='rebuild'``. A
     build that was cut off has no ``meta`` and is written anew."""
-    found = open_index(spark, path)
-    if found is not None:
-        return found
+    about = manifest(corpus, list(stop), stemmer, recipe)
+    fp = fingerprint_of(about)
+    try:
+        found = open_index(spark, path, fp)
+        if found is not None:
+            return found
+    except IndexMismatch:
+        if on_mismatch != "rebuild":
+            raise
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    _write_buckets(analysed(corpus.repartition(n, "docid"), stop), path, "docs", n, "docid")
-    docs = spark.table(_table(spark, path, "docs", DOCS_SCHEMA, n, "docid"))
-    _write_buckets(postings(docs, stemmer), path, "postings", n, "term")
-    post = spark.table(_table(spark, path, "postings", POSTINGS_SCHEMA, n, "term"))
+    drop_index(spark, path)
+    for name in ("tokens", "postings"):  # left by a build of the same index that was cut off
+        spark.sql(f"DROP TABLE IF EXISTS {_name(path, name, fp, n)}")
+    corpus.select("docid", "contents").write.mode("overwrite").parquet(f"{path}/docs")
+    _write_buckets(analysed(corpus, stop).repartition(n, "docid"), path, "tokens", n)
+    tokens = _table(spark, path, "tokens", TOKENS_SCHEMA, n, fp)
+    stems = None
+    if stemmer != "none":
+        S.stem_vocabulary(tokens.select(F.explode("toks").alias("term")).distinct(), stemmer).write.mode("overwrite").parquet(f"{path}/stems")
+        stems = spark.read.parquet(f"{path}/stems")
+    placed = postings(tokens, stems, n).withColumn("part", part_of("term", TERM_PARTS))
+    _write_buckets(placed, path, "postings", n, "term", "part")
+    post = _table(spark, path, "postings", POSTINGS_SCHEMA, n, fp, "term", "part")
     term_stats(post).write.mode("overwrite").parquet(f"{path}/term_stats")
-    doc_vectors(post).write.mode("overwrite").parquet(f"{path}/vectors")
-    corpus_stats(docs).withColumns({"buckets": F.lit(n), "stemmer": F.lit(stemmer)}).write.mode("overwrite").parquet(f"{path}/meta")
-    return open_index(spark, path)
+    if store_vectors:
+        doc_vectors(post).write.mode("overwrite").parquet(f"{path}/vectors")
+    corpus_stats(tokens).withColumns({"buckets": F.lit(n), "parts": F.lit(TERM_PARTS), "stemmer": F.lit(stemmer), "fingerprint": F.lit(fp), "about": F.lit(json.dumps(about))}) \
+        .write.mode("overwrite").parquet(f"{path}/meta")
+    return open_index(spark, path, fp)
+
+
+def index_home(spark: SparkSession, key: str) -> str:
+    """Where an index named ``key`` lives: below the folder ``spark.hunch.index.dir`` where the session
+    names one (indexes last and are shared by applications), else in the application's scratch."""
+    base = spark.conf.get("spark.hunch.index.dir", None)
+    return f"{base.rstrip('/')}/{key}" if base else app_scratch(spark, "index", key)
 
 
 def load_index(spark: SparkSession, sf_dir: str, stop=C.INDEX_STOP_WORDS, stemmer: str = "none") -> Index:
-    """The index of ``documents`` under ``sf_dir``, built at most once per application."""
+    """The index of ``documents`` under ``sf_dir``, built where ``index_home`` says unless it is there; an
+    index of an earlier state of the table is replaced."""
     from ..sources.tables import read_table
 
     key = _key(sf_dir, list(stop), stemmer)
@@ -155,6 +293,6 @@ def load_index(spark: SparkSession, sf_dir: str, stop=C.INDEX_STOP_WORDS, stemme
         if hit is not None:
             return hit
         corpus = corpus_from_documents(read_table(spark, sf_dir, "documents"))
-        idx = build_index(spark, corpus, app_scratch(spark, "index", key), list(stop), stemmer)
+        idx = build_index(spark, corpus, index_home(spark, key), list(stop), stemmer, recipe="documents", on_mismatch="rebuild")
         _MEMO[app + key] = idx
         return idx

@@ -6,7 +6,7 @@ the same join runs as a shuffle join, salted on the keys known to be hot.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A broadcast side above this many rows or bytes is shuffled instead.
@@ -26,9 +26,18 @@ def _row_bytes(df: DataFrame):
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and BROADCAST_MAX_BYTES bytes (measured, not
     estimated from statistics)."""
+    return measured(df, max_rows=max_rows)[0]
+
+
+def measured(df: DataFrame, gather: Column | None = None, max_rows: int | None = None) -> tuple[bool, list | None]:
+    """Whether ``df`` may be broadcast and, if so, the distinct values of ``gather`` (a column with few
+    values by construction), in one job."""
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    r = df.select(_row_bytes(df).cast("bigint").alias("b")).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
-    return r["n"] <= max_rows and (r["b"] or 0) <= BROADCAST_MAX_BYTES
+    also = F.lit(None).cast("int") if gather is None else gather
+    r = df.select(_row_bytes(df).cast("bigint").alias("b"), also.alias("g")).limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"), F.collect_set("g").alias("g")).first()
+    fits = r["n"] <= max_rows and (r["b"] or 0) <= BROADCAST_MAX_BYTES
+    return fits, sorted(r["g"]) if fits and gather is not None else None
 
 
 def salted_join(small: DataFrame, big: DataFrame, key: str, hot: DataFrame, spread_col: str = "docid") -> DataFrame:

@@ -1,11 +1,11 @@
-"""BM25 ranking, set-at-a-time.
+"""BM25 ranking, set-at-a-time.
 
 All topics x all subqueries are scored in one pass:
 ``query_terms`` (small, per question) -> join vocabulary for ``idf`` -> join postings ->
 ``groupBy(qid, sub_ord, docid).sum`` -> per-list top-k window.
 
 Physical plan at scale: the query-term side is counted; when it fits, it is broadcast
-and the postings scan is probed map-side (no shuffle of postings at all, so a term
+and a scan of the postings directories that hold its terms is probed map-side (no shuffle of postings at all, so a term
 present in every document costs a scan, not a hot task). Otherwise the join shuffles
 on ``term`` with hot terms salted. The score aggregate has partial aggregation before
 its shuffle; the top-k window gets a partial ``WindowGroupLimit`` before its own.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import text as T
 from . import joins as J
-from .index import Index
+from .index import Index, part_of
 from .stem import stem_expr
 
 
@@ -44,22 +44,29 @@ def tf_norm(tf: Column, dl: Column, avg_dl: float, k1: float, b: float) -> Colum
     return tf / (tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * dl / F.lit(avg_dl)))
 
 
-def _join_postings(qt: DataFrame, idx: Index, broadcast_ok: bool) -> DataFrame:
+def query_parts(qterms: DataFrame, idx: Index) -> tuple[bool, list[int] | None]:
+    """Whether the query terms may be broadcast, and the directories of the postings that hold them."""
+    return J.measured(qterms, part_of(F.col("term"), idx.parts))
+
+
+def join_postings(qt: DataFrame, idx: Index, broadcast_ok: bool, parts: list[int] | None, columns=("docid", "tf", "dl")) -> DataFrame:
+    """``qt`` with the postings of its terms: a scan of their directories probed map-side, or a salted shuffle join."""
     if broadcast_ok:
-        return idx.postings.join(F.broadcast(qt), "term")
+        return idx.of_terms(parts).select("term", *columns).join(F.broadcast(qt), "term")
     hot = idx.term_stats.filter(F.col("df") > J.HOT_ROWS).select("term", F.col("df").alias("rows"))
-    return J.salted_join(qt, idx.postings, "term", hot)
+    return J.salted_join(qt, idx.postings.select("term", *columns), "term", hot)
 
 
 def score_bm25(qterms: DataFrame, idx: Index, k1: float = C.BM25_K1, b: float = C.BM25_B,
                keys=("qid", "sub_ord"), broadcast_ok: bool | None = None) -> DataFrame:
     """``(keys..., docid, score)`` summed over the query terms of each list."""
+    parts = None
     if broadcast_ok is None:
-        broadcast_ok = J.fits_broadcast(qterms)
+        broadcast_ok, parts = query_parts(qterms, idx)
     vocab = idx.term_stats.select("term", "df")
     qt = vocab.join(F.broadcast(qterms) if broadcast_ok else qterms, "term")
     qt = qt.select(*keys, "term", "qtf", idf(F.col("df"), idx.n_docs).alias("idf"))
-    j = _join_postings(qt, idx, broadcast_ok)
+    j = join_postings(qt, idx, broadcast_ok, parts)
     w = F.col("qtf") * F.col("idf") * tf_norm(F.col("tf"), F.col("dl"), idx.avg_dl, k1, b)
     return j.groupBy(*keys, "docid").agg(F.sum(w).alias("score"))
 
@@ -86,22 +93,3 @@ def bm25_search(subq: DataFrame, idx: Index, k: int = C.SUBQUERY_DEPTH, text_col
     qt = query_terms(subq, text_col, weight_col, stop, idx.stemmer)
     return top_k(score_bm25(qt, idx, k1, b), k, depth=depth)
 
-
-# --- I13: positional postings and phrase matching -------------------------------------
-
-def positional_postings(corpus: DataFrame, stop=C.INDEX_STOP_WORDS) -> DataFrame:
-    """``(term, docid, pos)``: token positions, counted after stop-word removal (the
-    analyser drops stop words before positions are assigned)."""
-    return corpus.select("docid", F.posexplode(T.index_terms("contents", stop)).alias("pos", "term"))
-
-
-def phrase_matches(phrases: DataFrame, ppost: DataFrame, keys=("qid", "sub_ord")) -> DataFrame:
-    """``(keys..., docid, ptf)`` — number of start positions where all terms of a
-    phrase occur consecutively. ``phrases`` has ``(keys..., term, offset, plen)``; the
-    join is on ``term`` (the phrase side is small), and a start position qualifies when
-    all ``plen`` of its offsets were seen."""
-    j = ppost.join(F.broadcast(phrases), "term")
-    starts = j.groupBy(*keys, "docid", (F.col("pos") - F.col("offset")).alias("start"), "plen") \
-        .agg(F.count_distinct("offset").alias("n"))
-    return starts.filter(F.col("n") == F.col("plen")).groupBy(*keys, "docid").agg(
-        F.count(F.lit(1)).alias("ptf"))

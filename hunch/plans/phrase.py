@@ -5,6 +5,10 @@ query as a bag of terms (weight 1), each entity / time span as an exact phrase w
 its boost. A phrase scores like one BM25 term whose frequency is the number of
 positions where all its terms occur consecutively and whose idf is the sum of its
 terms' idf. Positions count analysed tokens (after the stop list).
+
+A document's position lists lie in its bucket of the postings, so a phrase is matched there:
+the lists, shifted by the term's place in the phrase, are intersected from the shortest on.
+No position leaves its bucket; only (phrase, document) frequencies are scored on.
 """
 
 from __future__ import annotations
@@ -15,26 +19,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import text as T
 from ..operators import index as X
-from ..operators import joins as J
 from ..operators import rank as R
-from ..session import app_scratch
-
-
-_POS: dict = {}
-
-
-def positions(spark, sf_dir: str) -> DataFrame:
-    """Positional postings ``(term, docid, pos, dl)`` of ``documents``, written once per
-    application beside the index (sorted by term within files)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _POS:
-        idx = X.load_index(spark, sf_dir)
-        path = app_scratch(spark, "index", "positions-" + sf_dir.strip("/").replace("/", "_"))
-        toks = idx.corpus.select("docid", T.index_terms("contents").alias("toks"))
-        p = toks.select("docid", F.size("toks").cast("bigint").alias("dl"), F.posexplode("toks").alias("pos", "term"))
-        p.sortWithinPartitions("term", "docid").write.mode("overwrite").parquet(path)
-        _POS[key] = spark.read.parquet(path)
-    return _POS[key]
 
 
 def phrase_terms(decomp: DataFrame) -> DataFrame:
@@ -50,24 +35,28 @@ def phrase_terms(decomp: DataFrame) -> DataFrame:
                     F.posexplode("terms").alias("offset", "term"))
 
 
-def boosted_phrase_hits(decomp: DataFrame, idx: X.Index, pos: DataFrame, k: int = C.WEIGHTED_DEPTH,
-                        k1: float = C.BM25_K1, b: float = C.BM25_B) -> DataFrame:
+def phrase_frequencies(terms: DataFrame, idx: X.Index, keys=("qid", "pid")) -> DataFrame:
+    """``(keys..., docid, dl, ptf)`` — number of start positions where all terms of a phrase occur
+    consecutively. ``terms`` has ``(keys..., term, offset, plen)``, a row for each place of a phrase."""
+    small, parts = R.query_parts(terms, idx)
+    j = R.join_postings(terms.select(*keys, "term", "offset", "plen"), idx, small, parts, ("docid", "dl", "positions"))
+    found = j.groupBy(*keys, "docid", "dl", "plen").agg(
+        F.array_sort(F.collect_list(F.struct(F.size("positions").alias("n"), "offset", "positions"))).alias("lists")).filter(F.size("lists") == F.col("plen"))
+    shifted = F.transform("lists", lambda x: F.transform(x["positions"], lambda p: p - x["offset"]))
+    starts = F.aggregate(F.slice(shifted, 2, F.size("lists")), F.get(shifted, F.lit(0)), lambda a, x: F.when(F.size(a) == 0, a).otherwise(F.array_intersect(a, x)))
+    return found.select(*keys, "docid", "dl", F.size(starts).alias("ptf")).filter("ptf > 0")
+
+
+def boosted_phrase_hits(decomp: DataFrame, idx: X.Index, k: int = C.WEIGHTED_DEPTH, k1: float = C.BM25_K1, b: float = C.BM25_B) -> DataFrame:
     """``(qid, docid, score, rank)``: top ``k`` of bag(norm) + boosted phrases."""
     bag_q = decomp.select("qid", F.lit(0).alias("sub_ord"), F.col("norm_query").alias("text"))
     bag = R.score_bm25(R.query_terms(bag_q, stemmer=idx.stemmer), idx, k1, b).select("qid", "docid", "score")
     pt = phrase_terms(decomp)
-    small = J.fits_broadcast(pt)
-    vocab = idx.term_stats.select("term", "df")
-    known = vocab.join(F.broadcast(pt) if small else pt, "term")
+    known = idx.term_stats.select("term", "df").join(pt, "term")
     pidf = known.groupBy("qid", "pid", "boost", "plen").agg(
         F.sum(R.idf(F.col("df"), idx.n_docs)).alias("pidf"), F.count(F.lit(1)).alias("n_known")) \
         .filter(F.col("n_known") == F.col("plen"))
-    j = pos.join(F.broadcast(pt) if small else pt, "term")
-    starts = j.groupBy("qid", "pid", "docid", "dl", (F.col("pos") - F.col("offset")).alias("start"), "plen") \
-        .agg(F.count_distinct("offset").alias("n"))
-    ptf = starts.filter(F.col("n") == F.col("plen")).groupBy("qid", "pid", "docid", "dl") \
-        .agg(F.count(F.lit(1)).alias("ptf"))
-    ps = ptf.join(pidf, ["qid", "pid"]).select(
+    ps = phrase_frequencies(pt, idx).join(pidf, ["qid", "pid"]).select(
         "qid", "docid",
         (F.col("boost") * F.col("pidf") * R.tf_norm(F.col("ptf"), F.col("dl"), idx.avg_dl, k1, b)).alias("score"))
     total = bag.unionByName(ps).groupBy("qid", "docid").agg(F.sum("score").alias("score"))

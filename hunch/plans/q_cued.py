@@ -114,7 +114,7 @@ def cued_boosted_bag(spark, sf_dir):
 @register("cued_boosted_phrase", _cued(PHRASE_BODY))
 def cued_boosted_phrase(spark, sf_dir):
     """I08, phrase reading, and I13: names that occur as phrases in documents."""
-    return phrase.boosted_phrase_hits(_flow(spark, sf_dir)["decomposition"], X.load_index(spark, sf_dir), phrase.positions(spark, sf_dir))
+    return phrase.boosted_phrase_hits(_flow(spark, sf_dir)["decomposition"], X.load_index(spark, sf_dir))
 
 
 @register("cued_search", _cued("SELECT qid, docid, score, rank FROM fused"))

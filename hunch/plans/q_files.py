@@ -40,7 +40,7 @@ def _write_qrels(spark, sf_dir, without: str | None = None):
     reader), and a leading tab on every other line. File ``r_i`` holds the passages of query
     file ``q_i``; ``without`` leaves one file out."""
     idx = X.load_index(spark, sf_dir)
-    j = passage_judgements(spark, sf_dir, idx.postings)
+    j = passage_judgements(spark, sf_dir, idx.postings, idx.term_stats)
     good = j.select("qid", "docid", F.concat_ws(" ", "qid", F.lit("0"), "docid", F.lit("1")).alias("value"))
     bad = read_table(spark, sf_dir, "benchmark").select(
         F.col("item_id").cast("string").alias("qid"), F.lit("").alias("docid"),

@@ -81,7 +81,7 @@ FROM post GROUP BY docid"""
 @register("doc_vectors", _DV_SQL)
 def doc_vectors_q(spark, sf_dir):
     """The map is rendered as sorted ``term:tf`` text for comparison."""
-    v = spark.read.parquet(f"{X.load_index(spark, sf_dir).path}/vectors")
+    v = X.load_index(spark, sf_dir).vectors()
     entries = F.map_entries("vector")
     return v.select("docid",
                     F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), " ").alias("vector"),

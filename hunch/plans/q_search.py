@@ -145,7 +145,7 @@ found AS (SELECT t.qid, j.docid AS expected_docid, f.rank AS found_rank
 
 def _found(spark, sf_dir):
     idx = X.load_index(spark, sf_dir)
-    qrels = passage_judgements(spark, sf_dir, idx.postings)
+    qrels = passage_judgements(spark, sf_dir, idx.postings, idx.term_stats)
     judged = E.one_judgement(qrels, "docid")
     return E.found_rank(benchmark_topics(spark, sf_dir), judged, main_flow(spark, sf_dir)["fused"])
 
@@ -220,4 +220,4 @@ def bm25_boosted_phrase(spark, sf_dir):
     from . import phrase
     decomp = main_flow(spark, sf_dir)["decomposition"]
     idx = X.load_index(spark, sf_dir)
-    return phrase.boosted_phrase_hits(decomp, idx, phrase.positions(spark, sf_dir))
+    return phrase.boosted_phrase_hits(decomp, idx)

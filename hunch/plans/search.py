@@ -97,23 +97,21 @@ def bag_scores(lists: DataFrame, idx: Index) -> DataFrame:
     return raw.filter(F.col("sub_ord") > 0).unionByName(weighted)
 
 
-def ranked_lists(lists: DataFrame, idx: Index, fl: Flavour, decomp: DataFrame | None = None,
-                 positions: DataFrame | None = None) -> DataFrame:
+def ranked_lists(lists: DataFrame, idx: Index, fl: Flavour, decomp: DataFrame | None = None) -> DataFrame:
     """Every list scored at once: weighted list to depth 100, the others to 50. In
     ``phrase`` mode the weighted list is scored from the decomposition with exact
-    phrases (needs the positional postings)."""
+    phrases."""
     depth = F.when(F.col("sub_ord") == 0, F.lit(fl.weighted_depth)).otherwise(F.lit(fl.subquery_depth))
     if fl.weighted_mode == "bag":
         return R.top_k(bag_scores(lists, idx), max(fl.weighted_depth, fl.subquery_depth), depth=depth)
     from . import phrase
     subs = R.bm25_search(lists.filter(F.col("sub_ord") > 0), idx, k=fl.subquery_depth)
-    w = phrase.boosted_phrase_hits(decomp, idx, positions, fl.weighted_depth).withColumn("sub_ord", F.lit(0))
+    w = phrase.boosted_phrase_hits(decomp, idx, fl.weighted_depth).withColumn("sub_ord", F.lit(0))
     return subs.select("qid", "sub_ord", "docid", "score", "rank").unionByName(
         w.select("qid", "sub_ord", "docid", "score", "rank"))
 
 
-def search(topics: DataFrame, idx: Index, fl: Flavour = MAIN, decomp: DataFrame | None = None,
-           positions: DataFrame | None = None) -> dict:
+def search(topics: DataFrame, idx: Index, fl: Flavour = MAIN, decomp: DataFrame | None = None) -> dict:
     """Returns ``{'decomposition', 'lists', 'hits', 'fused', 'results'}``.
 
     ``decomp`` swaps the decomposer: pass any table with ``qid, query, entities, time,
@@ -125,7 +123,7 @@ def search(topics: DataFrame, idx: Index, fl: Flavour = MAIN, decomp: DataFrame
     # consumers of the hits and of the fused lists), so it is written once to the
     # shared folder instead of being recomputed from the decomposition each time.
     lists = cut_lineage(list_table(decomp, fl), "lists")
-    hits = cut_lineage(ranked_lists(lists, idx, fl, decomp, positions), "hits")
+    hits = cut_lineage(ranked_lists(lists, idx, fl, decomp), "hits")
     fused = cut_lineage(U.rrf(hits.select("qid", "sub_ord", "docid", "rank"), fl.rrf_c, fl.fused_depth), "fused")
     results = P.render(fused, idx.corpus, topics)
     return {"decomposition": decomp, "lists": lists, "hits": hits, "fused": fused, "results": results}

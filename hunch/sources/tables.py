@@ -36,7 +36,7 @@ def conversation_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("query"))
 
 
-def passage_judgements(spark: SparkSession, sf_dir: str, postings: DataFrame | None = None) -> DataFrame:
+def passage_judgements(spark: SparkSession, sf_dir: str, postings: DataFrame | None = None, term_stats: DataFrame | None = None) -> DataFrame:
     """Judgements ``(qid, docid, rel)``: a document is relevant to a passage topic when
     it contains the passage verbatim.
 
@@ -71,7 +71,8 @@ def passage_judgements(spark: SparkSession, sf_dir: str, postings: DataFrame | N
     bp = b.withColumn("probe", F.when(F.size(toks) >= 3, probe))
     # A common probe term would put its whole posting list in one task: salt it.
     post = postings.select(F.col("term").alias("probe"), "docid")
-    hot = post.groupBy("probe").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > J.HOT_ROWS)
+    df = term_stats.select(F.col("term").alias("probe"), F.col("df").alias("rows")) if term_stats is not None else post.groupBy("probe").agg(F.count(F.lit(1)).alias("rows"))
+    hot = df.filter(F.col("rows") > J.HOT_ROWS)
     cand = J.salted_join(bp.filter(F.col("probe").isNotNull()), post, "probe", hot)
     long_hits = cand.join(d, "docid").filter(F.col("text").contains(F.col("passage"))).select("qid", "docid")
     short_hits = by_scan(bp.filter(F.col("probe").isNull()).select("qid", "passage"))

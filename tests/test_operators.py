@@ -100,10 +100,17 @@ def test_next_fit_matches_sequential(spark, sizes, limit):
     assert _chunks(spark, sizes, limit) == _greedy(sizes, limit)
 
 
-def test_phrase_matches(spark):
-    ppost = spark.createDataFrame([("anna", "d1", 1), ("lee", "d1", 2), ("lee", "d2", 0), ("anna", "d2", 1)],
-                                  "term string, docid string, pos int")
-    phrases = spark.createDataFrame([("q", 1, "anna", 0, 2), ("q", 1, "lee", 1, 2)],
-                                    "qid string, sub_ord int, term string, offset int, plen int")
-    rows = [(r["docid"], r["ptf"]) for r in R.phrase_matches(phrases, ppost).collect()]
-    assert rows == [("d1", 1)]
+def test_phrase_frequencies(spark):
+    """Consecutive analysed tokens, a repeated word, a phrase that only occurs in other order, an unknown word."""
+    from hunch.plans import phrase
+    corpus = spark.createDataFrame([("d1", "see anna lee ray and anna lee"), ("d2", "lee anna new new york"), ("d3", "new york new new new york"), ("d4", None)],
+                                   "docid string, contents string")
+    idx = X.build_index(spark, corpus, fresh_path(spark, "t-phrase"), stop=[])
+    ask = {"a": "anna lee", "b": "new new york", "c": "york lee", "d": "new new", "e": "anna", "f": "anna nobody"}
+    rows = [(q, 0, w, i, len(t.split())) for q, t in ask.items() for i, w in enumerate(t.split())]
+    terms = spark.createDataFrame(rows, "qid string, pid int, term string, offset int, plen int")
+    found = phrase.phrase_frequencies(terms, idx)
+    got = sorted((r["qid"], r["docid"], r["ptf"]) for r in found.collect())
+    assert got == [("a", "d1", 2), ("b", "d2", 1), ("b", "d3", 1), ("d", "d2", 1), ("d", "d3", 2), ("e", "d1", 2), ("e", "d2", 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange hashpartitioning" not in plan  # no position row moves

@@ -33,3 +33,23 @@ def test_search_stems_as_the_index_was(spark):
     assert idx.stemmer == "porter"
     q = spark.createDataFrame([("q", 1, "hopped cat")], "qid string, sub_ord int, text string")
     assert {r["docid"] for r in R.bm25_search(q, idx).collect()} == {"d1", "d2"}
+
+
+def test_vocabulary_job_routes_agree(spark, monkeypatch):
+    """Stems looked up per distinct term give the rows that stemming every token would, broadcast or joined."""
+    from pyspark.sql import functions as F
+
+    from hunch.operators import joins as J
+
+    from .conftest import SF_SMALL
+    corpus = X.corpus_from_documents(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    tokens = X.analysed(corpus)
+    every = tokens.select("docid", F.posexplode("toks").alias("pos", "term")).withColumn("term", S.porter_stem(F.col("term")))
+    want = {(r["term"], r["docid"]): tuple(r["p"]) for r in every.groupBy("term", "docid").agg(F.sort_array(F.collect_list("pos")).alias("p")).collect()}
+    a = X.build_index(spark, corpus, fresh_path(spark, "t-stems"), stemmer="porter")
+    rows = lambda idx: {(r["term"], r["docid"]): tuple(r["positions"]) for r in idx.postings.collect()}
+    assert rows(a) == want
+    monkeypatch.setattr(J, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(J, "HOT_ROWS", 50)
+    b = X.build_index(spark, corpus, fresh_path(spark, "t-stems-joined"), stemmer="porter")
+    assert rows(b) == want
