@@ -243,6 +243,8 @@ def build_index(spark: SparkSession, corpus: DataFrame, path: str, stop=C.INDEX_
     """S06 + S07: build the tables at ``path`` unless the same index is there complete, then open them.
     Another index at the path raises ``IndexMismatch``, or is replaced with ``on_mismatch='rebuild'``. A
     build that was cut off has no ``meta`` and is written anew."""
+    from ..sources.tables import spread
+
     about = manifest(corpus, list(stop), stemmer, recipe)
     fp = fingerprint_of(about)
     try:
@@ -256,8 +258,8 @@ def build_index(spark: SparkSession, corpus: DataFrame, path: str, stop=C.INDEX_
     drop_index(spark, path)
     for name in ("tokens", "postings"):  # left by a build of the same index that was cut off
         spark.sql(f"DROP TABLE IF EXISTS {_name(path, name, fp, n)}")
-    corpus.select("docid", "contents").write.mode("overwrite").parquet(f"{path}/docs")
-    _write_buckets(analysed(corpus, stop).repartition(n, "docid"), path, "tokens", n)
+    spread(corpus.select("docid", "contents")).write.mode("overwrite").parquet(f"{path}/docs")
+    _write_buckets(analysed(spark.read.parquet(f"{path}/docs"), stop).repartition(n, "docid"), path, "tokens", n)
     tokens = _table(spark, path, "tokens", TOKENS_SCHEMA, n, fp)
     stems = None
     if stemmer != "none":
