@@ -9,6 +9,8 @@ clashing columns do no harm.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -122,6 +124,14 @@ class WordHasher:
         return h, np.searchsorted(starts, doc_at), starts, ends
 
 
+def give_back() -> None:
+    """Hand memory that a task has freed back to the system: the Python worker is reused, and stays
+    beside the executor while other tasks run."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can do it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the text of each slice stays near ``limit`` bytes (one row at least);
     every row is passed on, a row longer than the limit makes a slice of its own."""
@@ -137,7 +147,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20)
             j = max(i + 1, int(np.searchsorted(total, base + limit, "right")))
             yield b.slice(i, j - i)
             i = j
-    pa.default_memory_pool().release_unused()  # the worker is reused: leave it small
+    give_back()
 
 
 def utf8(col: pa.Array) -> list[bytes]:

@@ -273,6 +273,7 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 ok[i] = den * both >= num * (len(u) + len(v) - both)
             m = pa.array(ok)
             yield pa.record_batch([t.column("a").filter(m), t.column("b").filter(m)], names=["a", "b"])
+        C.give_back()
     j = pairs.join(sets.select(F.col("doc").alias("a"), F.col("s").alias("sa")), "a") \
         .join(sets.select(F.col("doc").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
     return j.mapInArrow(run, "a long, b long")
@@ -393,6 +394,7 @@ def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: in
             shared = (n + nc - np.array([len(x) // 8 for x in out], np.int64)) // 2
             near = den * shared >= num * (n + nc - shared)
             yield pa.record_batch([t.column("doc"), t.column("centre"), pa.array(n), pa.array(near), pa.array(out, pa.binary())], names=["doc", "centre", "n", "near", "d"])
+        C.give_back()
     apart = C.cut(both.select("doc", "centre", "s", "sc").mapInArrow(differ, "doc long, centre long, n long, near boolean, d binary"), "apart")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,29 +409,36 @@ def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: in
     sketch[np.asarray(seen["slot"])] = np.asarray(seen["c"])
     shared = spark.sparkContext.broadcast(sketch)
 
-    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value
+    def prefix(batches: Iterator[pa.RecordBatch], far=None) -> Iterator[pa.RecordBatch]:
+        often, met = shared.value, None if far is None else far.value
         for t in batches:
             cols = [[] for _ in range(7)]
             for doc, c, n, near, x in zip(*(t.column(i).to_pylist() for i in ("doc", "centre", "n", "near")), t.column("d"), strict=True):
                 d = np.frombuffer(x.as_buffer(), U64)
                 f = often[(d % U64(SKETCH)).astype(np.int64)]
                 first = np.lexsort((d, f))[:(den - num) * n // num + 1]
-                pos = np.flatnonzero(f[first] > 1)  # what one set alone has meets nobody
+                pos = np.arange(len(first)) if met is None else np.flatnonzero(met[(d[first] % U64(SKETCH)).astype(np.int64)])
                 for col, v in zip(cols, (doc, c, n, int(near), len(d)), strict=False):
                     col.append(np.full(len(pos), v, np.int64))
                 cols[5].append(pos)
                 cols[6].append(d[first[pos]].view(np.int64))
             if cols[0]:
                 yield pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=["doc", "centre", "n", "near", "size", "pos", "el"])
-    p = C.cut(apart.mapInArrow(prefix, "doc long, centre long, n long, near long, size long, pos long, el long"), "prefix")
+        C.give_back()
+    schema = "doc long, centre long, n long, near long, size long, pos long, el long"
+    far = C.cut(apart.filter("NOT near").mapInArrow(prefix, schema), "far")
+    # near sets meet far ones only: they show what a far set has shown (a bit for each slot)
+    slots = np.zeros(SKETCH, bool)
+    slots[np.asarray(far.select(F.expr(f"el & {SKETCH - 1}").alias("slot")).distinct().toArrow()["slot"])] = True
+    shown = spark.sparkContext.broadcast(slots)
+    close = C.cut(apart.filter("near").mapInArrow(lambda batches: prefix(batches, shown), schema), "close")
     # sets far from the centre meet all others; near ones never meet each other
     side = lambda q, z: q.select("centre", "el", *(F.col(c).alias(c + z) for c in ("doc", "n", "near", "size", "pos")))
     h = F.floor((den - num) * (F.col("nx") + F.col("ny")) / (den + num))
     smaller = (F.col("sizex") < F.col("sizey")) | ((F.col("sizex") == F.col("sizey")) & (F.col("docx") < F.col("docy")))
     room = F.when(smaller, F.col("posx")).otherwise(F.col("posy")) * 2 <= h
     more = F.when(smaller, F.col("posy")).otherwise(F.col("posx")) * 2 <= F.abs(F.col("sizey") - F.col("sizex")) + h
-    j = side(p.filter("near = 0"), "x").join(side(p, "y"), ["centre", "el"]).filter(
+    j = side(far, "x").join(side(far.unionByName(close), "y"), ["centre", "el"]).filter(
         (smaller | (F.col("neary") == 1)) & (F.col("docx") != F.col("docy")) & _near("nx", "ny", num, den) & room & more)
     return j.select(F.least("docx", "docy").alias("a"), F.greatest("docx", "docy").alias("b")).distinct() \
         .unionByName(apart.filter("near AND doc <> centre").select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")))
