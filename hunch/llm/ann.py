@@ -16,7 +16,7 @@ share is indexed once and its copies are each other's neighbours.
 
 Results: for each query row its ``k`` nearest, fewer only if there are fewer candidates.
 Null ids and vectors that are null, empty, zero or hold null or non-finite components take
-no part, nor do vectors whose length is not the most common one. Ties: smaller id first.
+no part, nor do vectors whose length is not the most common one; any finite magnitude does. Ties: smaller id first.
 Rows that repeat id and vector count once. Empty table: no rows.
 """
 
@@ -66,6 +66,8 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
+    """Rows of length 1. The largest component becomes 1 first, so no square over- or underflows."""
+    v = v / np.abs(v).max(1, keepdims=True)
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 

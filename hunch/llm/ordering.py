@@ -36,6 +36,13 @@ DICT_ROWS, DICT_CHARS, DICT_BYTES = 1000, 8000, 112_640
 DTYPE = np.dtype("<u2")
 
 
+def _narrow(ids: np.ndarray) -> np.ndarray:
+    """``ids`` in the two bytes of a stride; larger ones raise instead of wrapping."""
+    if len(ids) and int(ids.max()) > np.iinfo(DTYPE).max:
+        raise ValueError(f"token id {int(ids.max())} does not fit in {DTYPE.itemsize} bytes")
+    return ids.astype(DTYPE)
+
+
 class Feistel:
     """A keyed permutation of 0..n-1: a balanced Feistel network on the next even number of bits,
     walked again while it lands outside."""
@@ -77,7 +84,7 @@ def _dictionary(docs: DataFrame, vocab_path: str, length: int) -> bytes:
 
     from .tokens import encoder
     texts = [r[0] for r in docs.filter("text IS NOT NULL").select(F.substring("text", 1, DICT_CHARS)).limit(DICT_ROWS).collect()]
-    ids = encoder(vocab_path).encode(texts)[0].astype(DTYPE)
+    ids = _narrow(encoder(vocab_path).encode(texts)[0])
     try:
         return zstandard.train_dictionary(DICT_BYTES, [ids[i:i + length].tobytes() for i in range(0, len(ids), length)]).as_bytes()
     except zstandard.ZstdError:  # too few samples for a dictionary
@@ -110,10 +117,10 @@ def _sequences(docs: DataFrame, vocab_path: str, length: int, end_id: int, dicti
         for b in C.slices(batches, "text", 1 << 20):
             ids, off = enc.encode([x or "" for x in b.column("text").to_pylist()])
             size = np.diff(off)
-            full = np.full(len(ids) + len(size), end_id, DTYPE)
+            full = np.full(len(ids) + len(size), _narrow(np.array([end_id]))[0], DTYPE)
             keep = np.ones(len(full), bool)
             keep[off[1:] + np.arange(len(size))] = False
-            full[keep] = ids
+            full[keep] = _narrow(ids)
             full = np.concatenate([left_ids, full])
             doc = np.concatenate([left_doc, np.repeat(np.asarray(b.column("doc_id")), size + 1)])
             n = len(full) // length * length
@@ -130,7 +137,7 @@ def materialise(docs: DataFrame, out_uri: str, vocab_path: str | None = None, le
                 key: int = 20261203, per_shard: int = 16_384) -> DataFrame:
     """Write ``docs(doc_id, text)`` below ``out_uri`` (any file system that Arrow opens) and return the
     manifest ``sequence, slot, shard, byte_offset, n_tokens, ids_crc32, doc_ids``. ``length`` ids of two
-    bytes make the stride; vocabularies above 65,536 ids do not fit."""
+    bytes make the stride; an id above 65,535 raises ``ValueError``."""
     from .tokens import default_vocab
     spark = docs.sparkSession
     vocab_path = vocab_path or default_vocab()
@@ -159,7 +166,14 @@ def materialise(docs: DataFrame, out_uri: str, vocab_path: str | None = None, le
         def done() -> None:
             if f is not None:
                 f.close()
-                store.move(f"{root}/.{now:06d}-{attempt}", f"{root}/shard-{now:06d}.bin")
+                whole, shard = f"{root}/.{now:06d}-{attempt}", f"{root}/shard-{now:06d}.bin"
+                try:
+                    store.move(whole, shard)
+                except OSError:  # stores whose rename does not overwrite: an earlier attempt left the same bytes
+                    if store.get_file_info(shard).type != fs.FileType.File:
+                        raise
+                    store.delete_file(shard)
+                    store.move(whole, shard)
         for b in batches:
             crc = []
             for shard, raw in zip(b.column("shard").to_pylist(), b.column("ids").to_pylist(), strict=True):

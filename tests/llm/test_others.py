@@ -174,6 +174,24 @@ def test_nearest_small_is_exact(spark):
     assert [tuple(x)[:3] for x in A.nearest(vectors(spark, data[:2]), F.col("vec_id") % 50 == 0).collect()] == [(0, 1, 1)]
 
 
+def test_nearest_any_magnitude(spark):
+    C.ship(spark)
+    r = np.random.default_rng(4)
+    scale = [1e-200, 1e200, 5e-324, 1.0]
+    data = [(i, (r.normal(size=8) * scale[i % 4]).tolist(), 0, 1, 1.0) for i in range(100)]
+    data[50] = (50, [x * 1e200 for x in r.normal(size=8).tolist()], 0, 1, 1.0)
+    schema = "vec_id long, embedding array<double>, label long, pos int, score double"
+    got = A.nearest(spark.createDataFrame(data, schema), F.col("vec_id") % 50 == 0).collect()
+    v = np.array([x[1] for x in data])
+    part = np.abs(v).max(1) > 0
+    v[part] /= np.abs(v[part]).max(1, keepdims=True)
+    v[part] /= np.linalg.norm(v[part], axis=1, keepdims=True)
+    for q in (0, 50):
+        order = sorted((i for i in range(100) if part[i] and i != q), key=lambda i: (-float(v[q] @ v[i]), i))[:5]
+        own = sorted((x["rank"], x["vec_id"], x["score"]) for x in got if x["query_id"] == q)
+        assert [x[1] for x in own] == order and np.allclose([x[2] for x in own], [v[q] @ v[i] for i in order])
+
+
 def test_nearest_recall(spark):
     C.ship(spark)
     d = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")

@@ -131,3 +131,9 @@ def test_shards_round_trip(spark, library, tmp_path):
     assert stream == want
     assert sorted(x for d in m.doc_ids for x in set(d)) and {x for d in m.doc_ids for x in d} == {i for i, _ in texts if i is not None}
     assert O.materialise(U.docs(spark, []), uri + "2").count() == 0
+
+
+def test_ids_beyond_two_bytes_raise():
+    assert O._narrow(np.array([0, 65_535])).tolist() == [0, 65_535] and len(O._narrow(np.zeros(0, np.int64))) == 0
+    with pytest.raises(ValueError, match="70000"):
+        O._narrow(np.array([1, 70_000]))
