@@ -140,3 +140,6 @@ PORTER_STEP2 = {"ational": "ate", "tional": "tion", "enci": "ence", "anci": "anc
                 "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble", "logi": "log"}
 PORTER_STEP3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
 PORTER_STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
+
+# FIXED VALUES: labels of a displayed result (S12), in the order they are printed.
+RESULT_LABELS = ("Rank ", " | DocID: ", " | Score: ", "Title: ", "Snippet: ")

@@ -9,15 +9,17 @@ from ..operators import index as X
 from ..session import fresh_path
 from ..sources import topics as TP
 from ..sources.tables import passage_judgements, read_table
+from .file_runs import run_files
+from .q_search import _JUDGED, _sql
 from .registry import register
 
 _JUDGED_SQL = """judged AS (SELECT CAST(b.item_id AS VARCHAR) AS qid, max(CAST(d.doc_id AS VARCHAR)) AS docid
             FROM benchmark b JOIN documents d ON contains(d.text, b.text) GROUP BY 1)"""
 
 
-def _write_topics(spark, sf_dir, by_file: bool):
+def _write_topics(spark, sf_dir, by_file: bool, query_id: str = "item_id"):
     """Topic JSONL from ``benchmark``; every fifth passage also gets an earlier draft line
-    with the same id, which the later line must override."""
+    with the same id, which the later line must override. ``query_id``: a SQL expression over item_id."""
     b = read_table(spark, sf_dir, "benchmark")
     final = b.select("item_id", F.lit(1).alias("v"), F.col("text").alias("query"))
     draft = b.filter(F.col("item_id") % 5 == 0).select("item_id", F.lit(0).alias("v"),
@@ -25,7 +27,7 @@ def _write_topics(spark, sf_dir, by_file: bool):
     lines = final.unionByName(draft).withColumn("file", F.concat(F.lit("q_"), (F.col("item_id") % 3).cast("string")))
     dealt = lines.repartition("file") if by_file else lines.repartitionByRange("item_id")
     out = dealt.sortWithinPartitions("file", "item_id", "v").select(
-        "file", F.to_json(F.struct(F.col("item_id").cast("string").alias("query_id"), "query")).alias("value"))
+        "file", F.to_json(F.struct(F.expr(query_id).cast("string").alias("query_id"), "query")).alias("value"))
     path = fresh_path(spark, "topics")
     if by_file:
         out.write.partitionBy("file").text(path)
@@ -34,17 +36,18 @@ def _write_topics(spark, sf_dir, by_file: bool):
     return path
 
 
-def _write_qrels(spark, sf_dir, without: str | None = None):
+def _write_qrels(spark, sf_dir, without: str | None = None, query_id: str = "item_id"):
     """Judgement lines ``qid 0 docid 1`` per (passage, containing document), ordered by
     document within a passage, plus one three-field line per passage (skipped by the
     reader), and a leading tab on every other line. File ``r_i`` holds the passages of query
-    file ``q_i``; ``without`` leaves one file out."""
+    file ``q_i``; ``without`` leaves one file out; ``query_id`` as for the topics."""
     idx = X.load_index(spark, sf_dir)
     j = passage_judgements(spark, sf_dir, idx.postings, idx.term_stats)
-    good = j.select("qid", "docid", F.concat_ws(" ", "qid", F.lit("0"), "docid", F.lit("1")).alias("value"))
+    own = F.expr(query_id).cast("string")
+    good = j.withColumn("item_id", F.col("qid").cast("bigint")).select("qid", "docid", F.concat_ws(" ", own, F.lit("0"), "docid", F.lit("1")).alias("value"))
     bad = read_table(spark, sf_dir, "benchmark").select(
         F.col("item_id").cast("string").alias("qid"), F.lit("").alias("docid"),
-        F.concat_ws(" ", F.col("item_id").cast("string"), F.lit("0"), F.lit("x")).alias("value"))
+        F.concat_ws(" ", own, F.lit("0"), F.lit("x")).alias("value"))
     lines = good.unionByName(bad).withColumn("file", F.concat(F.lit("r_"), (F.col("qid").cast("bigint") % 3).cast("string")))
     lines = lines.withColumn("value", F.when(F.length("docid") % 2 == 0, F.concat(F.lit("\t"), "value")).otherwise(F.col("value")))
     if without:
@@ -84,3 +87,37 @@ def paired_files(spark, sf_dir):
     t = TP.read_topics(spark, _write_topics(spark, sf_dir, by_file=True))
     q = TP.read_qrels(spark, _write_qrels(spark, sf_dir, without="r_2"))
     return TP.pair_files(t, q)
+
+
+_IN_FILE = "item_id DIV 3"  # ids count from 0 in each of the three files, so equal ids occur in all
+
+_RUNS_SQL = f""", {_JUDGED},
+runs AS (SELECT CAST(q.item_id % 3 + 1 AS BIGINT) AS file_pos, CAST(q.item_id // 3 AS VARCHAR) AS qid, found.expected_docid, found.found_rank
+         FROM found JOIN benchmark q ON CAST(q.item_id AS VARCHAR) = found.qid WHERE q.item_id % 3 IN (0, 1))"""
+
+
+def _file_runs(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        topics = TP.read_topics(spark, _write_topics(spark, sf_dir, by_file=True, query_id=_IN_FILE))
+        qrels = TP.read_qrels(spark, _write_qrels(spark, sf_dir, without="r_2", query_id=_IN_FILE))
+        _RUNS[key] = run_files(topics, qrels, X.load_index(spark, sf_dir))
+    return _RUNS[key]
+
+
+_RUNS: dict = {}
+
+
+@register("file_runs_found", _sql(f"{_RUNS_SQL} SELECT file_pos, qid, expected_docid, found_rank FROM runs"))
+def file_runs_found(spark, sf_dir):
+    """S10 + E01 + E02: every question of two paired files that share ids, through lists, fusion and judgement."""
+    return _file_runs(spark, sf_dir)["found"]
+
+
+@register("file_runs_accuracy", _sql(f"""{_RUNS_SQL}
+SELECT file_pos, count(found_rank)::BIGINT AS hits, count(expected_docid)::BIGINT AS judged,
+       round(CASE WHEN count(expected_docid) > 0 THEN count(found_rank)::DOUBLE / count(expected_docid)::DOUBLE * 100.0 END, 2) AS accuracy
+FROM runs GROUP BY ROLLUP (file_pos)"""))
+def file_runs_accuracy(spark, sf_dir):
+    """S10 + E03 + E04: accuracy per file pair and overall (file_pos NULL)."""
+    return _file_runs(spark, sf_dir)["accuracy"]

@@ -124,6 +124,20 @@ def results(spark, sf_dir):
     return r.select("qid", "rank", "docid", "score_text", "title", "snippet")
 
 
+_LINES_SQL = _RES_SQL.replace("SELECT qid, rank, docid, score_text, title, snippet FROM snip", """SELECT unnest([
+    'Rank ' || CAST(rank AS VARCHAR) || ' | DocID: ' || docid || ' | Score: ' || score_text, 'Title: ' || title, 'Snippet: ' || snippet]) AS line FROM snip""")
+
+
+@register("result_lines", _LINES_SQL)
+def result_lines(spark, sf_dir):
+    """The display lines of every fused result, written as text files and read back."""
+    from ..session import fresh_path
+    from ..sources.sinks import write_result_lines
+    path = fresh_path(spark, "result-lines")
+    write_result_lines(main_flow(spark, sf_dir)["results"], path)
+    return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
+
+
 _RUN_SQL = _sql("""SELECT qid || ' Q0 ' || docid || ' ' || CAST(rank AS VARCHAR) || ' ' || printf('%.9f', score) || ' hunch' AS line
 FROM fused""")
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as C
+
 RUN_TAG = "hunch"
 
 
@@ -30,11 +32,18 @@ def write_table(df: DataFrame, path: str, mode: str = "ignore", sort_by: str | N
 
 
 def result_lines(results: DataFrame) -> DataFrame:
-    """The three display lines of a rendered result as one text value."""
-    return results.select("qid", "rank", F.concat(
-        F.lit("Rank "), F.col("rank").cast("string"), F.lit(" | DocID: "), F.col("docid"),
-        F.lit(" | Score: "), F.col("score_text"), F.lit("\nTitle: "), F.col("title"),
-        F.lit("\nSnippet: "), F.col("snippet")).alias("value"))
+    """The three display lines of a rendered result as one text value; null parts are empty."""
+    rank, docid, score, title, snippet = (F.concat(F.lit(label), F.coalesce(F.col(c).cast("string"), F.lit("")))
+                                          for label, c in zip(C.RESULT_LABELS, ("rank", "docid", "score_text", "title", "snippet"), strict=True))
+    return results.select("qid", "rank", F.concat(rank, docid, score, F.lit("\n"), title, F.lit("\n"), snippet).alias("value"))
+
+
+def write_result_lines(results: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """S12 sink: the display lines of ``results`` as text files, questions in order over the part
+    files and results by rank inside a question. One range shuffle by question and rank, so many results of one
+    question may spread over several files."""
+    result_lines(results).repartitionByRange("qid", "rank").sortWithinPartitions("qid", "rank") \
+        .select("value").write.mode(mode).text(path)
 
 
 def run_lines(fused: DataFrame, tag: str = RUN_TAG) -> DataFrame:

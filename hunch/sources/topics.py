@@ -43,15 +43,19 @@ def read_qrels(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         .select("file", "qid", "j.docid", "j.rel")
 
 
-def pair_files(topics: DataFrame, qrels: DataFrame) -> DataFrame:
-    """The i-th query file (sorted by name) goes with the i-th judgement file;
-    unmatched extra files are ignored. Equal ids in two files stay apart. Numbering the files
-    is a window over one row a file."""
-    w = Window.orderBy("file")
-    qf = topics.select("file").distinct().withColumn("file_pos", F.row_number().over(w))
+def paired_topics(topics: DataFrame, qrels: DataFrame) -> DataFrame:
+    """``(file_pos, qid, query, expected_docid)``. The i-th query file (sorted by name) goes
+    with the i-th judgement file; unmatched extra files are ignored. Equal ids in two files stay
+    apart. Numbering the files is a window over one row a file."""
+    qf = topics.select("file").distinct().withColumn("file_pos", F.row_number().over(Window.orderBy("file")))
     rf = qrels.select(F.col("file").alias("rfile")).distinct().withColumn("file_pos", F.row_number().over(
         Window.orderBy("rfile")))
     pairs = qf.join(rf, "file_pos")
     t = topics.join(pairs, "file")
     j = qrels.withColumnRenamed("file", "rfile").select("rfile", "qid", F.col("docid").alias("expected_docid"))
-    return t.join(j, ["rfile", "qid"], "left").select(F.col("file_pos").cast("bigint"), "qid", "expected_docid")
+    return t.join(j, ["rfile", "qid"], "left").select(F.col("file_pos").cast("bigint"), "qid", "query", "expected_docid")
+
+
+def pair_files(topics: DataFrame, qrels: DataFrame) -> DataFrame:
+    """The pairing without the questions' texts."""
+    return paired_topics(topics, qrels).drop("query")
