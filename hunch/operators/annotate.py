@@ -236,9 +236,14 @@ COLUMNS = ["qid", "sent_i", "tok_i", "text", "lemma", "pos", "dep", "head_i", "e
            "ent_label", "chunk_id", "is_chunk_root"]
 
 
-def annotate(topics: DataFrame, query_col: str = "query", gpe=L.GPE_NAMES, org_words=L.ORG_WORDS) -> DataFrame:
-    """Topics ``(qid, query)`` -> ``annotations``."""
-    t = tag(tokens(sentences(topics, query_col)))
-    t = entities(t, gpe, org_words)
+def annotate(topics: DataFrame, query_col: str = "query", gpe=L.GPE_NAMES, org_words=L.ORG_WORDS,
+             phrases: DataFrame | None = None) -> DataFrame:
+    """Topics ``(qid, query)`` -> ``annotations``. ``phrases(phrase, label)``: a gazetteer whose
+    spans come before those found by rule."""
+    sents = sentences(topics, query_col)
+    t = entities(tag(tokens(sents)), gpe, org_words)
+    if phrases is not None:
+        from . import gazetteer
+        t = gazetteer.label_tokens(t, gazetteer.phrase_spans(sents, phrases))
     t = dependencies(chunks(t))
     return t.select(*COLUMNS)

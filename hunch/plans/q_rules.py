@@ -10,6 +10,7 @@ from .. import constants as C
 from ..functions import text as T
 from ..operators import annotate as A
 from ..operators import decompose as D
+from ..operators import lexicon as L
 from ..session import cut_lineage
 from ..sources.tables import conversation_topics, read_table, spread
 from . import sql_rules as S
@@ -76,6 +77,39 @@ def rule_entities(spark, sf_dir):
     return D.entity_spans(_base(spark, sf_dir, "documents")[1]).filter(~F.col("ent_label").isin(C.TIME_LABELS))
 
 
+_TOK = L.TOKEN_RE.replace("'", "''")
+_GAZ_SQL = _with_docs(f""",
+b0 AS (SELECT regexp_extract_all(lower(text), '{_TOK}') AS l FROM benchmark),
+p0 AS (SELECT l[1:3] AS w, 'WORK_OF_ART' AS label FROM b0 UNION ALL SELECT l[2:3], 'ORG' FROM b0 UNION ALL SELECT l[3:6], 'GPE' FROM b0
+       UNION ALL SELECT regexp_extract_all(lower(n_name), '{_TOK}'), 'GPE' FROM nation),
+phr AS (SELECT array_to_string(w, ' ') AS phrase, len(w) AS n, min(label) AS label FROM p0 WHERE len(w) > 0 GROUP BY 1, 2),
+lens AS (SELECT DISTINCT n FROM phr),
+low AS (SELECT qid, sent_i, list_transform(l, lambda x: lower(x)) AS l FROM t0),
+at AS (SELECT qid, sent_i, l, unnest(range(len(l))) AS s FROM low),
+gram AS (SELECT qid, sent_i, s, n, array_to_string(l[s + 1:s + n], ' ') AS phrase FROM at, lens WHERE s + n <= len(l)),
+hit AS (SELECT qid, sent_i, s, max(n) AS n, arg_max(phrase, n) AS phrase, arg_max(label, n) AS label
+        FROM gram JOIN phr USING (phrase, n) GROUP BY qid, sent_i, s),
+nx AS (SELECT h.*, k.s AS nexts FROM hit h ASOF LEFT JOIN hit k ON h.qid = k.qid AND h.sent_i = k.sent_i AND h.s + h.n <= k.s),
+chain AS (SELECT nx.* FROM nx JOIN (SELECT qid, sent_i, min(s) AS s FROM hit GROUP BY qid, sent_i) f USING (qid, sent_i, s)
+          UNION ALL SELECT nx.* FROM chain c JOIN nx ON nx.qid = c.qid AND nx.sent_i = c.sent_i AND nx.s = c.nexts)
+SELECT qid, sent_i, s::INTEGER AS start_pos, (s + n)::INTEGER AS end_pos, phrase, label FROM chain""")
+
+
+@register("gazetteer_spans", _GAZ_SQL)
+def gazetteer_spans(spark, sf_dir):
+    """Spans of a phrase table in all documents. The phrases are overlapping pieces of the
+    passages' beginnings and the nations' names, so the leftmost-longest choice acts."""
+    from ..operators import gazetteer as G
+    w = F.regexp_extract_all(F.lower("text"), F.lit(L.TOKEN_RE), 0)
+    pieces = [(1, 3, "WORK_OF_ART"), (2, 2, "ORG"), (3, 4, "GPE")]
+    b = read_table(spark, sf_dir, "benchmark").select(F.explode(F.array(*(
+        F.struct(F.array_join(F.slice(w, i, n), " ").alias("phrase"), F.lit(label).alias("label")) for i, n, label in pieces))).alias("p")).select("p.*")
+    names = read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("phrase"), F.lit("GPE").alias("label"))
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("qid"), F.col("text").alias("query"))
+    s = G.phrase_spans(A.sentences(docs), b.unionByName(names))
+    return s.withColumnRenamed("start", "start_pos").withColumnRenamed("end", "end_pos")
+
+
 @register("rule_time_spans", _with_docs("SELECT qid, ent_id, ent_label, ent_text FROM spans WHERE ent_label IN ('DATE', 'TIME')"))
 def rule_time_spans(spark, sf_dir):
     """Time spans."""
