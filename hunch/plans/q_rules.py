@@ -85,8 +85,8 @@ p0 AS (SELECT l[1:3] AS w, 'WORK_OF_ART' AS label FROM b0 UNION ALL SELECT l[2:3
 phr AS (SELECT array_to_string(w, ' ') AS phrase, len(w) AS n, min(label) AS label FROM p0 WHERE len(w) > 0 GROUP BY 1, 2),
 lens AS (SELECT DISTINCT n FROM phr),
 low AS (SELECT qid, sent_i, list_transform(l, lambda x: lower(x)) AS l FROM t0),
-at AS (SELECT qid, sent_i, l, unnest(range(len(l))) AS s FROM low),
-gram AS (SELECT qid, sent_i, s, n, array_to_string(l[s + 1:s + n], ' ') AS phrase FROM at, lens WHERE s + n <= len(l)),
+spot AS (SELECT qid, sent_i, l, unnest(range(len(l))) AS s FROM low),
+gram AS (SELECT qid, sent_i, s, n, array_to_string(l[s + 1:s + n], ' ') AS phrase FROM spot, lens WHERE s + n <= len(l)),
 hit AS (SELECT qid, sent_i, s, max(n) AS n, arg_max(phrase, n) AS phrase, arg_max(label, n) AS label
         FROM gram JOIN phr USING (phrase, n) GROUP BY qid, sent_i, s),
 nx AS (SELECT h.*, k.s AS nexts FROM hit h ASOF LEFT JOIN hit k ON h.qid = k.qid AND h.sent_i = k.sent_i AND h.s + h.n <= k.s),
