@@ -6,11 +6,13 @@ compressed context around it (zstandard, primed with a dictionary of identifiers
 whether it could be guessed. Ordinary names and paths compress against the context or the
 dictionary; random keys do not, and are reported as ``novel``.
 
-The dictionary holds common code words and the identifiers that most documents of the corpus
-share: of the names beside all candidates, counted over all rows, the ``DICT_WORDS`` found in
-most different contexts; copies of one document count as one context. A string that could
-be a secret never enters it, so a key found in many files is reported in each of them; a
-plain word inside such strings counts once a string, however many contexts that has.
+The dictionary holds common code words and, for each candidate, those of its own words that the
+corpus shares: words found beside candidates in at least ``COMMON`` different contexts or in
+as many different long strings, counted over all rows. Nothing is cut from that list, since a
+candidate meets its words by a join; so names elsewhere in the corpus that a candidate does not
+hold cannot change its result. A string that could be a secret never enters whole, and its words
+count once a string, so a key found in many files is reported in each of them; copies of one
+document count as one context.
 
 Results: one row per row with an id; null text counts as empty and has no spans. Spans are
 code points, end exclusive, ordered by start, then kind (assign, access, hex, novel).
@@ -19,14 +21,16 @@ Repeated rows are scanned alike. Empty table: no rows.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import joins as J
 from . import common as C
 
 # FIXED VALUES: the base patterns, and words that make a context sensitive
@@ -38,9 +42,8 @@ SENSITIVE = re.compile(r"pass(?:word|wd|phrase)?|secret|token|api[_-]?key|auth|b
 # '=' ends a name and belongs to a string only as its trailing padding
 CANDIDATE = re.compile(r"(?=[A-Za-z0-9+/_=-]{16})[A-Za-z0-9+/_-]{14,}(?:={1,2}(?![A-Za-z0-9+/_=-])|(?<=[A-Za-z0-9+/_-]{16}))")
 RUN = re.compile(r"[A-Za-z0-9+/_-]+")
-HUMP = re.compile(r"[A-Z]?[a-z]{4,}")
+WORD = re.compile(r"[A-Z]?[a-z]{4,}|[A-Z]{5,}")
 MIXED = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")  # more than capitals and capitalised words
-NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]{5,}")
 CODE_WORDS = ("password passwd secret token api_key apikey authorization bearer credential private_key public_key access_key "
               "client_id client_secret username localhost example import return function class static const string value "
               "request response header content application default config environment production development database "
@@ -48,8 +51,7 @@ CODE_WORDS = ("password passwd secret token api_key apikey authorization bearer
               "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789").split()
 
 REACH = 80          # code points of context on either side that make a string sensitive and prime the compressor
-DICT_WORDS = 2000   # identifiers of the corpus in the dictionary
-COMMON = 3          # a name found in so many different contexts is an identifier
+COMMON = 3          # a word found in so many different contexts belongs to the corpus
 BITS = 6.0          # compressed bits that a character of a secret adds at least
 
 
@@ -66,22 +68,22 @@ def secret_like(word: str) -> bool:
     return bool(CANDIDATE.search(word) and (MIXED.search(word) or re.search(r"[0-9]", word) and re.search(r"[A-Za-z]", word)))
 
 
-def names(text: str, s: int, e: int) -> list[tuple[str, str | None]]:
-    """Distinct (name, string it is part of) of the candidate ``text[s:e]`` and its context, without strings
-    that the context cuts: whole identifiers (None), and the plain words in strings that could be secrets."""
-    out = {(x, text[s:e].rstrip("=")) for x in HUMP.findall(text, s, e)}
+def words_beside(text: str, s: int, e: int) -> list[tuple[str, str | None]]:
+    """Distinct (word, long string it is part of) of the context of the candidate ``text[s:e]``, without strings
+    that the context cuts; None for words of plain identifiers."""
+    out = set()
     for lo, hi in ((max(0, s - REACH), s), (e, min(len(text), e + REACH))):
         for m in RUN.finditer(text, lo, hi):
             whole = not (m.start() == lo > 0 and RUN.match(text, lo - 1)) and not (m.end() == hi < len(text) and RUN.match(text, hi))
             if whole:
-                run = m.group()
-                out.update([(x, run) for x in HUMP.findall(run)] if secret_like(run) else [(x, None) for x in NAME.findall(run)])
+                of = m.group() if secret_like(m.group()) else None
+                out.update((x, of) for x in WORD.findall(m.group()))
     return sorted(out, key=lambda x: (x[0], x[1] or ""))
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, list[tuple[str, str | None]]]]:
-    """(start, end, string, context, names beside it) of long strings with a letter and a digit or mixed case, outside
-    the base spans, with a sensitive word within REACH."""
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
+    """``s, e, word, context, own`` (its words) ``, beside`` (the context's) of long strings with a letter and a digit
+    or mixed case, outside the base spans, with a sensitive word within REACH."""
     if not SENSITIVE.search(text):
         return []
     out = []
@@ -94,71 +96,86 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             continue
         before, after = text[max(0, s - REACH):s], text[e:e + REACH]
         if SENSITIVE.search(before) or SENSITIVE.search(after):
-            out.append((s, e, word, before + " " + after, names(text, s, e)))
+            out.append({"s": s, "e": e, "word": word, "context": before + " " + after, "own": sorted(set(WORD.findall(word))),
+                        "beside": [{"w": w, "of": of} for w, of in words_beside(text, s, e)]})
     return out
 
 
 class Novelty:
     """Marginal compressed bytes of a string after its context, with a primed dictionary."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self):
         import zstandard as z
-        # the nearest end of a raw dictionary is the cheapest to refer to: the fixed words go last
-        raw = (" ".join([*words, *CODE_WORDS]) + " ").encode()
+        raw = (" ".join(CODE_WORDS) + " ").encode()
         self.z = z.ZstdCompressor(level=19, dict_data=z.ZstdCompressionDict(raw, dict_type=z.DICT_TYPE_RAWCONTENT),
                                   write_checksum=False, write_content_size=False, write_dict_id=False)
 
-    def bits(self, word: str, context: str) -> float:
-        """Added bits a character. Context comes first, so that repeats of it are cheap."""
-        c = context.encode("utf-8", "replace")
+    def bits(self, word: str, context: str, known: list[str]) -> float:
+        """Added bits a character. Its ``known`` words and the context come first, so that repeats of them are cheap."""
+        c = " ".join([*known, context]).encode("utf-8", "replace")
         return 8.0 * (len(self.z.compress(c + b" " + word.encode())) - len(self.z.compress(c))) / len(word)
 
 
+SPANS = "array<struct<s:long,k:int,e:long>>"
+CANDIDATES = "array<struct<s:long,e:long,word:string,context:string,own:array<string>,beside:array<struct<w:string,of:string>>>>"
+
+
 def _scan(docs: DataFrame) -> DataFrame:
-    """``doc_id, base, cand``: base spans and candidates of each row."""
+    """``row, doc_id, base, cand``: base spans and candidates of each row, ``row`` a number of its own."""
     span = pa.struct([("s", pa.int64()), ("k", pa.int32()), ("e", pa.int64())])
-    name = pa.struct([("w", pa.string()), ("of", pa.string())])
-    cand = pa.struct([("s", pa.int64()), ("e", pa.int64()), ("word", pa.string()), ("context", pa.string()), ("names", pa.list_(name))])
+    beside = pa.list_(pa.struct([("w", pa.string()), ("of", pa.string())]))
+    cand = pa.struct([("s", pa.int64()), ("e", pa.int64()), ("word", pa.string()), ("context", pa.string()), ("own", pa.list_(pa.string())), ("beside", beside)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = TaskContext.get().partitionId() << 40
         for b in C.slices(batches, "text"):
             base, cands = [], []
             for t in b.column("text").to_pylist():
                 found = base_spans(t or "")
                 base.append([{"s": s, "k": k, "e": e} for s, k, e in found])
-                cands.append([dict(zip(("s", "e", "word", "context", "names"), (*c[:4], [{"w": w, "of": of} for w, of in c[4]]), strict=True))
-                              for c in candidates(t or "", found)])
-            yield pa.record_batch([b.column("doc_id"), pa.array(base, pa.list_(span)), pa.array(cands, pa.list_(cand))], names=["doc_id", "base", "cand"])
-    return docs.mapInArrow(run, "doc_id long, base array<struct<s:long,k:int,e:long>>, cand array<struct<s:long,e:long,word:string,context:string,names:array<struct<w:string,of:string>>>>")
+                cands.append(candidates(t or "", found))
+            rows, n = np.arange(n, n + b.num_rows), n + b.num_rows
+            yield pa.record_batch([pa.array(rows), b.column("doc_id"), pa.array(base, pa.list_(span)), pa.array(cands, pa.list_(cand))], names=["row", "doc_id", "base", "cand"])
+    return docs.mapInArrow(run, f"row long, doc_id long, base {SPANS}, cand {CANDIDATES}")
+
+
+def _known_words(cands: DataFrame) -> DataFrame:
+    """``row, s, known``: the words of each candidate that COMMON different contexts or long strings of the corpus share."""
+    string = F.rtrim("word", F.lit("="))
+    seen = cands.select("context", F.explode("beside").alias("x")).select(F.col("x.w").alias("w"), F.coalesce("x.of", "context").alias("place")) \
+        .unionByName(cands.select(F.explode("own").alias("w"), string.alias("place")))
+    own = cands.select("row", "s", F.explode("own").alias("w"))
+    shared = C.cut(seen.groupBy("w").agg(F.count_distinct(F.xxhash64("place")).alias("n"), F.count(F.lit(1)).alias("rows")).filter(F.col("n") >= COMMON), "shared")
+    words = shared.select("w")
+    met = own.join(F.broadcast(words), "w") if J.fits_broadcast(words) else \
+        J.salted_join(words, own, "w", shared.filter(F.col("rows") > J.HOT_ROWS).select("w", "rows"), spread_col="row")
+    return met.groupBy("row", "s").agg(F.array_sort(F.collect_set("w")).alias("known"))
+
+
+def _novel(cands: DataFrame) -> DataFrame:
+    """``row, novel``: the novel spans of the rows that have some."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        novelty = Novelty()
+        for b in batches:
+            new = [novelty.bits(w, c, k or []) >= BITS for w, c, k in zip(*(b.column(x).to_pylist() for x in ("word", "context", "known")), strict=True)]
+            yield pa.record_batch([b.column(x) for x in ("row", "s", "e")], names=["row", "s", "e"]).filter(pa.array(new, pa.bool_()))
+    found = cands.join(_known_words(cands), ["row", "s"], "left").select("row", "s", "e", "word", "context", "known")
+    return found.mapInArrow(run, "row long, s long, e long").groupBy("row").agg(
+        F.collect_list(F.struct("s", F.lit(len(KINDS) - 1).alias("k"), "e")).alias("novel"))
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans``."""
-    spark = docs.sparkSession
     found = C.cut(_scan(C.id_text(docs)), "secrets")
-    # the corpus's own identifiers: names that several sensitive places, or words that several long strings, share
-    words = found.select(F.explode("cand").alias("c")).select("c.context", F.explode("c.names").alias("x")) \
-        .select(F.col("x.w").alias("w"), F.coalesce("x.of", "context").alias("place"))
-    shared = words.groupBy("w").agg(F.count_distinct(F.xxhash64("place")).alias("n")).filter(F.col("n") >= COMMON) \
-        .orderBy(F.desc("n"), "w").limit(DICT_WORDS)
-    dictionary = [r["w"] for r in shared.select(F.substring("w", 1, 100).alias("w")).collect()]
-    known = spark.sparkContext.broadcast(dictionary)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        novelty = Novelty(known.value[::-1])  # the most frequent nearest
-        for b in batches:
-            if not b.num_rows:
-                continue
-            out = {k: [] for k in ("n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans")}
-            for base, cand in zip(b.column("base").to_pylist(), b.column("cand").to_pylist(), strict=True):
-                spans = [(x["s"], x["k"], x["e"]) for x in base]
-                show = lambda xs: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in xs)
-                more = [(c["s"], 3, c["e"]) for c in cand if novelty.bits(c["word"], c["context"]) >= BITS]
-                for k, name in enumerate(("n_assign", "n_access", "n_hex")):
-                    out[name].append(sum(x[1] == k for x in spans))
-                out["n_novel"].append(len(more))
-                out["base_sha256"].append(hashlib.sha256(show(spans).encode()).hexdigest())
-                out["spans"].append(show(sorted(spans + more)))
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2
-            yield pa.record_batch([b.column("doc_id"), *(pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True))], names=["doc_id", *out])
-    return found.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string")
+    cands = found.select("row", F.explode("cand").alias("c")).select("row", "c.*")
+    rows = found.select("row", "doc_id", "base").join(_novel(cands), "row", "left")
+
+    def show(spans):
+        return F.array_join(F.transform(F.array_sort(F.transform(spans, lambda x: F.struct(x["s"], x["k"], x["e"]))), lambda x: F.concat_ws(
+            ":", F.element_at(F.array(*map(F.lit, KINDS)), x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
+
+    def count(k):
+        return F.size(F.filter("base", lambda x: x["k"] == k)).cast("long")
+    novel = F.coalesce("novel", F.array().cast(SPANS))
+    return rows.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.size(novel).cast("long").alias("n_novel"),
+                       F.sha2(show(F.col("base")), 256).alias("base_sha256"), show(F.concat("base", novel)).alias("spans"))

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from hunch.llm import ann as A
@@ -99,6 +100,49 @@ def test_secrets_key_value_lines(spark):
     assert not any(S.secret_like(w) for w in words) and all(S.secret_like(w) for w in (key, mixed, padded, padded[:-1]))
 
 
+def _secret_texts():
+    key, name = "4Fz9Qk2LmX8vTr1Bn6Yc3Hd7", "SettlementLedgerReconcile7Gateway"
+    texts = [(i, f"{U.words(12, i)} the auth header of part {i} is {key} here") for i in range(3)]
+    texts += [(10 + i, f"{U.words(12, 20 + i)} secret of {name}{'XYZ'[i % 3]}{i} Settlement ledger") for i in range(5)]
+    return [*texts, (20, f"auth Q7{name}xP private MARKETPLACE_EU_1234 MARKETPLACE"), (20, f"auth {key}"), (21, None), (None, f"auth {key}")]
+
+
+def _novel_spans(texts):
+    """The novel spans of each row in plain Python."""
+    found = [(i, c) for i, t in texts if i is not None for c in S.candidates(t or "", S.base_spans(t or ""))]
+    places = {}
+    for _, c in found:
+        for x in c["beside"]:
+            places.setdefault(x["w"], set()).add(x["of"] or c["context"])
+        for w in c["own"]:
+            places.setdefault(w, set()).add(c["word"].rstrip("="))
+    n = S.Novelty()
+    return sorted((i, c["s"], c["e"]) for i, c in found
+                  if n.bits(c["word"], c["context"], [w for w in c["own"] if len(places[w]) >= S.COMMON]) >= S.BITS)
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_secrets_novel_spans_equal_plain_computation(spark, monkeypatch, bound):
+    C.ship(spark)
+    if bound is not None:  # the shared words no longer fit a broadcast, and all are hot
+        monkeypatch.setattr(S.J, "BROADCAST_MAX_ROWS", 0)
+        monkeypatch.setattr(S.J, "HOT_ROWS", 2)
+    texts = _secret_texts()
+    got = sorted((r["doc_id"], *map(int, x.split(":")[1:])) for r in S.scan_secrets(U.docs(spark, texts).repartition(5)).collect()
+                 for x in r["spans"].split(",") if x.startswith("novel"))
+    assert got == _novel_spans(texts) and {0, 1, 2} <= {x[0] for x in got}
+
+
+def test_secrets_other_names_change_nothing(spark):
+    C.ship(spark)
+    texts = _secret_texts()
+    own = sorted((r["doc_id"], r["spans"]) for r in S.scan_secrets(U.docs(spark, texts[:-2])).collect())
+    letters = "abcdefghij"
+    more = [(1000 + 4 * i + k, f"{U.words(9, i)} token {k} service{''.join(letters[int(x)] for x in f'{i:04d}')} then Kd8{k}Qz{i:04d}Lm3Wx9 end") for i in range(3000) for k in range(4)]
+    got = sorted((r["doc_id"], r["spans"]) for r in S.scan_secrets(U.docs(spark, texts[:-2] + more)).filter("doc_id < 1000").collect())
+    assert got == own and sum("novel" in x for _, x in got) >= 3
+
+
 def test_viterbi_matches_all_paths():
     r = np.random.default_rng(4)
     for _ in range(60):
