@@ -165,8 +165,7 @@ def components_flow(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir, "flow")
     if key not in _MEMO:
         topics, _, comps = components(spark, sf_dir)
-        idx = X.load_index(spark, sf_dir)
-        _MEMO[key] = S.search(topics, idx, S.COMPONENTS, decomp=comps.join(topics, "qid"))
+        _MEMO[key] = S.search(topics, lambda: X.load_index(spark, sf_dir), S.COMPONENTS, decomp=comps.join(topics, "qid"))
     return _MEMO[key]
 
 

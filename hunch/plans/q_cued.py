@@ -58,7 +58,7 @@ def _rules(spark, sf_dir):
 def _flow(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MEMO:
-        _MEMO[key] = S.search(cued_topics(spark, sf_dir), X.load_index(spark, sf_dir), S.MAIN)
+        _MEMO[key] = S.search(cued_topics(spark, sf_dir), lambda: X.load_index(spark, sf_dir), S.MAIN)
     return _MEMO[key]
 
 

@@ -27,8 +27,7 @@ def main_flow(spark, sf_dir, fl: S.Flavour = S.MAIN):
     reading its parts do not decompose and score twice."""
     key = (spark.sparkContext.applicationId, sf_dir, repr(fl))
     if key not in _MEMO:
-        idx = X.load_index(spark, sf_dir)
-        _MEMO[key] = S.search(benchmark_topics(spark, sf_dir), idx, fl)
+        _MEMO[key] = S.search(benchmark_topics(spark, sf_dir), lambda: X.load_index(spark, sf_dir), fl)
     return _MEMO[key]
 
 

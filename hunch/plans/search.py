@@ -8,6 +8,7 @@ searches per question become two shuffles (score aggregate, fusion).
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -111,19 +112,58 @@ def ranked_lists(lists: DataFrame, idx: Index, fl: Flavour, decomp: DataFrame |
         w.select("qid", "sub_ord", "docid", "score", "rank"))
 
 
-def search(topics: DataFrame, idx: Index, fl: Flavour = MAIN, decomp: DataFrame | None = None) -> dict:
-    """Returns ``{'decomposition', 'lists', 'hits', 'fused', 'results'}``.
+def search(topics: DataFrame, idx: Index | Callable[[], Index], fl: Flavour = MAIN, decomp: DataFrame | None = None) -> Flow:
+    """Returns ``{'decomposition', 'lists', 'hits', 'fused', 'results'}`` (see ``Flow``).
 
     ``decomp`` swaps the decomposer: pass any table with ``qid, query, entities, time,
     descriptions, media_type[, attributes]``."""
-    if decomp is None:
-        decomp = rule_decomposition(topics, fl.trim_mode)
-    decomp = with_norm(decomp, fl.escape_mode)
-    # Each stage below is read more than once (a size check, then the join; several
-    # consumers of the hits and of the fused lists), so it is written once to the
-    # shared folder instead of being recomputed from the decomposition each time.
-    lists = cut_lineage(list_table(decomp, fl), "lists")
-    hits = cut_lineage(ranked_lists(lists, idx, fl, decomp), "hits")
-    fused = cut_lineage(U.rrf(hits.select("qid", "sub_ord", "docid", "rank"), fl.rrf_c, fl.fused_depth), "fused")
-    results = P.render(fused, idx.corpus, topics)
-    return {"decomposition": decomp, "lists": lists, "hits": hits, "fused": fused, "results": results}
+    return Flow(topics, idx, fl, decomp)
+
+
+class Flow(Mapping):
+    """The parts of a flow by name, each made when it is first asked for, from those before it.
+
+    A part is read more than once (a size check, then the join; several consumers of the
+    hits and of the fused lists), so it is written once to the shared folder instead of being
+    recomputed from the decomposition each time. A reader of the lists pays neither for
+    the index (``idx`` may be a function that opens it) nor for the scores."""
+
+    NAMES = ("decomposition", "lists", "hits", "fused", "results")
+
+    def __init__(self, topics: DataFrame, idx: Index | Callable[[], Index], fl: Flavour, decomp: DataFrame | None):
+        self._topics, self._idx, self._fl, self._decomp, self._parts = topics, idx, fl, decomp, {}
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        if name not in self._parts:
+            self._parts[name] = getattr(self, f"_{name}")()
+        return self._parts[name]
+
+    def _index(self) -> Index:
+        if not isinstance(self._idx, Index):
+            self._idx = self._idx()
+        return self._idx
+
+    def _decomposition(self) -> DataFrame:
+        d = rule_decomposition(self._topics, self._fl.trim_mode) if self._decomp is None else self._decomp
+        return with_norm(d, self._fl.escape_mode)
+
+    def _lists(self) -> DataFrame:
+        return cut_lineage(list_table(self["decomposition"], self._fl), "lists")
+
+    def _hits(self) -> DataFrame:
+        return cut_lineage(ranked_lists(self["lists"], self._index(), self._fl, self["decomposition"]), "hits")
+
+    def _fused(self) -> DataFrame:
+        hits = self["hits"].select("qid", "sub_ord", "docid", "rank")
+        return cut_lineage(U.rrf(hits, self._fl.rrf_c, self._fl.fused_depth), "fused")
+
+    def _results(self) -> DataFrame:
+        return P.render(self["fused"], self._index().corpus, self._topics)
