@@ -11,10 +11,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,28 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import Scope, cut_lineage, fresh_path, shared_dir  # noqa: F401
+from ..session import Scope, cut_lineage, fresh_path, shared_dir, ship  # noqa: F401
 
 U64 = np.uint64
 
 
-def ship(spark: SparkSession) -> None:
-    """Hand this package to the Python workers, once a context (Spark distributes the file)."""
-    sc = spark.sparkContext
-    if getattr(sc, "_hunch_shipped", False):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="hunch-zip-"), "hunch.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, files in os.walk(top):
-            for f in sorted(files):
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(path)
-    sc._hunch_shipped = True
-
-
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (survives lost executors)."""
     return cut_lineage(df, f"llm-{label}")

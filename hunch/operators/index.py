@@ -11,6 +11,8 @@ Layout, chosen for a corpus far larger than any one machine:
   occurs in every document is spread over all buckets. Scores and phrases are computed within
   the buckets: with the query terms broadcast only the k best of each bucket move. A search
   reads the directories of its terms only; ``positions`` (sorted) is read by phrases only.
+* ``repeated(docid)`` — ids that several rows have, and the null id. Rows of other ids are one document
+  each, so a task can count and score them row by row.
 * ``term_stats(term, df, cf)`` — ``groupBy(term)`` with map-side combine.
 * ``stems(term, stem)`` — with a stemmer: the stems of the distinct terms, computed once a term.
 * ``vectors(docid, vector)`` — on demand, grouped within the buckets of ``postings``.
@@ -26,20 +28,24 @@ import hashlib
 import json
 import threading
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import text as T
-from ..session import app_scratch, remove_path
+from ..session import app_scratch, remove_path, ship
 from . import joins as J
 from . import stem as S
 
-FORMAT = 3       # of the tables below a path
+FORMAT = 4       # of the tables below a path
 TERM_PARTS = 16  # directories of the postings, by term hash
+SLICE_TOKENS = 1 << 20  # tokens that a task counts at once (a longer document alone)
 
 
 class IndexMismatch(ValueError):
@@ -84,6 +90,64 @@ def postings(tokens: DataFrame, stems: DataFrame | None = None, buckets: int | N
     return each.groupBy("term", "docid", "dl").agg(at).select("term", "docid", F.size("positions").cast("bigint").alias("tf"), "dl", "positions")
 
 
+def repeated_ids(tokens: DataFrame) -> DataFrame:
+    """``(docid)`` of more than one row, and the null id."""
+    return tokens.groupBy("docid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR docid IS NULL").select("docid")
+
+
+def only(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``df`` rows whose ``docid``, null included, is (``left_semi``) or is not (``left_anti``) among ``ids``."""
+    r = ids.select(F.col("docid").alias("_id"))
+    return df.join(F.broadcast(r) if J.fits_broadcast(r) else r, F.col("docid").eqNullSafe(F.col("_id")), how)
+
+
+def token_slices(batches: Iterator[pa.RecordBatch], tokens: int) -> Iterator[tuple]:
+    """``(slice, row of each token, first token of each row, tokens)`` of batches with a column ``toks``; a
+    slice has about ``tokens`` tokens, one row at least."""
+    for b in batches:
+        total = np.cumsum(np.asarray(b.column("toks").value_lengths(), np.int64))
+        i = 0
+        while i < b.num_rows:
+            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + tokens, "right")))
+            s = b.slice(i, j - i)
+            n = np.asarray(s.column("toks").value_lengths(), np.int64)
+            yield s, np.repeat(np.arange(len(n)), n), np.cumsum(n) - n, s.column("toks").flatten()
+            i = j
+
+
+def row_postings(tokens: DataFrame) -> DataFrame:
+    """``postings`` of documents of one row each: a row's tokens are counted in that row's task, by a sort
+    of term numbers in place of one of all (term, document, position) rows."""
+    ship(tokens.sparkSession)
+    size = SLICE_TOKENS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, row, first, toks in token_slices(batches, size):
+            words = toks.dictionary_encode()
+            code = np.asarray(words.indices, np.int64)
+            key = row * max(1, len(words.dictionary)) + code
+            order = np.argsort(key, kind="stable")
+            new = np.ones(len(key), bool)
+            new[1:] = np.diff(key[order]) != 0
+            at = np.flatnonzero(new)
+            head, ends = order[at], np.append(at, len(key))
+            pos = (np.arange(len(key)) - first[row])[order].astype(np.int32)
+            doc = pa.array(row[head])
+            yield pa.record_batch([words.dictionary.take(pa.array(code[head])), b.column("docid").take(doc), pa.array(np.diff(ends)),
+                                   b.column("dl").take(doc), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(pos))],
+                                  names=["term", "docid", "tf", "dl", "positions"])
+    return tokens.select("docid", "dl", "toks").mapInArrow(run, "term string, docid string, tf bigint, dl bigint, positions array<int>")
+
+
+def all_postings(tokens: DataFrame, repeated: DataFrame, stems: DataFrame | None, buckets: int) -> DataFrame:
+    """``postings``, by the row where neither stems nor repeated ids ask for groups over several rows."""
+    if stems is not None or not J.fits_broadcast(repeated):
+        return postings(tokens, stems, buckets)
+    if repeated.isEmpty():
+        return row_postings(tokens)
+    return row_postings(only(tokens, repeated, "left_anti")).unionByName(postings(only(tokens, repeated, "left_semi")))
+
+
 def term_stats(post: DataFrame) -> DataFrame:
     """I03 vocabulary ``(term, df, cf)``."""
     return post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf"))
@@ -115,6 +179,8 @@ class Index:
     stemmer: str = "none"
     parts: int = TERM_PARTS
     fingerprint: str = ""
+    tokens: DataFrame | None = None
+    repeated: DataFrame | None = None
 
     def of_terms(self, parts: list[int] | None) -> DataFrame:
         """The postings in the given directories (None: all); a filter on the partition column, which
@@ -225,7 +291,8 @@ def open_index(spark: SparkSession, path: str, expected: str | None = None) -> I
     tokens = _table(spark, path, "tokens", TOKENS_SCHEMA, n, fp)
     return Index(corpus=spark.read.parquet(f"{path}/docs"), postings=_table(spark, path, "postings", POSTINGS_SCHEMA, n, fp, "term", "part"),
                  term_stats=spark.read.parquet(f"{path}/term_stats"), doc_stats=tokens.select("docid", "dl"),
-                 n_docs=int(row["n_docs"]), avg_dl=float(row["avg_dl"] or 0.0), path=path, stemmer=row["stemmer"], parts=int(row["parts"]), fingerprint=fp)
+                 n_docs=int(row["n_docs"]), avg_dl=float(row["avg_dl"] or 0.0), path=path, stemmer=row["stemmer"], parts=int(row["parts"]), fingerprint=fp,
+                 tokens=tokens, repeated=spark.read.parquet(f"{path}/repeated"))
 
 
 def drop_index(spark: SparkSession, path: str) -> None:
@@ -265,7 +332,8 @@ def build_index(spark: SparkSession, corpus: DataFrame, path: str, stop=C.INDEX_
     if stemmer != "none":
         S.stem_vocabulary(tokens.select(F.explode("toks").alias("term")).distinct(), stemmer).write.mode("overwrite").parquet(f"{path}/stems")
         stems = spark.read.parquet(f"{path}/stems")
-    placed = postings(tokens, stems, n).withColumn("part", part_of("term", TERM_PARTS))
+    repeated_ids(tokens).write.mode("overwrite").parquet(f"{path}/repeated")
+    placed = all_postings(tokens, spark.read.parquet(f"{path}/repeated"), stems, n).withColumn("part", part_of("term", TERM_PARTS))
     _write_buckets(placed, path, "postings", n, "term", "part")
     post = _table(spark, path, "postings", POSTINGS_SCHEMA, n, fp, "term", "part")
     term_stats(post).write.mode("overwrite").parquet(f"{path}/term_stats")

@@ -79,23 +79,10 @@ def list_table(decomp: DataFrame, fl: Flavour) -> DataFrame:
     return w.unionByName(D.subqueries(decomp, with_attributes=fl.with_attributes))
 
 
-def bag_scores(lists: DataFrame, idx: Index) -> DataFrame:
-    """Raw BM25 scores of every list, the boosted list (0) included.
-
-    List 0's text is the normalised query (list 1) followed by the boosted extras, and
-    BM25 is additive over query terms, so list 0 = list 1 + extras. Only the extras are
-    joined against the postings; the normalised terms — most of every question — are
-    joined once instead of twice."""
-    qt = R.query_terms(lists, stemmer=idx.stemmer)
-    w = qt.filter(F.col("sub_ord") == 0)
-    n = qt.filter(F.col("sub_ord") == 1).select("qid", "term", F.col("qtf").alias("_n"))
-    extra = w.join(n, ["qid", "term"], "left") \
-        .select("qid", F.lit(-1).alias("sub_ord"), "term", (F.col("qtf") - F.coalesce("_n", F.lit(0.0))).alias("qtf")) \
-        .filter(F.col("qtf") > 0)
-    raw = R.score_bm25(qt.filter(F.col("sub_ord") > 0).unionByName(extra), idx)
-    weighted = raw.filter(F.col("sub_ord").isin(1, -1)).groupBy("qid", "docid") \
-        .agg(F.sum("score").alias("score")).select("qid", F.lit(0).alias("sub_ord"), "docid", "score")
-    return raw.filter(F.col("sub_ord") > 0).unionByName(weighted)
+def bag_scores(lists: DataFrame, idx: Index, k: int) -> DataFrame:
+    """BM25 scores of every list, the boosted list (0) included, of all documents that can be among the
+    ``k`` best: the lists of all questions are scored in one pass over the documents."""
+    return R.best_hits(R.query_terms(lists, stemmer=idx.stemmer), idx, k)
 
 
 def ranked_lists(lists: DataFrame, idx: Index, fl: Flavour, decomp: DataFrame | None = None) -> DataFrame:
@@ -104,7 +91,8 @@ def ranked_lists(lists: DataFrame, idx: Index, fl: Flavour, decomp: DataFrame |
     phrases."""
     depth = F.when(F.col("sub_ord") == 0, F.lit(fl.weighted_depth)).otherwise(F.lit(fl.subquery_depth))
     if fl.weighted_mode == "bag":
-        return R.top_k(bag_scores(lists, idx), max(fl.weighted_depth, fl.subquery_depth), depth=depth)
+        k = max(fl.weighted_depth, fl.subquery_depth)
+        return R.top_k(bag_scores(lists, idx, k), k, depth=depth)
     from . import phrase
     subs = R.bm25_search(lists.filter(F.col("sub_ord") > 0), idx, k=fl.subquery_depth)
     w = phrase.boosted_phrase_hits(decomp, idx, fl.weighted_depth).withColumn("sub_ord", F.lit(0))
