@@ -40,8 +40,10 @@ from . import common as C
 U64 = np.uint64
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
 #: Largest multiple of its members that a key's untested pairs may reach before its sets are
-#: left to ``_crowds``; counters of the element-frequency sketch that orders elements there.
+#: left to ``_crowds``; counters of the element-frequency sketch that orders elements there; bits that tell
+#: which elements more than one set shows, and in how many slices they are counted.
 CROSS_PER_MEMBER, SKETCH = 1, 1 << 20
+SHOWN, SLICES = 1 << 26, 64
 
 
 
@@ -193,7 +195,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 
 def _keys(reps: DataFrame, k: int, plan: dict) -> DataFrame:
     """``(key, doc, head, salt, n)``: keys of ``reps(doc_id, text)``. Within a batch the members
-    of a key hang below its smallest one (``head``); only heads are dealt by key, so a key held
+    of a key hang below its smallest one (``head``, 0 in the smallest one's own row); only heads are dealt by key, so a key held
     by a third of all sets arrives once a batch. The others get a salt of their own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = _hasher(), set()
@@ -226,7 +228,7 @@ def _keys(reps: DataFrame, k: int, plan: dict) -> DataFrame:
             n = np.diff(off)[row]
             for i in range(0, len(d), 1 << 16):
                 j = slice(i, i + (1 << 16))
-                yield pa.record_batch([pa.array(key[j].view(np.int64)), pa.array(d[j]), pa.array(head[j]),
+                yield pa.record_batch([pa.array(key[j].view(np.int64)), pa.array(d[j]), pa.array(np.where(new[j], 0, head[j])),
                                        pa.array(np.where(new[j], 0, d[j] | 1)), pa.array(n[j].astype(np.int32)),
                                        pa.array(~alone[j])], names=["key", "doc", "head", "salt", "n", "shared"])
     return reps.mapInArrow(run, "key long, doc long, head long, salt long, n int, shared boolean")
@@ -374,7 +376,8 @@ def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: in
     one among the first H / 2 + 1 of the smaller and (|Dy| - |Dx| + H) / 2 + 1 of the larger. (If
     none need be shared, |Dx| + |Dy| <= H, both link with the centre; such pairs are left out, since
     their links to it connect them already.) Elements are ordered
-    by a frequency sketch of fixed size, rare ones first."""
+    by a frequency sketch of fixed size, rare ones first. An element that only one set has among its first
+    ones meets nothing, so no row is made for it; most elements of unrelated sets are such."""
     spark = docs.sparkSession
     first = crowd.groupBy("key").agg(F.min("doc").alias("b"))
     joined = C.components(crowd.join(first, "key").select(F.col("doc").alias("a"), "b").filter("a <> b").distinct())
@@ -409,15 +412,46 @@ def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: in
     sketch[np.asarray(seen["slot"])] = np.asarray(seen["c"])
     shared = spark.sparkContext.broadcast(sketch)
 
+    def leading(n: int, d: np.ndarray) -> np.ndarray:
+        f = shared.value[(d % U64(SKETCH)).astype(np.int64)]
+        return np.lexsort((d, f))[:(den - num) * n // num + 1]
+
+    def slots(d: np.ndarray) -> np.ndarray:
+        return (d % U64(SHOWN)).astype(np.int64)
+
+    def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = SHOWN // SLICES
+        for t in batches:
+            each = [slots(d[leading(n, d)]) for n, d in zip(t.column("n").to_pylist(), (np.frombuffer(x.as_buffer(), U64) for x in t.column("d")), strict=True)]
+            e = np.sort(np.concatenate(each)) if each else np.zeros(0, np.int64)
+            ends = np.searchsorted(e, np.arange(SLICES + 1) * wide).tolist()
+            yield pa.record_batch([pa.array(np.arange(SLICES)), pa.array([e[i:j].astype(np.uint32).tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
+                                  names=["slice", "slots"])
+        C.give_back()
+
+    def twice(t: pa.Table) -> pa.Table:
+        wide, bits = SHOWN // SLICES, np.zeros(SHOWN // SLICES, bool)
+        e = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for c in t.column("slots").chunks for x in c]))
+        bits[e[1:][e[1:] == e[:-1]] % wide] = True
+        return pa.table({"slice": t.column("slice").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+    found = apart.select("n", "d").mapInArrow(show, "slice long, slots binary").groupBy("slice").applyInArrow(twice, "slice long, bits binary").toArrow()  # SHOWN bits
+    bits = np.zeros(SHOWN // 8, np.uint8)
+    for i, x in zip(found.column("slice").to_pylist(), found.column("bits").to_pylist(), strict=True):
+        bits[i * len(x):(i + 1) * len(x)] = np.frombuffer(x, np.uint8)
+    several = spark.sparkContext.broadcast(bits)
+
     def prefix(batches: Iterator[pa.RecordBatch], far=None) -> Iterator[pa.RecordBatch]:
-        often, met = shared.value, None if far is None else far.value
+        often, met = several.value, None if far is None else far.value
         for t in batches:
             cols = [[] for _ in range(7)]
             for doc, c, n, near, x in zip(*(t.column(i).to_pylist() for i in ("doc", "centre", "n", "near")), t.column("d"), strict=True):
                 d = np.frombuffer(x.as_buffer(), U64)
-                f = often[(d % U64(SKETCH)).astype(np.int64)]
-                first = np.lexsort((d, f))[:(den - num) * n // num + 1]
-                pos = np.arange(len(first)) if met is None else np.flatnonzero(met[(d[first] % U64(SKETCH)).astype(np.int64)])
+                first = leading(n, d)
+                at = slots(d[first])
+                ok = (often[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+                if met is not None:
+                    ok &= met[(d[first] % U64(SKETCH)).astype(np.int64)]
+                pos = np.flatnonzero(ok)
                 for col, v in zip(cols, (doc, c, n, int(near), len(d)), strict=False):
                     col.append(np.full(len(pos), v, np.int64))
                 cols[5].append(pos)
@@ -428,9 +462,9 @@ def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: in
     schema = "doc long, centre long, n long, near long, size long, pos long, el long"
     far = C.cut(apart.filter("NOT near").mapInArrow(prefix, schema), "far")
     # near sets meet far ones only: they show what a far set has shown (a bit for each slot)
-    slots = np.zeros(SKETCH, bool)
-    slots[np.asarray(far.select(F.expr(f"el & {SKETCH - 1}").alias("slot")).distinct().toArrow()["slot"])] = True
-    shown = spark.sparkContext.broadcast(slots)
+    by_far = np.zeros(SKETCH, bool)
+    by_far[np.asarray(far.select(F.expr(f"el & {SKETCH - 1}").alias("slot")).distinct().toArrow()["slot"])] = True
+    shown = spark.sparkContext.broadcast(by_far)
     close = C.cut(apart.filter("near").mapInArrow(lambda batches: prefix(batches, shown), schema), "close")
     # sets far from the centre meet all others; near ones never meet each other
     side = lambda q, z: q.select("centre", "el", *(F.col(c).alias(c + z) for c in ("doc", "n", "near", "size", "pos")))

@@ -75,3 +75,21 @@ def test_bands_hold_every_linkable_pair():
             m, q, x = J.allocate(lo, t, 1000, num, den)
             assert m >= 1 and 0 <= q <= m and x >= 0 and m + q - x == (den - num) * t // num + 1
             lo = t + 1
+
+
+def test_crowds_make_no_rows_for_elements_of_one_set(spark, monkeypatch):
+    """Unrelated texts under common boilerplate: what only one of them has is not dealt out."""
+    monkeypatch.setattr(J, "CROSS_PER_MEMBER", 0)
+    made, cut = {}, J.C.cut
+
+    def counted(df, label):
+        out = cut(df, label)
+        made[label] = made.get(label, 0) + (out.count() if label in ("far", "crowd") else 0)
+        return out
+    monkeypatch.setattr(J.C, "cut", counted)
+    common = " ".join(f"licence{i}" for i in range(120))
+    rows = [(d, common + " " + " ".join(f"own{d}x{i}" for i in range(60))) for d in range(40)]
+    rows += [(100, rows[7][1] + " more"), (101, rows[7][1].replace("own7x30", "other"))]
+    found = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k=5).collect()}
+    assert found == {**{d: d for d in range(40)}, 100: 7, 101: 7}
+    assert made["crowd"] > 40 and made["far"] < 200  # all first elements would be about a fifth of a set for each
