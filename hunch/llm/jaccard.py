@@ -10,9 +10,9 @@ deletions a band gets is a cost model over the band's document count (``allocate
 A set indexes under its own band and the band below, so a pair always meets in the band of
 its smaller set. Equal sets meet as one node. Inside a key every member is compared with
 one pivot (a star, not all pairs); links that a star can miss, between members that are not
-yet connected, are compared in ``_cross`` when they are few for their key. Sets under a key
-with many such pairs (thousands of variants of one text, or boilerplate that fills whole
-segments) are compared by ``_crowds`` instead: in each crowd a set is written as its
+yet connected, are compared in ``_cross`` when they are few for their key; counts of their shingles by class rule most of them
+out before any set is moved (``plausible``). Sets under a key with many such pairs (thousands of
+variants of one text, or boilerplate that fills whole segments) are compared by ``_crowds`` instead: in each crowd a set is written as its
 difference from one central set, and since two sets differ exactly as much as their
 differences do, only pairs that share one of the rarest elements of these can link. Every
 candidate is verified on the full shingle sets.
@@ -41,9 +41,10 @@ U64 = np.uint64
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
 #: Largest multiple of its members that a key's untested pairs may reach before its sets are
 #: left to ``_crowds``; counters of the element-frequency sketch that orders elements there; bits that tell
-#: which elements more than one set shows, and in how many slices they are counted.
-CROSS_PER_MEMBER, SKETCH = 1, 1 << 20
+#: which elements more than one set shows, and in how many slices they are counted; counters of a set's ``bins``.
+CROSS_PER_MEMBER, SKETCH = 8, 1 << 20
 SHOWN, SLICES = 1 << 26, 64
+BINS = 512
 
 
 
@@ -246,16 +247,35 @@ def _meetings(keys: DataFrame) -> DataFrame:
 # ---- verification -----------------------------------------------------------------------
 
 def _candidate_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """``(doc, s)``: the shingle sets, as bytes, of the documents in ``ids(doc)``."""
+    """``(doc, n, bins, s)``: the documents in ``ids(doc)`` with their shingle sets, as bytes, the sizes of these, and
+    how many shingles fall into each of BINS classes (at most 255 are told)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _hasher()
         for c in C.slices(batches, "text"):
             s, off = shingle_sets(hasher, C.utf8(c.column("text")), k)
-            raw = s.tobytes()
-            yield pa.record_batch([c.column("doc_id"), pa.array([raw[8 * i:8 * j] for i, j in zip(off[:-1].tolist(), off[1:].tolist())], pa.binary())],
-                                  names=["doc", "s"])
+            raw, at = s.tobytes(), (s % U64(BINS)).astype(np.int64)
+            ends = list(zip(off[:-1].tolist(), off[1:].tolist(), strict=True))
+            bins = [np.minimum(np.bincount(at[i:j], minlength=BINS), 255).astype(np.uint8).tobytes() for i, j in ends]
+            yield pa.record_batch([c.column("doc_id"), pa.array(np.diff(off)), pa.array(bins, pa.binary()), pa.array([raw[8 * i:8 * j] for i, j in ends], pa.binary())],
+                                  names=["doc", "n", "bins", "s"])
     ids = C.cut(ids.select(F.col("doc").alias("doc_id")).distinct(), "ids")
-    return C.semi(docs, ids, "doc_id").mapInArrow(run, "doc long, s binary")
+    return C.semi(docs, ids, "doc_id").mapInArrow(run, "doc long, n long, bins binary, s binary")
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs ``(a, b)`` that can link by their ``bins``: these differ in no more than the sets do, and linked sets
+    differ in at most (den - num) / (den + num) of both sizes. No link is lost; sets are not moved."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            for at in range(0, t.num_rows, 1 << 12):
+                c = t.slice(at, 1 << 12)
+                u, v = (np.frombuffer(b"".join(c.column(x).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for x in ("ba", "bb"))
+                m = pa.array((den + num) * np.abs(u - v).sum(1, dtype=np.int64) <= (den - num) * np.asarray(c.column("n")))
+                yield pa.record_batch([c.column("a").filter(m), c.column("b").filter(m)], names=["a", "b"])
+        C.give_back()
+    j = pairs.join(sets.select(F.col("doc").alias("a"), F.col("bins").alias("ba"), F.col("n").alias("na")), "a") \
+        .join(sets.select(F.col("doc").alias("b"), F.col("bins").alias("bb"), F.col("n").alias("nb")), "b")
+    return j.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "ba", "bb").mapInArrow(run, "a long, b long").distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -364,6 +384,7 @@ def _search(docs: DataFrame, met: DataFrame, links: DataFrame, k: int, num: int,
         pairs = pairs.unionByName(_apart(_crowds(docs, crowd, links, k, num, den), comp))
     pairs = C.cut(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "cross")
     vecs = C.cut(_candidate_sets(docs, pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))), k), "vecs")
+    pairs = C.cut(plausible(pairs, vecs, num, den), "plausible")
     return links.unionByName(C.cut(verify(pairs, vecs, num, den), "links"))
 
 
@@ -405,11 +426,17 @@ def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: in
         for t in batches:
             for x in t.column("d"):
                 np.add.at(total, (np.frombuffer(x.as_buffer(), U64) % U64(SKETCH)).astype(np.int64), 1)
-        some = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["slot", "c"])
-    seen = apart.select("d").mapInArrow(count, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()  # SKETCH rows at most
-    sketch = np.zeros(SKETCH, np.int64)
-    sketch[np.asarray(seen["slot"])] = np.asarray(seen["c"])
+        yield pa.record_batch([pa.array(np.arange(SLICES)), pa.array([x.tobytes() for x in total.reshape(SLICES, -1)], pa.binary())], names=["slice", "c"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_buffer(), np.int64) for c in t.column("c").chunks for x in c)
+        return pa.table({"slice": t.column("slice").slice(0, 1), "c": pa.array([total.tobytes()], pa.binary())})
+    # a task hands on SLICES rows, however many elements it has read
+    seen = apart.select("d").mapInArrow(count, "slice long, c binary").groupBy("slice").applyInArrow(add, "slice long, c binary").toArrow()  # SKETCH counters
+    sketch = np.zeros((SLICES, SKETCH // SLICES), np.int64)
+    for i, x in zip(seen["slice"].to_pylist(), seen["c"].to_pylist(), strict=True):
+        sketch[i] = np.frombuffer(x, np.int64)
+    sketch = sketch.reshape(-1)
     shared = spark.sparkContext.broadcast(sketch)
 
     def leading(n: int, d: np.ndarray) -> np.ndarray:

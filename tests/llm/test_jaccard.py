@@ -93,3 +93,30 @@ def test_crowds_make_no_rows_for_elements_of_one_set(spark, monkeypatch):
     found = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k=5).collect()}
     assert found == {**{d: d for d in range(40)}, 100: 7, 101: 7}
     assert made["crowd"] > 40 and made["far"] < 200  # all first elements would be about a fifth of a set for each
+
+
+def test_few_unrelated_sets_under_common_keys_are_no_crowd(spark, monkeypatch):
+    """A dozen texts that share boilerplate are compared by the counts of their shingles; no set is moved for it."""
+    made, cut = {}, J.C.cut
+
+    def counted(df, label):
+        out = cut(df, label)
+        made[label] = made.get(label, 0) + (out.count() if label in ("crowd", "cross", "plausible") else 0)
+        return out
+    monkeypatch.setattr(J.C, "cut", counted)
+    common = " ".join(f"licence{i}" for i in range(120))
+    rows = [(d, common + " " + " ".join(f"own{d}x{i}" for i in range(60))) for d in range(12)] + [(100, common + " end")]
+    found = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k=5).collect()}
+    assert found == {d: d for d, _ in rows}
+    assert made["crowd"] == 0 and made["cross"] > 20 and made["plausible"] < made["cross"] / 4
+
+
+def test_bins_lose_no_link(spark):
+    C.ship(spark)
+    texts = [t for t in U.variants(40) + U.odd_texts() if t[0] is not None] + [(900 + i, " ".join(["same"] * 3000 + [f"w{i}x{j}" for j in range(20 * i)])) for i in range(6)]
+    d = spark.createDataFrame(list(dict(texts).items()), "doc_id long, text string")
+    sets = J._candidate_sets(d, d.select(J.F.col("doc_id").alias("doc")), 4).cache()
+    pairs = sets.select(J.F.col("doc").alias("a")).crossJoin(sets.select(J.F.col("doc").alias("b"))).filter("a < b")
+    every = {tuple(r) for r in J.verify(pairs, sets, 80, 100).collect()}
+    kept = {tuple(r) for r in J.plausible(pairs, sets, 80, 100).collect()}
+    assert len(every) > 10 and every <= kept and len(kept) < pairs.count() / 2
