@@ -36,3 +36,19 @@ def test_phrases_come_before_rules(spark):
     got = [(x.text, x.ent_label, x.ent_id) for x in A.annotate(topics, phrases=phrases).orderBy("tok_i").collect() if x.ent_label]
     assert got == [("Stone", "ORG", 3), ("Miller", "ORG", 3), ("gone", "WORK_OF_ART", 6), ("with", "WORK_OF_ART", 6), ("the", "WORK_OF_ART", 6),
                    ("wind", "WORK_OF_ART", 6), ("Mary", "PERSON", 12), ("Jones", "PERSON", 12)]
+
+
+def test_small_and_large_tables_agree(spark, monkeypatch):
+    """Phrases in the plan or by join: the same spans; with a small table, only its n-grams become rows."""
+    r = random.Random(6)
+    sents = spark.createDataFrame([(f"q{i % 25}", 0, " ".join(r.choice("abcdeA'é.") for _ in range(r.randrange(0, 90)))) for i in range(30)] + [("n", 1, None), ("e", 1, "")],
+                                  "qid string, sent_i int, sent string")
+    phrases = spark.createDataFrame([(" ".join(r.choice("abcde") for _ in range(n)), x) for n in (1, 2, 2, 3, 3, 7) for x in ("GPE", "ORG")], "phrase string, label string")
+    few = sorted(map(tuple, G.phrase_spans(sents, phrases).collect()))
+    monkeypatch.setattr(G, "LITERAL_PHRASES", 3)
+    many = sorted(map(tuple, G.phrase_spans(sents, phrases).collect()))
+    assert few == many and len(few) > 50
+    words = spark.createDataFrame([(list("abcab") * 40,)], "words array<string>")
+    table = G._table([{"n": 2, "phrase": "b c"}, {"n": 3, "phrase": "a b x"}])
+    got = words.select(G.F.inline(G._grams(G.F.col("words"), [2, 3], table))).collect()
+    assert [(x.start, x.n, x.phrase) for x in got] == [(5 * i + 1, 2, "b c") for i in range(40)]
