@@ -15,6 +15,7 @@ that is there already is not written again.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,6 +27,7 @@ from ..session import cut_lineage, fresh_path, working_tables
 from . import corpus as K
 
 UNIT_BYTES = 128 << 20  # text that one task writes of a unit, about
+MOVERS = 8  # units that the driver moves at a time
 
 
 def _path(spark: SparkSession, path: str):
@@ -76,6 +78,21 @@ def read_numbered(spark: SparkSession, path: str, glob: str = "*.jsonl") -> Data
     return j.select((F.col("before") + place + 1).alias("line_no"), "unit", size.cast("bigint").alias("nbytes"), "value")
 
 
+def _move_units(spark: SparkSession, fs, places: Mapping[str, str]) -> None:
+    """Move the folders of units to their names, MOVERS at a time; a unit without lines has none and comes out empty.
+    Each unit costs the driver a few calls only: the class and the file system are looked up once."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def move(place: tuple[str, str]) -> None:
+        source, unit = path(place[0]), path(place[1])
+        if fs.exists(source):
+            fs.rename(source, unit)
+        else:
+            fs.mkdirs(unit)
+    with ThreadPoolExecutor(MOVERS) as pool:
+        list(pool.map(move, places.items()))
+
+
 def write_units(rows: DataFrame, path: str, names: Mapping[int, str], nbytes: int) -> list[str]:
     """``rows(unit_no, line_no, value)`` of about ``nbytes`` bytes as units of ``path``, lines
     in order; ``names`` maps unit numbers to unit names. Units that exist are skipped. Returns the names written."""
@@ -89,17 +106,14 @@ def write_units(rows: DataFrame, path: str, names: Mapping[int, str], nbytes: in
         rows = rows.join(F.broadcast(wanted) if len(todo) <= J.BROADCAST_MAX_ROWS else wanted, rows["unit_no"].cast("long") == wanted["unit_no"], "left_semi")
     with working_tables(spark):
         aside = fresh_path(spark, "units")
+        # making a file takes longer than filling a small one: no fewer tasks than cores, if there are units enough
+        tasks = max(1, min(len(todo), spark.sparkContext.defaultParallelism), -(-nbytes // UNIT_BYTES))
         # the writer keeps an order that begins with the partition column
-        rows.repartitionByRange(max(1, -(-nbytes // UNIT_BYTES)), "line_no").sortWithinPartitions("unit_no", "line_no") \
-            .select("unit_no", "value").write.partitionBy("unit_no").text(aside)
+        rows.repartitionByRange(tasks, "line_no").sortWithinPartitions("unit_no", "line_no") \
+            .select("unit_no", "value").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("unit_no").text(aside)
         target, fs = _path(spark, path)
         fs.mkdirs(target)
-        for k, name in todo.items():
-            source, unit = _path(spark, f"{aside}/unit_no={k}")[0], _path(spark, f"{path.rstrip('/')}/{name}")[0]
-            if fs.exists(source):
-                fs.rename(source, unit)
-            else:
-                fs.mkdirs(unit)     # a unit without lines
+        _move_units(spark, fs, {f"{aside}/unit_no={k}": f"{path.rstrip('/')}/{name}" for k, name in todo.items()})
     return [todo[k] for k in sorted(todo)]
 
 

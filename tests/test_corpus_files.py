@@ -130,3 +130,15 @@ def test_sample_mode(spark, tmp_path):
 def test_line_bytes_of_the_reader_are_kept(spark):
     lines = spark.createDataFrame([(1, 4, "abcd"), (2, 3, "ab")], "line_no long, nbytes long, value string")
     assert [r["nbytes"] for r in K.line_bytes(lines).orderBy("line_no").collect()] == [4, 3]
+
+
+def test_units_cost_the_driver_few_lookups(spark, tmp_path, monkeypatch):
+    """Many units, some without lines: all are there, whole and in order, and no path is looked up for each."""
+    looked, path = [], FS._path
+    monkeypatch.setattr(FS, "_path", lambda s, p: looked.append(p) or path(s, p))
+    rows = spark.createDataFrame([(i % 40, i, f"line {i}") for i in range(400)], "unit_no int, line_no long, value string")
+    names = {k: f"u{k:02d}.jsonl" for k in range(43)}
+    assert FS.write_units(rows, str(tmp_path / "units"), names, 5000) == [names[k] for k in range(43)]
+    assert len(looked) < 10 and sorted(os.listdir(tmp_path / "units")) == sorted(names.values())
+    got = FS.read_numbered(spark, str(tmp_path / "units")).orderBy("line_no").collect()
+    assert [(r["unit"], r["value"]) for r in got] == [(f"u{k:02d}.jsonl", f"line {i}") for k in range(40) for i in range(k, 400, 40)]
