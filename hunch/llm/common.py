@@ -165,33 +165,42 @@ def gapless_rank(df: DataFrame, group: str, order: list[str], out: str, n_bucket
         .withColumn(out, (F.col("__base") + F.col("__r") - 1).cast("long")).drop("__b", "__r", "__base")
 
 
-def components(edges: DataFrame, label: str = "cc") -> DataFrame:
-    """``(node, comp)`` for the nodes of ``edges(a, b)``; ``comp`` is the smallest node reachable.
+def _alternate(e: DataFrame) -> DataFrame:
+    """One large-star and one small-star step over ``e(a, b)``, where a > b."""
+    # large-star: larger neighbours of u go to min(u and its neighbours)
+    both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+        e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    e = e.select(F.col("b").alias("u"), F.col("a").alias("v")).join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    # small-star: smaller neighbours of u, and u itself (in the row of the smallest), go to the smallest of them
+    low = e.groupBy("a").agg(F.min("b").alias("m"))
+    return e.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
+
+
+def parents(edges: DataFrame, label: str = "cc") -> DataFrame:
+    """``(node, comp)`` for the nodes of ``edges(a, b)`` that are not the smallest of their component;
+    ``comp`` is the smallest node reachable.
 
     Alternates large-star and small-star steps: every node sends its larger neighbours, then
-    its smaller ones, to the smallest node it knows, until the edge set no longer changes.
+    its smaller ones, to the smallest node it knows, until every node hangs below one that hangs
+    below no other: these are the components, so no further step is taken to see that nothing changes.
     Each step is one aggregate (combined before the shuffle) and one join that Spark may split
-    by skew; every round is written to the shared folder. Nothing is collected but one checksum."""
-    e = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-            .filter("a <> b").distinct(), label)
-    seen = None
+    by skew; every second round is written to the shared folder. Nothing is collected but one row of counts."""
+    e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     while True:
-        # large-star: larger neighbours of u go to min(u and its neighbours)
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        e = both.filter("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")) \
-            .filter("a <> b").distinct()
-        # small-star: smaller neighbours of u, and u itself, go to the smallest of them
-        low = e.groupBy("a").agg(F.min("b").alias("m"))
-        e = cut(e.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                .unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), label)
-        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == seen:
-            break
-        seen = now
-    return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(
-        e.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+        e = cut(_alternate(_alternate(e)), label)
+        ends = e.select(F.col("a").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+            e.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+        open_ends = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above")) \
+            .filter("below > 1 OR below = 1 AND above = 1").agg(F.count(F.lit(1))).first()[0]
+        if not open_ends:
+            return e.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+
+
+def components(edges: DataFrame, label: str = "cc") -> DataFrame:
+    """``(node, comp)`` for the nodes of ``edges(a, b)``; ``comp`` is the smallest node reachable (see ``parents``)."""
+    p = parents(edges, label)
+    return p.unionByName(p.select(F.col("comp").alias("node"), "comp").distinct())
 
 
 def unique_name(prefix: str) -> str:

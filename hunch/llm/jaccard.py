@@ -246,9 +246,9 @@ def _meetings(keys: DataFrame) -> DataFrame:
 
 # ---- verification -----------------------------------------------------------------------
 
-def _candidate_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+def _candidate_sets(docs: DataFrame, ids: DataFrame, k: int, most: int | None = None) -> DataFrame:
     """``(doc, n, bins, s)``: the documents in ``ids(doc)`` with their shingle sets, as bytes, the sizes of these, and
-    how many shingles fall into each of BINS classes (at most 255 are told)."""
+    how many shingles fall into each of BINS classes (at most 255 are told). ``most``: no more ids than this can come, if known."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _hasher()
         for c in C.slices(batches, "text"):
@@ -258,8 +258,12 @@ def _candidate_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
             bins = [np.minimum(np.bincount(at[i:j], minlength=BINS), 255).astype(np.uint8).tobytes() for i, j in ends]
             yield pa.record_batch([c.column("doc_id"), pa.array(np.diff(off)), pa.array(bins, pa.binary()), pa.array([raw[8 * i:8 * j] for i, j in ends], pa.binary())],
                                   names=["doc", "n", "bins", "s"])
-    ids = C.cut(ids.select(F.col("doc").alias("doc_id")).distinct(), "ids")
-    return C.semi(docs, ids, "doc_id").mapInArrow(run, "doc long, n long, bins binary, s binary")
+    ids = ids.select(F.col("doc").alias("doc_id")).distinct()
+    if most is not None and most <= C.BROADCAST_IDS:  # the list need not be written to be counted
+        found = docs.join(F.broadcast(ids), "doc_id", "left_semi")
+    else:
+        found = C.semi(docs, C.cut(ids, "ids"), "doc_id")
+    return found.mapInArrow(run, "doc long, n long, bins binary, s binary")
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -311,9 +315,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     sets = C.cut(_sets(d, k), "sets")
     # An id with several sets: each of its texts gets a name of its own, and links to the others.
     pair = F.struct("h1", "h2")
-    several = C.cut(sets.groupBy("doc_id").agg(F.min(pair).alias("x"), F.max(pair).alias("y")).filter("x <> y").select("doc_id"), "several")
+    several = sets.groupBy("doc_id").agg(F.min(pair).alias("x"), F.max(pair).alias("y")).filter("x <> y").select("doc_id")
     if several.isEmpty():
         return _named(d.drop("h"), sets, None, k, num, den)
+    several = C.cut(several, "several")
     texts = C.cut(C.semi(sets, several, "doc_id").select("doc_id", "h").distinct().withColumn("g", F.lit(0)), "texts")
     ends, n = sets.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first(), texts.count()
     start = ends["hi"] + 1 if ends["hi"] < 1 << 62 else ends["lo"] - n
@@ -342,32 +347,33 @@ def _named(d: DataFrame, sets: DataFrame, names: DataFrame | None, k: int, num:
     own = sets.join(node.select("h1", "h2", "rep"), ["h1", "h2"], "left")
     own = C.cut(own.select("doc_id", "n_shingles", "h1", "h2", F.when(F.col("n_shingles") > 0, F.col("rep")).alias("rep")), "nodes")
     # Members of keys go by the name of their node, so copies neither meet nor count.
-    reps = C.cut(own.filter("rep IS NOT NULL").select("doc_id", "rep").distinct(), "names")
+    reps = own.filter("rep IS NOT NULL").groupBy("doc_id").agg(F.first("rep").alias("rep"), F.first("n_shingles").cast("int").alias("n"))
     if names is None:
         links = d.sparkSession.createDataFrame([], "a long, b long")
     else:
         of = names.select(F.col("doc_id").alias("id"), F.col("name").alias("doc_id")).join(reps, "doc_id").select("id", "rep")
         links = of.join(of.groupBy("id").agg(F.min("rep").alias("a")), "id").filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
-    met = C.cut(_meetings(_keys(d, k, plan)), "met")
+    met = _meetings(_keys(d, k, plan))
     met = met.join(reps.select(F.col("doc_id").alias("doc"), F.col("rep").alias("r")), "doc") \
-        .join(reps.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("p")), "pivot") \
-        .select("key", F.col("r").alias("doc"), "n", F.col("p").alias("pivot")).distinct()
-    links = _search(d, C.cut(met, "members"), links, k, num, den)
-    comp = C.components(links)
+        .join(reps.select(F.col("doc_id").alias("pivot"), F.col("rep").alias("p"), F.col("n").alias("np")), "pivot") \
+        .select("key", F.col("r").alias("doc"), "n", F.col("p").alias("pivot"), "np").distinct()
+    links = _search(d, C.cut(met, "members"), links, k, num, den, sum(int(r["n"]) for r in hist))
+    comp = C.parents(links)
     out = own.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("comp", "rep", "doc_id").alias("component_id"))
 
 
-def _search(docs: DataFrame, met: DataFrame, links: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The links among ``met(key, doc, n, pivot)``, added to ``links``."""
-    size = met.groupBy(F.col("doc").alias("pivot")).agg(F.first("n").alias("np"))
-    star = C.cut(met.filter("doc <> pivot").groupBy("doc", "pivot").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("c"))
-                 .join(size, "pivot").filter(_near("n", "np", num, den)), "stars")
+def _search(docs: DataFrame, met: DataFrame, links: DataFrame, k: int, num: int, den: int, most: int) -> DataFrame:
+    """The links among ``met(key, doc, n, pivot, np)`` of at most ``most`` sets, added to ``links``."""
+    from pyspark.sql.window import Window
+    by = Window.partitionBy("doc").orderBy(F.desc("c"), "pivot")
+    star = C.cut(met.filter("doc <> pivot").repartition("doc").groupBy("doc", "pivot").agg(F.first("n").alias("n"), F.first("np").alias("np"), F.count(F.lit(1)).alias("c"))
+                 .filter(_near("n", "np", num, den)).select("doc", "pivot", (F.row_number().over(by) == 1).alias("lead")), "stars")
     # 1: each member against the pivot it meets most
-    best = C.cut(star.groupBy("doc").agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("b")).select(F.col("doc").alias("a"), "b"), "best")
-    vecs = C.cut(_candidate_sets(docs, best.select(F.col("a").alias("doc")).union(best.select(F.col("b").alias("doc"))), k), "vecs")
+    best = star.filter("lead").select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
+    vecs = C.cut(_candidate_sets(docs, best.select(F.col("a").alias("doc")).union(best.select(F.col("b").alias("doc"))), k, most), "vecs")
     links = links.unionByName(C.cut(verify(best, vecs, num, den), "links"))
-    comp = C.cut(C.components(links), "comp")
+    comp = C.parents(links)
     # 2: where that leaves two components, the other pivots and the members of one key
     rest = _apart(star.select(F.col("doc").alias("a"), F.col("pivot").alias("b")), comp)
     inside = met.select("key", "doc", "n").distinct().join(comp.withColumnRenamed("node", "doc"), "doc", "left") \
@@ -381,14 +387,14 @@ def _search(docs: DataFrame, met: DataFrame, links: DataFrame, k: int, num: int,
         rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     crowd = C.cut(inside.filter("NOT few").select("key", "doc"), "crowd")
     if not crowd.isEmpty():
-        pairs = pairs.unionByName(_apart(_crowds(docs, crowd, links, k, num, den), comp))
+        pairs = pairs.unionByName(_apart(_crowds(docs, crowd, links, k, num, den, most), comp))
     pairs = C.cut(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "cross")
-    vecs = C.cut(_candidate_sets(docs, pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))), k), "vecs")
+    vecs = C.cut(_candidate_sets(docs, pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))), k, most), "vecs")
     pairs = C.cut(plausible(pairs, vecs, num, den), "plausible")
     return links.unionByName(C.cut(verify(pairs, vecs, num, den), "links"))
 
 
-def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: int, den: int, most: int | None = None) -> DataFrame:
     """Pairs ``(a, b)`` that may link among the members of ``crowd(key, doc)``.
 
     Sets that crowded keys connect form a crowd; its centre is the one with most links. With D = x
@@ -403,10 +409,9 @@ def _crowds(docs: DataFrame, crowd: DataFrame, links: DataFrame, k: int, num: in
     first = crowd.groupBy("key").agg(F.min("doc").alias("b"))
     joined = C.components(crowd.join(first, "key").select(F.col("doc").alias("a"), "b").filter("a <> b").distinct())
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("deg"))
-    joined = C.cut(joined.join(degree, "node", "left"), "joined")
-    centre = joined.groupBy("comp").agg(F.max_by("node", F.struct(F.coalesce("deg", F.lit(0)), -F.col("node"))).alias("centre"))
+    centre = joined.join(degree, "node", "left").groupBy("comp").agg(F.max_by("node", F.struct(F.coalesce("deg", F.lit(0)), -F.col("node"))).alias("centre"))
     member = C.cut(joined.join(centre, "comp").select(F.col("node").alias("doc"), "centre"), "crowds")
-    vecs = C.cut(_candidate_sets(docs, member.select("doc"), k), "vecs")
+    vecs = C.cut(_candidate_sets(docs, member.select("doc"), k, most), "vecs")
     both = member.join(vecs, "doc").join(vecs.select(F.col("doc").alias("centre"), F.col("s").alias("sc")), "centre")
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

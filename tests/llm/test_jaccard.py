@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from hunch.llm import common as C
@@ -120,3 +122,45 @@ def test_bins_lose_no_link(spark):
     every = {tuple(r) for r in J.verify(pairs, sets, 80, 100).collect()}
     kept = {tuple(r) for r in J.plausible(pairs, sets, 80, 100).collect()}
     assert len(every) > 10 and every <= kept and len(kept) < pairs.count() / 2
+
+
+def smallest_reachable(pairs):
+    least = {x: x for p in pairs for x in p}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            m = min(least[a], least[b])
+            changed |= least[a] != m or least[b] != m
+            least[a] = least[b] = m
+    return least
+
+
+def test_components_end_with_the_round_that_joins_all(spark, monkeypatch):
+    """Any graph gives the smallest node reachable; no table is written for the start or to see that nothing changes."""
+    r, written, cut = random.Random(3), [], C.cut
+    monkeypatch.setattr(C, "cut", lambda df, label: written.append(label) or cut(df, label))
+    path = list(range(60))
+    r.shuffle(path)
+    stars = [(10 * i, 10 * i + j) for i in range(5) for j in range(1, 9)] + [(7, 7), (8, 0), (1 << 62, -5)]
+    every = [stars, list(zip(path, path[1:])), [(i, i - 1) for i in range(1, 40)] + [(39, 0)], [(900, i) for i in range(50)],  # noqa: B905
+             [(r.randrange(300), r.randrange(300)) for _ in range(200)], []]
+    for pairs in every:
+        written.clear()
+        found = {x["node"]: x["comp"] for x in C.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+        assert found == smallest_reachable([p for p in pairs if p[0] != p[1]])
+        if pairs is stars or not pairs:
+            assert len(written) == 1
+
+
+def test_few_tables_are_written(spark, monkeypatch):
+    """Each written table costs a file for every shuffle partition, however few rows it has."""
+    C.ship(spark)
+    monkeypatch.setattr(J, "CROSS_PER_MEMBER", 0)
+    written, cut = [], J.C.cut
+    monkeypatch.setattr(J.C, "cut", lambda df, label: written.append(label) or cut(df, label))
+    texts = [t for t in U.variants(60) if t[0] is not None]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.jaccard_components(U.docs(spark, texts), 4, 85, 100).collect()}
+    assert got == brute(texts, 4, 85, 100)
+    assert "crowd" in written and "far" in written
+    assert len([x for x in written if x != "cc"]) <= 17 and not {"several", "names", "met", "best", "ids", "comp", "joined"} & set(written)
